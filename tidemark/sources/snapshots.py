@@ -7,12 +7,12 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
-# Fixed format: the time suffix of a snapshot name.
-SUFFIX = r"([^/]+)-(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})\.parquet"
+# Fixed format: the time suffix of a snapshot name (a `key=` folder prefix is not part of the name).
+SUFFIX = r"([^/=]+)-(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})\.parquet"
 SUFFIX_TIME = "yyyy-MM-dd_HH-mm-ss"
 
 
-def read_strict(spark: SparkSession, schema: StructType, *paths: str) -> DataFrame:
+def read_strict(spark: SparkSession, schema: str | StructType, *paths: str) -> DataFrame:
     """Declared columns only; a column missing in a file reads as NULL."""
     return spark.read.schema(schema).parquet(*paths)
 
@@ -80,7 +80,7 @@ def latest_batch(spark: SparkSession, folder: str, expected: int = 5) -> DataFra
     return batches(spark, folder, expected).orderBy(F.desc("suffix")).limit(1)
 
 
-def read_batch(spark: SparkSession, schema: StructType, folder: str, suffix: str) -> DataFrame:
+def read_batch(spark: SparkSession, schema: str | StructType, folder: str, suffix: str) -> DataFrame:
     """Every member of one batch as a single scan; other snapshots are pruned by name."""
     return (
         spark.read.schema(schema)
@@ -90,7 +90,7 @@ def read_batch(spark: SparkSession, schema: StructType, folder: str, suffix: str
 
 
 def read_latest_batch(
-    spark: SparkSession, schema: StructType, folder: str, expected: int = 5, allow_incomplete: bool = True
+    spark: SparkSession, schema: str | StructType, folder: str, expected: int = 5, allow_incomplete: bool = True
 ) -> DataFrame | None:
     """Rows of the newest batch, or None when there is none (or it is incomplete and that is refused)."""
     newest = latest_batch(spark, folder, expected).first()

@@ -12,7 +12,7 @@ from tidemark.operators.joins import enforce_fks, new_keys
 
 
 def snapshot_stream(
-    spark: SparkSession, schema: StructType, folder: str, files_per_batch: int = 1000
+    spark: SparkSession, schema: str | StructType, folder: str, files_per_batch: int = 1000
 ) -> DataFrame:
     """Stream of a folder's snapshot files; `files_per_batch` bounds a micro-batch, not the result."""
     return (
