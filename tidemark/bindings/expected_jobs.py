@@ -298,9 +298,11 @@ _SOURCES = {
 
 
 def texts() -> dict[str, str]:
+    sliced = ("join_asof_last_tuple", "window_rank", "window_row_number", "window_runs")
     helpers = {"exchange_measures", "wallets"}
     found = {f"build_{t}": flat(t) for t in TABLES if t not in helpers}
     found |= {f"load_{t}": _load(t) for t in TABLES if t not in helpers}
     for group in (_BUILDS, _REPAIRS, _PARSING, _PLANNING, _CLEANING, _JOINS, _SOURCES):
         found |= group
+    found |= {f"{name}_sliced": found[name] for name in sliced}
     return {name: sql(text) for name, text in found.items()}

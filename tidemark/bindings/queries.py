@@ -603,13 +603,19 @@ def join_asof_last_known(spark, sf_dir):
 @query
 def join_asof_last_tuple(spark, sf_dir):
     days = _supplier_days(spark, sf_dir)
-    return ordered.previous_known(days, ["l_suppkey"], "seen_at", ["price", "discount", "tax"], "quarter")
+    return ordered.previous_known(days, ["l_suppkey"], "seen_at", ["price", "discount", "tax"])
+
+
+@query
+def join_asof_last_tuple_sliced(spark, sf_dir):
+    days = _supplier_days(spark, sf_dir)
+    return ordered.previous_known(days, ["l_suppkey"], "seen_at", ["price", "discount", "tax"], small_group=0)
 
 
 @query
 def join_asof_fill(spark, sf_dir):
     days = _supplier_days(spark, sf_dir).groupBy("l_suppkey", "seen_at").agg(F.max("price").alias("price"))
-    return ordered.fill_from_previous(days, ["l_suppkey"], "seen_at", "price", "year")
+    return ordered.fill_from_previous(days, ["l_suppkey"], "seen_at", "price")
 
 
 @query
@@ -625,17 +631,36 @@ def join_update_from(spark, sf_dir):
 # ordered operators --------------------------------------------------------------------
 
 
+def _quantities(spark, sf_dir) -> DataFrame:
+    return scan(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
+
+
 @query
 def window_rank(spark, sf_dir):
-    lines = scan(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
-    return ordered.ranks(lines, ["l_returnflag"], "l_quantity", "quantity_rank")
+    return ordered.ranks(_quantities(spark, sf_dir), ["l_returnflag"], "l_quantity", "quantity_rank")
+
+
+@query
+def window_rank_sliced(spark, sf_dir):
+    """The way taken by groups too large for one task."""
+    lines = _quantities(spark, sf_dir)
+    return ordered.ranks(lines, ["l_returnflag"], "l_quantity", "quantity_rank", small_group=0)
+
+
+def _totals(spark, sf_dir) -> DataFrame:
+    return scan(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
 @query
 def window_row_number(spark, sf_dir):
-    orders = scan(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     order = [c("o_totalprice").desc(), c("o_orderkey").asc()]
-    return ordered.row_numbers(orders, ["o_orderstatus"], order, "place")
+    return ordered.row_numbers(_totals(spark, sf_dir), ["o_orderstatus"], order, "place")
+
+
+@query
+def window_row_number_sliced(spark, sf_dir):
+    order = [c("o_totalprice").desc(), c("o_orderkey").asc()]
+    return ordered.row_numbers(_totals(spark, sf_dir), ["o_orderstatus"], order, "place", small_group=0)
 
 
 @query
@@ -645,15 +670,23 @@ def window_top_n(spark, sf_dir):
     return ordered.top_n(orders, ["o_custkey"], order, 3, "place")
 
 
-@query
-def window_runs(spark, sf_dir):
-    """Stretches of days with the same dominant order status."""
+def _day_states(spark, sf_dir) -> DataFrame:
+    """Each day's dominant order status."""
     orders = scan(spark, sf_dir, "orders")
     counts = orders.groupBy(c("o_orderdate").cast("timestamp").alias("day")).agg(
         F.sum(F.when(c("o_orderstatus") == "F", 1).otherwise(-1)).alias("balance")
     )
-    states = counts.select("day", F.when(c("balance") > 0, "mostly F").otherwise("mostly not F").alias("state"))
-    return ordered.runs(states, [], "day", "state")
+    return counts.select("day", F.when(c("balance") > 0, "mostly F").otherwise("mostly not F").alias("state"))
+
+
+@query
+def window_runs(spark, sf_dir):
+    return ordered.runs(_day_states(spark, sf_dir), [], "day", "state")
+
+
+@query
+def window_runs_sliced(spark, sf_dir):
+    return ordered.runs(_day_states(spark, sf_dir), [], "day", "state", small_group=0)
 
 
 @query
@@ -812,7 +845,7 @@ def stream_dedupe_snapshots(spark, sf_dir):
     """Copies of one (coin, line) key across all files reduced to one, however far apart."""
     target = work_dir(spark, "stream")
     publish = ingest.publish_new_keys(
-        target, ["l_partkey", "l_linenumber"], lambda df: df.select("l_partkey", "l_linenumber")
+        target, ["l_partkey", "l_linenumber"], lambda df: df.select("l_partkey", "l_linenumber"), "l_partkey"
     )
     ingest.drain_batches(_line_stream(spark, sf_dir), publish, f"{target}-checkpoint")
     return ingest.read_published(spark, target)

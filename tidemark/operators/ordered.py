@@ -1,8 +1,9 @@
-"""Order-dependent operators that never bring a whole group into one task.
+"""Order-dependent operators that never bring an unbounded group into one task.
 
-A plain window sends each group to a single task. Here groups are cut into ordered
-slices; tasks work slice by slice and a small per-slice summary carries the state
-from one slice to the next.
+A window sends each group to a single task. That is fine while groups are small, which
+one narrow count shows. Beyond `SMALL_GROUP` rows, groups are cut into ordered slices by
+range partitioning: tasks work slice by slice, and one summary row per slice carries
+the state to the later slices of its group. Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -13,6 +14,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.session import work_dir
 
+# Rows one task may have to order; larger groups are sliced.
+SMALL_GROUP = 2_000_000
+
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: a fixed input that survives lost executors."""
@@ -21,49 +25,62 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column], weight: Column) -> DataFrame:
-    """Range-partition by (group, order), fix the partition as `_slice`, and add
-    `_before`: the weight of the group in all earlier slices."""
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Rows of the largest group; one row reaches the driver."""
+    return df.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
+def _sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Fixed slices: `_g` is the group as one value (NULL members compare equal) and
+    `_slice` grows with the order inside it. Rows equal in group and order share a slice."""
     ranged = df.repartitionByRange(*[F.col(g).asc_nulls_first() for g in group], *order)
-    fixed = materialize(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
-    totals = fixed.groupBy(*group, "_slice").agg(F.sum(weight).alias("_in_slice"))
-    earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *[F.col(g).alias(f"_g_{g}") for g in group],
-        F.col("_slice").alias("_s"),
-        F.coalesce(F.sum("_in_slice").over(earlier), F.lit(0)).alias("_before"),
-    )
-    same = F.col("_slice") == F.col("_s")
-    for g in group:
-        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    return fixed.join(offsets, same).drop("_s", *[f"_g_{g}" for g in group])
+    whole = F.struct(*group) if group else F.lit(0)
+    return materialize(ranged.select("*", whole.alias("_g"), F.spark_partition_id().alias("_slice")), "slices")
 
 
-def row_numbers(df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
-    """ROW_NUMBER over (group, order). `order` should end in a unique tie-break."""
-    within = Window.partitionBy(*group, "_slice").orderBy(*order)
-    return (
-        _sliced(df, group, order, F.lit(1))
-        .withColumn(name, (F.col("_before") + F.row_number().over(within)).cast("bigint"))
-        .drop("_slice", "_before")
-    )
+def _earlier_slices() -> Window:
+    return Window.partitionBy("_g").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _with_offset(fixed: DataFrame, weight: Column) -> DataFrame:
+    """Add `_before`: the weight of the group in all earlier slices."""
+    totals = fixed.groupBy("_g", "_slice").agg(F.sum(weight).alias("_in_slice"))
+    before = F.coalesce(F.sum("_in_slice").over(_earlier_slices()), F.lit(0))
+    return fixed.join(totals.select("_g", "_slice", before.alias("_before")), on=["_g", "_slice"])
 
 
-def ranks(df: DataFrame, group: Sequence[str], by: str, name: str, descending: bool = True) -> DataFrame:
-    """RANK over (group, by). Equal values are counted before they are ordered, so a
-    value shared by many rows is one row in the ordered part."""
+def row_numbers(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str, small_group: int = SMALL_GROUP
+) -> DataFrame:
+    """ROW_NUMBER over (group, order). `order` should end in a unique tie-break."""
+    if largest_group(df, group) <= small_group:
+        place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+        return df.withColumn(name, place.cast("bigint"))
+    in_slice = F.row_number().over(Window.partitionBy("_g", "_slice").orderBy(*order))
+    numbered = _with_offset(_sliced(df, group, order), F.lit(1))
+    return numbered.withColumn(name, (F.col("_before") + in_slice).cast("bigint")).select(*df.columns, name)
+
+
+def ranks(
+    df: DataFrame,
+    group: Sequence[str],
+    by: str,
+    name: str,
+    descending: bool = True,
+    small_group: int = SMALL_GROUP,
+) -> DataFrame:
+    """RANK over (group, by). In the sliced way equal values are counted before they are
+    ordered, so a value shared by many rows is one row in the ordered part."""
     order = F.col(by).desc_nulls_first() if descending else F.col(by).asc_nulls_last()
+    if largest_group(df, group) <= small_group:
+        return df.withColumn(name, F.rank().over(Window.partitionBy(*group).orderBy(order)).cast("bigint"))
     counted = df.groupBy(*group, by).agg(F.count(F.lit(1)).alias("_n"))
-    so_far = Window.partitionBy(*group, "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    places = _sliced(counted, group, [order], F.col("_n")).select(
-        *[F.col(g).alias(f"_g_{g}") for g in group],
-        F.col(by).alias("_value"),
-        (F.col("_before") + F.coalesce(F.sum("_n").over(so_far), F.lit(0)) + 1).cast("bigint").alias(name),
+    so_far = Window.partitionBy("_g", "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    place = F.col("_before") + F.coalesce(F.sum("_n").over(so_far), F.lit(0)) + 1
+    places = _with_offset(_sliced(counted, group, [order]), F.col("_n")).select(
+        F.struct(*group, by).alias("_key"), place.cast("bigint").alias(name)
     )
-    same = F.col(by).eqNullSafe(F.col("_value"))
-    for g in group:
-        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-    return df.join(places, same).drop("_value", *[f"_g_{g}" for g in group])
+    return df.withColumn("_key", F.struct(*group, by)).join(places, on="_key").select(*df.columns, name)
 
 
 def top_n(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, name: str) -> DataFrame:
@@ -72,52 +89,66 @@ def top_n(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int,
     return df.withColumn(name, place.cast("bigint")).where(F.col(name) <= n)
 
 
-def chunked(df: DataFrame, order: Sequence[Column], size: int, name: str = "chunk_id") -> DataFrame:
+def chunked(
+    df: DataFrame, order: Sequence[Column], size: int, name: str = "chunk_id", small_group: int = SMALL_GROUP
+) -> DataFrame:
     """Number consecutive rows into chunks of `size`, counted from 1."""
-    numbered = row_numbers(df, [], order, "_row")
-    return numbered.withColumn(name, F.expr(f"(_row - 1) div {size} + 1").cast("bigint")).drop("_row")
+    numbered = row_numbers(df, [], order, "_row", small_group)
+    return numbered.withColumn(name, F.expr(f"(_row - 1) div {size} + 1")).drop("_row")
+
+
+def _with_previous(
+    ticks: DataFrame, entity: Sequence[str], ts: str, point: Column, name: str, sliced: bool
+) -> DataFrame:
+    """Add the last strictly earlier non-NULL `point` of the entity.
+
+    `ticks` has one row per (entity, ts); `point` is a struct that starts with `ts`, so
+    the greatest earlier point is the last one.
+    """
+    pointed = ticks.withColumn("_point", point)
+    if not sliced:
+        earlier = Window.partitionBy(*entity).orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
+        return pointed.withColumn(name, F.max("_point").over(earlier)).drop("_point")
+    fixed = _sliced(pointed, entity, [F.col(ts).asc_nulls_first()])
+    last = fixed.groupBy("_g", "_slice").agg(F.max("_point").alias("_point"))
+    # the carried point enters its slice as a row before all others
+    carried = last.select("_g", "_slice", F.max("_point").over(_earlier_slices()).alias("_point"))
+    rows = fixed.withColumn("_is_row", F.lit(1)).unionByName(
+        carried.withColumn("_is_row", F.lit(0)), allowMissingColumns=True
+    )
+    earlier = Window.partitionBy("_g", "_slice").orderBy("_is_row", ts).rowsBetween(Window.unboundedPreceding, -1)
+    found = rows.withColumn(name, F.max("_point").over(earlier)).where("_is_row = 1")
+    return found.select(*ticks.columns, name)
 
 
 def previous_known(
-    df: DataFrame, entity: Sequence[str], ts: str, values: Sequence[str], slice_unit: str = "month"
+    df: DataFrame, entity: Sequence[str], ts: str, values: Sequence[str], small_group: int = SMALL_GROUP
 ) -> DataFrame:
     """Backward as-of: per (entity, ts), the values of the last strictly earlier time at
     which all of them are present, as `prev_<value>`, with that time as `prev_<ts>`.
 
     Rows sharing (entity, ts) are collapsed first, keeping the greatest full tuple.
-    Each entity is cut by calendar unit; only one summary row per unit is carried on.
     """
     full = F.lit(True)
     for v in values:
         full = full & F.col(v).isNotNull()
     point = F.struct(F.col(ts), *[F.col(v) for v in values])
-    ticks = (
-        df.groupBy(*entity, ts)
-        .agg(F.max(F.when(full, point)).alias("_point"))
-        .withColumn("_unit", F.date_trunc(slice_unit, F.col(ts)))
-    )
-    carried = ticks.groupBy(*entity, "_unit").agg(F.max("_point").alias("_point"))
-    earlier_units = Window.partitionBy(*entity).orderBy("_unit").rowsBetween(Window.unboundedPreceding, -1)
-    carried = carried.select(*entity, "_unit", F.max("_point").over(earlier_units).alias("_carried"))
-    in_unit = Window.partitionBy(*entity, "_unit").orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        ticks.withColumn("_local", F.max("_point").over(in_unit))
-        .join(carried, on=[*entity, "_unit"], how="left")
-        .withColumn("_found", F.coalesce("_local", "_carried"))
-        .select(
-            *entity,
-            ts,
-            F.col(f"_found.{ts}").alias(f"prev_{ts}"),
-            *[F.col(f"_found.{v}").alias(f"prev_{v}") for v in values],
-        )
+    ticks = df.groupBy(*entity, ts).agg(F.max(F.when(full, point)).alias("_known"))
+    sliced = largest_group(df, entity) > small_group
+    found = _with_previous(ticks, entity, ts, F.col("_known"), "_found", sliced)
+    return found.select(
+        *entity,
+        ts,
+        F.col(f"_found.{ts}").alias(f"prev_{ts}"),
+        *[F.col(f"_found.{v}").alias(f"prev_{v}") for v in values],
     )
 
 
 def fill_from_previous(
-    df: DataFrame, entity: Sequence[str], ts: str, value: str, slice_unit: str = "month"
+    df: DataFrame, entity: Sequence[str], ts: str, value: str, small_group: int = SMALL_GROUP
 ) -> DataFrame:
     """Replace a NULL value by the last strictly earlier known one of the same entity."""
-    found = previous_known(df, entity, ts, [value], slice_unit).select(*entity, ts, f"prev_{value}")
+    found = previous_known(df, entity, ts, [value], small_group).select(*entity, ts, f"prev_{value}")
     return (
         df.join(found, on=[*entity, ts], how="left")
         .withColumn(value, F.coalesce(F.col(value), F.col(f"prev_{value}")))
@@ -125,20 +156,22 @@ def fill_from_previous(
     )
 
 
-def runs(df: DataFrame, entity: Sequence[str], ts: str, state: str, slice_unit: str = "month") -> DataFrame:
-    """Gaps and islands: stretches of consecutive times in one state.
+def runs(
+    df: DataFrame, entity: Sequence[str], ts: str, state: str, small_group: int = SMALL_GROUP
+) -> DataFrame:
+    """Gaps and islands: stretches of consecutive times in one (non-NULL) state.
 
-    A row opens a run when the previous row has another state; every other row
+    A time opens a run when the time before it has another state; every other time
     belongs to the last opening before it.
     """
-    before = previous_known(df, entity, ts, [state], slice_unit)
-    marked = df.join(before, on=[*entity, ts], how="left").withColumn(
-        "_opens", F.when(~F.col(state).eqNullSafe(F.col(f"prev_{state}")), F.col(ts))
-    )
-    opened = previous_known(marked.select(*entity, ts, "_opens"), entity, ts, ["_opens"], slice_unit)
+    ticks = df.groupBy(*entity, ts).agg(F.max(state).alias(state))
+    sliced = largest_group(df, entity) > small_group
+    before = _with_previous(ticks, entity, ts, F.struct(ts, state), "_before", sliced)
+    opens = F.when(~F.col(state).eqNullSafe(F.col(f"_before.{state}")), F.struct(ts))
+    marked = before.select(*entity, ts, state, opens.alias("_opens"))
     return (
-        marked.join(opened.select(*entity, ts, "prev__opens"), on=[*entity, ts], how="left")
-        .withColumn("run_start", F.coalesce("_opens", "prev__opens"))
+        _with_previous(marked, entity, ts, F.col("_opens"), "_opened", sliced)
+        .withColumn("run_start", F.coalesce("_opens", "_opened")[ts])
         .groupBy(*entity, "run_start", state)
         .agg(F.max(ts).alias("run_end"), F.count(F.lit(1)).alias("run_length"))
         .select(*entity, state, "run_start", "run_end", "run_length")

@@ -376,13 +376,8 @@ def category_over_time(t: Tables, category_id: str) -> DataFrame:
 
 
 def leading_categories(t: Tables, n: int = 10) -> DataFrame:
-    """Categories ranked n or better, ties included; trimmed before the shuffle."""
-    from pyspark.sql import Window
-
-    capped = with_dimension(t[CATEGORY].where(present("market_cap")), t, KIND)
-    place = F.rank().over(Window.partitionBy(AT).orderBy(F.col("market_cap").desc()))
-    ranked = capped.withColumn("category_rank", place.cast("bigint")).where(F.col("category_rank") <= n)
-    return ranked.select("category_id", "name", AT, "market_cap", "category_rank")
+    """Categories ranked n or better, ties included."""
+    return top_categories_by_market_cap(t).where(F.col("category_rank") <= n)
 
 
 def capitalisation_and_dominance(t: Tables) -> DataFrame:
@@ -409,7 +404,7 @@ def sentiment_bands(t: Tables) -> DataFrame:
     return view("vw_fear_greed_daily_trend", t).withColumn("band", sentiment_band(F.col("fear_greed_score")))
 
 
-def sentiment_runs(t: Tables, slice_unit: str = "month") -> DataFrame:
+def sentiment_runs(t: Tables) -> DataFrame:
     """Unbroken stretches of one band, with an `is_extreme` flag."""
     banded = sentiment_bands(t).where("band IS NOT NULL").select(AT, "band")
-    return runs(banded, [], AT, "band", slice_unit).withColumn("is_extreme", F.col("band").startswith("extreme"))
+    return runs(banded, [], AT, "band").withColumn("is_extreme", F.col("band").startswith("extreme"))

@@ -84,6 +84,9 @@ class Store:
         if version is None:
             version = max(self.committed(table), default=0) + 1
         seen = Observation()
+        if partition_by:
+            # even files per partition value; a value holding most rows is split
+            df = df.hint("rebalance", *partition_by)
         writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)

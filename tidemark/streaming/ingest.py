@@ -61,19 +61,29 @@ def _published(spark: SparkSession, target: str, batch_id: int, schema: StructTy
 
 
 def publish_new_keys(
-    target: str, keys: Sequence[str], prepare: Callable[[DataFrame], DataFrame] = lambda df: df
+    target: str,
+    keys: Sequence[str],
+    prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
+    prune_by: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Stable-table sink: each key is written once, by the first batch that brings it.
 
     Copies inside a batch are reduced by `keep_first` (map-side) and copies across
     batches by an anti join, so late copies are found however late they come.
     A batch is overwritten under its id, so a replay gives the same folder.
+
+    `prune_by` names a key column such as the snapshot time: earlier rows outside the
+    batch's range of it cannot match, and Parquet statistics skip their row groups.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        rows = keep_first(prepare(batch), keys)
+        rows = keep_first(prepare(batch).dropna(subset=list(keys)), keys)
         schema = rows.schema
         known = _published(batch.sparkSession, target, batch_id, schema, keys)
+        if known is not None and prune_by is not None:
+            low, high = rows.agg(F.min(prune_by), F.max(prune_by)).first()
+            if low is not None:
+                known = known.where(F.col(prune_by).between(F.lit(low), F.lit(high)))
         if known is not None:
             rows = new_keys(rows, known, keys).select(*schema.names)
         rows.write.mode("overwrite").parquet(_batch_path(target, batch_id))
