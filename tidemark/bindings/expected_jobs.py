@@ -89,6 +89,27 @@ _REPAIRS = {
             GROUP BY ALL) d ON d.exchange_id = m.exchange_id AND d.gap = m.{AT}""",
 }
 
+
+
+def _loaded(table: str) -> str:
+    tests = [f"{key} IN (SELECT {key} FROM {_OWNER[key]})" for key in _REFERENCES.get(table, [])]
+    where = f" WHERE {' AND '.join(tests)}" if tests else ""
+    return f"SELECT '{table}' AS table_name, 'load' AS phase, 'success' AS status, count(*) AS rows FROM {table}{where}"
+
+
+_STEPS = {
+    # ranks are staged without a snapshot time, so their table is loaded without rows
+    "step_groups": " UNION ALL ".join(
+        _loaded(t)
+        for t in (
+            "dim_crypto_id", "dim_crypto_category", "dim_crypto_info", "crypto_category_link", "fact_crypto_market",
+            "fact_crypto_category", "fact_global_market", "fact_market_sentiment",
+        )
+    )
+    + " UNION ALL SELECT 'dim_crypto_map', 'load', 'success', 0",
+    "step_repairs": _REPAIRS["repair_exchange_map"],
+}
+
 _PARSING = {
     "parse_exchange_map": "SELECT s_suppkey AS id, s_name AS name, lower(s_name) AS slug, CAST(s_acctbal > 0 AS BIGINT) AS is_active FROM supplier",
     "parse_exchange_info": f"""SELECT s_suppkey AS id, s_name AS name, {_nulls('slug description date_launched notice logo', NULL_TEXT)},
@@ -302,7 +323,7 @@ def texts() -> dict[str, str]:
     helpers = {"exchange_measures", "wallets"}
     found = {f"build_{t}": flat(t) for t in TABLES if t not in helpers}
     found |= {f"load_{t}": _load(t) for t in TABLES if t not in helpers}
-    for group in (_BUILDS, _REPAIRS, _PARSING, _PLANNING, _CLEANING, _JOINS, _SOURCES):
+    for group in (_BUILDS, _REPAIRS, _STEPS, _PARSING, _PLANNING, _CLEANING, _JOINS, _SOURCES):
         found |= group
     found |= {f"{name}_sliced": found[name] for name in sliced}
     return {name: sql(text) for name, text in found.items()}

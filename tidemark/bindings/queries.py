@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,7 +13,7 @@ from tidemark.bindings.inputs import bronze, derive, scan
 from tidemark.bindings.silver import BUILDS, Silver
 from tidemark.functions import columns as cols, kpi
 from tidemark.operators import clean, increment, joins, ordered, repair
-from tidemark.plans import builds, checks, loads, views
+from tidemark.plans import builds, checks, loads, steps, views
 from tidemark.session import pin, work_dir
 from tidemark.sources import payloads, snapshots, store
 from tidemark.streaming import ingest
@@ -150,6 +151,36 @@ def load_store_cycle(spark, sf_dir):
     return market.join(names, on="crypto_id")
 
 
+@query
+def step_groups(spark, sf_dir):
+    """Bronze snapshots through all build and load groups; the warehouse ledger as result."""
+    root = work_dir(spark, "groups")
+    staged = {
+        "crypto_map_data": "in_crypto_map", "crypto_info_data": "in_crypto_info",
+        "crypto_category_data": "in_category_links", "crypto_categories_data": "in_categories",
+        "crypto_listings_latest_data": "in_listings", "global_metrics_data": "in_global",
+        "latest_fear_and_greed_data": "in_sentiment",
+    }
+    for folder, name in staged.items():
+        snapshots.write_snapshot(bronze(spark, sf_dir, name), f"{root}/bronze/{folder}", "s", datetime(2024, 3, 1))
+    silver, warehouse = store.Store(spark, f"{root}/silver"), store.Store(spark, f"{root}/warehouse")
+    steps.run_builds(spark, f"{root}/bronze", silver)
+    loads.run_loads(silver, warehouse)
+    return warehouse.ledger().select("table_name", "phase", "status", "rows")
+
+
+@query
+def step_repairs(spark, sf_dir):
+    """Two loads of the exchange map with the repair run on the warehouse after them."""
+    warehouse = store.Store(spark, work_dir(spark, "repairs"))
+    rows = Silver(spark, sf_dir)["dim_exchange_map"]
+    late = F.month("snapshot_timestamp") > 6
+    warehouse.publish(rows.where(~late), "dim_exchange_map", 1, phase="load")
+    warehouse.publish(rows.where(late), "dim_exchange_map", 2, phase="load")
+    loads.run_repairs(warehouse)
+    return warehouse.read_all("dim_exchange_map")
+
+
 @query
 def repair_exchange_map(spark, sf_dir):
     return repair.repair_exchange_map(Silver(spark, sf_dir)["dim_exchange_map"])
@@ -780,8 +811,6 @@ def source_append(spark, sf_dir):
 @query
 def source_snapshot_write(spark, sf_dir):
     """A snapshot written and found again by its name; an empty one is not written."""
-    from datetime import datetime
-
     folder = work_dir(spark, "bronze")
     suppliers = scan(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     snapshots.write_snapshot(suppliers, folder, "suppliers", datetime(2024, 3, 1, 8, 30))

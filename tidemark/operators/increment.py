@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
@@ -83,6 +83,15 @@ def last_entries(ledger: DataFrame, key: str, order: str) -> DataFrame:
     return latest_per(ledger, [key], order, rest).select(*ledger.columns)
 
 
+def is_fresh(
+    snapshot_ts: datetime | None, last_ended_at: datetime | None, daily: bool = True, force: bool = False
+) -> bool:
+    """The rule of `fresh_snapshots` for one table."""
+    if force or snapshot_ts is None or last_ended_at is None:
+        return True
+    return snapshot_ts.date() > last_ended_at.date() if daily else snapshot_ts > last_ended_at
+
+
 def fresh_snapshots(
     snapshots: DataFrame, runs: DataFrame, key: str, daily: bool = True, force: bool = False
 ) -> DataFrame:

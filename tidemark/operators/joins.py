@@ -51,12 +51,18 @@ def enrich(df: DataFrame, side: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def update_from(
-    df: DataFrame, source: DataFrame, keys: Sequence[str], assignments: Mapping[str, Column], condition: Column
+    df: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    assignments: Mapping[str, Column],
+    condition: Column,
+    flag: str | None = None,
 ) -> DataFrame:
     """Rewrite columns of rows that match `source` (one row per key) and meet `condition`.
 
     Source columns other than the keys are visible to both expressions under a
-    `new_` prefix. Column order and row count are kept.
+    `new_` prefix. Column order and row count are kept; `flag` adds a column that marks
+    the rewritten rows.
     """
     renamed = source.select(
         *keys,
@@ -69,5 +75,6 @@ def update_from(
         *[
             F.when(hit, assignments[c]).otherwise(F.col(c)).alias(c) if c in assignments else F.col(c)
             for c in df.columns
-        ]
+        ],
+        *([F.coalesce(hit, F.lit(False)).alias(flag)] if flag else []),
     )

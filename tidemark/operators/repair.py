@@ -40,20 +40,21 @@ def _all(columns: Sequence[str], null: bool) -> Column:
     return test
 
 
-def fill_newest_gap(df: DataFrame, entity: str, ts: str, values: Sequence[str]) -> DataFrame:
+def fill_newest_gap(
+    df: DataFrame, entity: str, ts: str, values: Sequence[str], flag: str | None = None
+) -> DataFrame:
     """Fill rows of the newest time at which all `values` are missing together."""
     missing, known = _all(values, True), _all(values, False)
     found = donors(df, newest_gap(df, entity, ts, missing), entity, ts, values, known)
-    return update_from(df, found, [entity, ts], {v: F.col(f"new_{v}") for v in values}, missing)
+    return update_from(df, found, [entity, ts], {v: F.col(f"new_{v}") for v in values}, missing, flag)
 
 
-def repair_exchange_map(dim_exchange_map: DataFrame) -> DataFrame:
-    return fill_newest_gap(
-        dim_exchange_map, "exchange_id", "snapshot_timestamp", ["maker_fee", "taker_fee", "weekly_visits"]
-    )
+def repair_exchange_map(dim_exchange_map: DataFrame, flag: str | None = None) -> DataFrame:
+    values = ["maker_fee", "taker_fee", "weekly_visits"]
+    return fill_newest_gap(dim_exchange_map, "exchange_id", "snapshot_timestamp", values, flag)
 
 
-def repair_spot_volume(fact_exchange_assets: DataFrame) -> DataFrame:
+def repair_spot_volume(fact_exchange_assets: DataFrame, flag: str | None = None) -> DataFrame:
     """Fill missing spot volumes of the newest gap and recompute the weight of those rows.
 
     A found volume of zero gives a NULL weight.
@@ -68,4 +69,4 @@ def repair_spot_volume(fact_exchange_assets: DataFrame) -> DataFrame:
         volume: F.col(f"new_{volume}"),
         "wallet_weight": F.try_divide(F.col("total_usd_value"), F.col(f"new_{volume}")),
     }
-    return update_from(fact_exchange_assets, found, [entity, ts], assignments, missing)
+    return update_from(fact_exchange_assets, found, [entity, ts], assignments, missing, flag)

@@ -214,3 +214,19 @@ def row_rule_counts(table: str, df: DataFrame, names: Sequence[str] | None = Non
             "check_name", "violation_count"
         )
     )
+
+
+def summary(tables: Tables) -> dict[str, int]:
+    """check -> number of reported rows, for every check whose tables are given.
+
+    The row-level checks of a table share one scan.
+    """
+    counts: dict[str, int] = {}
+    for table, df in tables.items():
+        if any(rule.table == table and _row_predicate(rule) for rule in CHECKS.values()):
+            counts |= {r["check_name"]: r["violation_count"] for r in row_rule_counts(table, df).collect()}
+    for name, rule in CHECKS.items():
+        needed = {rule.table, rule.reference} if isinstance(rule, ForeignKeyRule) else {rule.table}
+        if name not in counts and needed <= set(tables):
+            counts[name] = violations(name, tables).count()
+    return dict(sorted(counts.items()))

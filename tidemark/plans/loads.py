@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from tidemark.operators.joins import enforce_fks, new_keys
+from tidemark.operators.repair import repair_exchange_map, repair_spot_volume
 from tidemark.sources.store import Store
 
 
@@ -79,7 +80,7 @@ def load(store: Store, name: str, built: DataFrame, version: int, source_version
     Returns the appended row count; a stable table without new keys is recorded as skipped.
     """
     spec = LOADS[name]
-    others = [v for v in store.committed(name) if v != version]
+    others = [v for v in store.live(name) if v != version]
     existing = None
     if spec.key and others:
         existing = store.spark.read.parquet(*[store.path(name, v) for v in others]).select(*spec.key)
@@ -99,3 +100,50 @@ def load_order(frequencies: tuple[str, ...] = ("10x", "daily", "5x", "weekly"))
     """Tables of the given frequency groups, referenced tables first."""
     wanted = {t for f in frequencies for t in FREQUENCIES[f]}
     return [name for name in LOADS if name in wanted]
+
+
+def run_loads(
+    silver: Store, warehouse: Store, frequencies: tuple[str, ...] = tuple(FREQUENCIES), force: bool = False
+) -> dict[str, int | str]:
+    """Load what has changed: table -> appended rows, or why nothing was appended.
+
+    A table is loaded when it never was, or when its last build is not the one loaded
+    last. Stable tables take their newest build; facts take every build since the last
+    load, so that no snapshot is passed over.
+    """
+    outcome: dict[str, int | str] = {}
+    for name in load_order(frequencies):
+        built = silver.last(name)
+        loaded = warehouse.last(name, "load", status=None)
+        if built is None:
+            outcome[name] = "not built"
+        elif loaded is not None and loaded["source_version"] == built["version"] and not force:
+            outcome[name] = "up to date"
+        else:
+            newest = built["version"]
+            after = loaded["source_version"] if loaded is not None and not force else None
+            pending = [v for v in silver.committed(name) if after is None or after < v]
+            rows = silver.read_versions(name, [newest] if LOADS[name].key or force else pending)
+            version = max(warehouse.committed(name), default=0) + 1
+            outcome[name] = load(warehouse, name, rows, version, newest)
+    return outcome
+
+
+def run_repairs(warehouse: Store) -> dict[str, int]:
+    """Repair gaps in the warehouse: table -> repaired rows.
+
+    Only the loads that hold repaired rows are rewritten; the new version stands in for them.
+    """
+    outcome = {}
+    for name, fix in (("dim_exchange_map", repair_exchange_map), ("fact_exchange_assets", repair_spot_volume)):
+        rows = warehouse.read_all(name, with_version=True)
+        if rows is None:
+            continue
+        fixed = fix(rows, flag="_repaired")
+        per_version = fixed.where("_repaired").groupBy("version").agg(F.count(F.lit(1)).alias("n")).collect()
+        touched = sorted(r["version"] for r in per_version)
+        if touched:
+            changed = fixed.where(F.col("version").isin(touched)).drop("version", "_repaired")
+            warehouse.publish(changed, name, phase="repair", replaces=touched)
+        outcome[name] = sum(r["n"] for r in per_version)
+    return outcome

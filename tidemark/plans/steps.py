@@ -1,15 +1,79 @@
-"""Build steps: which builds run at which frequency, and running one step."""
+"""Build steps: which snapshot folders a table is built from, how often, and running them."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.operators.increment import is_fresh
+from tidemark.plans import builds, schemas
+from tidemark.sources import payloads, snapshots
 from tidemark.sources.store import Store
 
-# frequency -> built tables, in dependency order
+
+@dataclass(frozen=True)
+class Source:
+    folder: str
+    schema: str
+    batched: bool = False  # a snapshot made of several files with one time suffix
+
+
+@dataclass(frozen=True)
+class Build:
+    table: str
+    make: Callable[..., DataFrame]
+    sources: tuple[Source, ...]  # the first decides freshness; the others may be missing
+    daily: bool = True  # compare days, not times, to tell a new snapshot
+    once: bool = False  # a one-time history run
+
+
+EXCHANGE_MAP = Source("exchange_map_data", schemas.EXCHANGE_MAP)
+EXCHANGE_INFO = Source("exchange_info_data", schemas.EXCHANGE_INFO)
+CATEGORIES = Source("crypto_categories_data", schemas.CATEGORIES)
+LISTINGS = Source("crypto_listings_latest_data", schemas.LISTINGS, batched=True)
+
+STEPS: dict[str, Build] = {
+    "sentiment_history": Build(
+        "fact_market_sentiment",
+        builds.sentiment_history,
+        (Source("fear_and_greed_data", schemas.SENTIMENT_HISTORY),),
+        once=True,
+    ),
+    "sentiment_live": Build(
+        "fact_market_sentiment",
+        builds.sentiment_live,
+        (Source("latest_fear_and_greed_data", schemas.SENTIMENT_LATEST),),
+        daily=False,
+    ),
+    "dim_crypto_category": Build("dim_crypto_category", builds.dim_crypto_category, (CATEGORIES,), daily=False),
+    "fact_crypto_category": Build("fact_crypto_category", builds.fact_crypto_category, (CATEGORIES,), daily=False),
+    "fact_global_market": Build(
+        "fact_global_market", builds.fact_global_market, (Source("global_metrics_data", schemas.GLOBAL),), daily=False
+    ),
+    "fact_crypto_market": Build("fact_crypto_market", builds.fact_crypto_market, (LISTINGS,), daily=False),
+    "dim_exchange_id": Build("dim_exchange_id", builds.dim_exchange_id, (EXCHANGE_MAP,)),
+    "dim_exchange_info": Build("dim_exchange_info", builds.dim_exchange_info, (EXCHANGE_INFO,)),
+    "dim_exchange_map": Build("dim_exchange_map", builds.dim_exchange_map, (EXCHANGE_INFO, EXCHANGE_MAP)),
+    "fact_exchange_assets": Build(
+        "fact_exchange_assets",
+        builds.fact_exchange_assets,
+        (Source("exchange_assets_data", schemas.EXCHANGE_ASSETS), EXCHANGE_INFO),
+        daily=False,
+    ),
+    "dim_crypto_id": Build("dim_crypto_id", builds.dim_crypto_id, (Source("crypto_map_data", schemas.CRYPTO_ID),)),
+    "dim_crypto_map": Build("dim_crypto_map", builds.dim_crypto_map, (Source("crypto_map_data", schemas.CRYPTO_MAP),)),
+    "crypto_category_link": Build(
+        "crypto_category_link", builds.crypto_category_link, (Source("crypto_category_data", schemas.CATEGORY_LINKS),)
+    ),
+    "dim_crypto_info": Build(
+        "dim_crypto_info", builds.dim_crypto_info, (Source("crypto_info_data", schemas.CRYPTO_INFO),)
+    ),
+}
+
+# frequency -> steps, in dependency order
 BUILD_GROUPS: dict[str, tuple[str, ...]] = {
     "init": ("sentiment_history",),
     "10x": ("dim_crypto_category", "fact_crypto_category", "fact_global_market", "sentiment_live"),
@@ -29,17 +93,95 @@ BUILD_GROUPS: dict[str, tuple[str, ...]] = {
 
 def builds_for(frequency: str) -> tuple[str, ...]:
     if frequency == "all":
-        return tuple(dict.fromkeys(b for group in BUILD_GROUPS.values() for b in group))
+        return tuple(dict.fromkeys(step for group in BUILD_GROUPS.values() for step in group))
     return BUILD_GROUPS[frequency]
 
 
-def run_step(store: Store, table: str, prepare: Callable[[], DataFrame | None]) -> str:
+def run_step(
+    store: Store, table: str, prepare: Callable[[], DataFrame | None], phase: str = "transform"
+) -> str:
     """Prepare, publish and record one table. No frame gives 'skipped'; a failed write
     leaves no ledger entry and raises."""
     started = datetime.now(timezone.utc)
     df = prepare()
     if df is None:
-        store.record(table, "transform", "skipped", started_at=started)
+        store.record(table, phase, "skipped", started_at=started)
         return "skipped"
-    store.publish(df, table)
+    store.publish(df, table, phase=phase)
     return "success"
+
+
+def newest(spark: SparkSession, bronze_root: str, source: Source) -> tuple[DataFrame, datetime | None] | None:
+    """The newest snapshot (or batch) of a folder with its time, or None without one."""
+    folder = f"{bronze_root}/{source.folder}"
+    try:
+        listing = (snapshots.latest_batch if source.batched else snapshots.latest_snapshots)(spark, folder).first()
+    except Exception as error:  # a folder that was never written
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return None
+    if listing is None:
+        return None
+    if source.batched:
+        return snapshots.read_batch(spark, source.schema, folder, listing["suffix"]), listing["snapshot_ts"]
+    return snapshots.read_strict(spark, source.schema, listing["path"]), listing["snapshot_ts"]
+
+
+def run_builds(
+    spark: SparkSession, bronze_root: str, silver: Store, frequency: str = "all", force: bool = False
+) -> dict[str, str]:
+    """Run the steps of one frequency: step -> 'success', 'no snapshot' or 'up to date'."""
+    outcome = {}
+    for name in builds_for(frequency):
+        step = STEPS[name]
+        phase = "init" if step.once else "transform"
+        last = silver.last(step.table, phase)
+        if step.once and last is not None:
+            outcome[name] = "up to date"
+            continue
+        first = newest(spark, bronze_root, step.sources[0])
+        if first is None:
+            outcome[name] = "no snapshot"
+            continue
+        if not is_fresh(first[1], last and last["ended_at"], step.daily, force):
+            outcome[name] = "up to date"
+            continue
+        others = [newest(spark, bronze_root, source) for source in step.sources[1:]]
+        frames = [first[0], *[found and found[0] for found in others]]
+        outcome[name] = run_step(silver, step.table, lambda: step.make(*frames), phase)  # noqa: B023
+    return outcome
+
+
+# payloads to bronze ---------------------------------------------------------------
+
+# 200 coins to a request, five requests to a file.
+REQUESTS_PER_FILE = 5
+
+
+def _listings(raw: DataFrame) -> DataFrame:
+    batch = F.ceil(F.col("request_id").try_cast("bigint") / REQUESTS_PER_FILE).cast("bigint")
+    return payloads.listings(raw, ["request_id"]).withColumn("batch_index", batch).drop("request_id")
+
+
+# endpoint -> (parser, bronze folder)
+PARSERS: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {
+    "exchange_map": (payloads.exchange_map, "exchange_map_data"),
+    "exchange_info": (payloads.exchange_info, "exchange_info_data"),
+    "exchange_assets": (payloads.exchange_assets, "exchange_assets_data"),
+    "crypto_map": (payloads.crypto_map, "crypto_map_data"),
+    "crypto_info": (payloads.crypto_info, "crypto_info_data"),
+    "crypto_listings": (_listings, "crypto_listings_latest_data"),
+    "crypto_categories": (payloads.categories, "crypto_categories_data"),
+    "crypto_category": (payloads.category_links, "crypto_category_data"),
+    "global_metrics": (payloads.global_metrics, "global_metrics_data"),
+    "sentiment_history": (payloads.sentiment, "fear_and_greed_data"),
+    "sentiment_latest": (payloads.sentiment, "latest_fear_and_greed_data"),
+}
+
+
+def parse_to_bronze(raw: DataFrame, endpoint: str, bronze_root: str, taken_at: datetime) -> str | None:
+    """Parse the payloads of one endpoint into a bronze snapshot stamped `taken_at` (UTC)."""
+    parse, folder = PARSERS[endpoint]
+    records = parse(raw.where(F.col("endpoint") == endpoint))
+    stamped = records.withColumn("date_snapshot", F.lit(f"{taken_at:%Y-%m-%dT%H:%M:%S}+00:00"))
+    return snapshots.write_snapshot(stamped, f"{bronze_root}/{folder}", endpoint, taken_at)

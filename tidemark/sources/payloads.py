@@ -140,7 +140,8 @@ def crypto_info(payloads: DataFrame) -> DataFrame:
     )
 
 
-def listings(payloads: DataFrame) -> DataFrame:
+def listings(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """`keep` carries payload columns along, such as the request that a batch is told by."""
     kinds = {
         "id": "long", "name": "text", "symbol": "text", "slug": "text", "cmc_rank": "long",
         "num_market_pairs": "double", "circulating_supply": "double", "total_supply": "double",
@@ -159,7 +160,8 @@ def listings(payloads: DataFrame) -> DataFrame:
         "market_cap_dominance_usd": "market_cap_dominance",
         "fully_diluted_market_cap_usd": "fully_diluted_market_cap",
     }
-    return _records(elements(payloads), schema).select(
+    return _records(elements(payloads, keep), schema, keep).select(
+        *keep,
         *_fields(kinds),
         joined(_r("tags"), ",").alias("tags"),
         joined(_r("self_reported_tags"), ",").alias("self_reported_tags"),

@@ -9,13 +9,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
 LEDGER = (
     "table_name string, phase string, status string, version bigint, rows bigint, "
     "started_at timestamp, ended_at timestamp, source_version bigint, detail string"
 )
 
+REPLACES = "replaces "
+
+
+def _committed(entries: Sequence[Row]) -> list[int]:
+    return sorted({e["version"] for e in entries if e["status"] == "success" and e["version"] is not None})
+
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
@@ -51,17 +57,27 @@ class Store:
         entry = (table, phase, status, version, rows, started_at or now, now, source_version, detail)
         self.spark.createDataFrame([entry], LEDGER).coalesce(1).write.mode("append").parquet(f"{self.root}/ledger")
 
-    def last(self, table: str, phase: str, status: str | None = "success"):
-        """Last entry of one table and phase as a Row, or None."""
-        entries = self.ledger().where((F.col("table_name") == table) & (F.col("phase") == phase))
-        if status is not None:
-            entries = entries.where(F.col("status") == status)
-        return entries.orderBy(F.desc("ended_at"), F.desc("version")).first()
+    def entries(self, table: str) -> list[Row]:
+        """Ledger entries of one table, oldest first: a short list of run metadata."""
+        mine = self.ledger().where(F.col("table_name") == table).collect()
+        return sorted(mine, key=lambda e: (e["ended_at"], e["version"] or 0))
+
+    def last(self, table: str, phase: str | None = None, status: str | None = "success") -> Row | None:
+        """Last entry of one table, phase and status."""
+        found = [
+            e for e in self.entries(table) if phase in (None, e["phase"]) and status in (None, e["status"])
+        ]
+        return found[-1] if found else None
 
     def committed(self, table: str) -> list[int]:
-        """Committed version numbers, a short list of run metadata."""
-        entries = self.ledger().where((F.col("table_name") == table) & (F.col("status") == "success"))
-        return sorted(r["version"] for r in entries.where("version is not null").select("version").distinct().collect())
+        return _committed(self.entries(table))
+
+    def live(self, table: str) -> list[int]:
+        """Committed versions that no later one has replaced."""
+        entries = self.entries(table)
+        notes = [e["detail"] for e in entries if e["status"] == "success" and (e["detail"] or "").startswith(REPLACES)]
+        replaced = {int(v) for note in notes for v in note.removeprefix(REPLACES).split(",")}
+        return [v for v in _committed(entries) if v not in replaced]
 
     # tables -------------------------------------------------------------
 
@@ -74,11 +90,13 @@ class Store:
         phase: str = "transform",
         source_version: int | None = None,
         skip_empty: bool = False,
+        replaces: Sequence[int] = (),
     ) -> tuple[int, int]:
         """Write `df` as one version and commit it; returns (version, rows).
 
         Rows are counted by the write itself. Writing the same version again replaces it.
         With `skip_empty`, a version without rows is recorded as skipped, not committed.
+        `replaces` names versions of an appended table that this one stands in for.
         """
         started = datetime.now(timezone.utc)
         if version is None:
@@ -93,7 +111,8 @@ class Store:
         writer.parquet(self.path(table, version))
         rows = seen.get["rows"]
         status = "skipped" if skip_empty and rows == 0 else "success"
-        self.record(table, phase, status, version, rows, started, source_version)
+        detail = REPLACES + ",".join(map(str, replaces)) if replaces else None
+        self.record(table, phase, status, version, rows, started, source_version, detail)
         return version, rows
 
     def read(self, table: str, version: int | None = None, columns: Sequence[str] = ()) -> DataFrame:
@@ -105,17 +124,27 @@ class Store:
         df = self.spark.read.option("mergeSchema", "true").parquet(self.path(table, chosen))
         return df.select(*columns) if columns else df
 
-    def read_all(self, table: str, columns: Sequence[str] = ()) -> DataFrame | None:
-        """All committed versions together (an appended table), or None before the first."""
-        known = self.committed(table)
-        if not known:
+    def read_all(self, table: str, columns: Sequence[str] = (), with_version: bool = False) -> DataFrame | None:
+        """All live versions together (an appended table), or None before the first."""
+        live = self.live(table)
+        if not live:
             return None
-        df = self.spark.read.option("mergeSchema", "true").parquet(*[self.path(table, v) for v in known])
+        df = self.read_versions(table, live, with_version)
         return df.select(*columns) if columns else df
 
-    def compact(self, table: str, partition_by: Sequence[str] = ()) -> tuple[int, int]:
-        """Rewrite the latest version as the next one, in evenly sized files."""
-        return self.publish(self.read(table).hint("rebalance"), table, partition_by=partition_by, phase="compact")
+    def read_versions(self, table: str, versions: Sequence[int], with_version: bool = False) -> DataFrame:
+        """Several versions as one scan, optionally with their number in `version`."""
+        reader = self.spark.read.option("mergeSchema", "true")
+        if with_version:
+            reader = reader.option("basePath", f"{self.root}/tables/{table}")
+        return reader.parquet(*[self.path(table, v) for v in versions])
+
+    def compact(self, table: str, appended: bool = False, partition_by: Sequence[str] = ()) -> tuple[int, int]:
+        """Rewrite a table in evenly sized files as its next version: the latest version,
+        or all live versions of an appended table."""
+        old = self.live(table) if appended else []
+        df = self.read_all(table) if appended else self.read(table)
+        return self.publish(df.hint("rebalance"), table, partition_by=partition_by, phase="compact", replaces=old)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
