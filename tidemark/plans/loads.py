@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from tidemark.operators.joins import enforce_fks, new_keys
 from tidemark.operators.repair import repair_exchange_map, repair_spot_volume
-from tidemark.sources.store import Store
+from tidemark.sources.store import Store, committed_versions, last_entry, live_versions
 
 
 @dataclass(frozen=True)
@@ -80,16 +80,16 @@ def load(store: Store, name: str, built: DataFrame, version: int, source_version
     Returns the appended row count; a stable table without new keys is recorded as skipped.
     """
     spec = LOADS[name]
-    others = [v for v in store.live(name) if v != version]
+    history = store.history(name, *[table for _, table in spec.fks])
+    live = {table: live_versions(entries) for table, entries in history.items()}
     existing = None
+    others = [v for v in live[name] if v != version]
     if spec.key and others:
-        existing = store.spark.read.parquet(*[store.path(name, v) for v in others]).select(*spec.key)
-    references = {}
+        existing = store.read_versions(name, others).select(*spec.key)
     for _, table in spec.fks:
-        reference = store.read_all(table)
-        if reference is None:
+        if not live[table]:
             raise LookupError(f"{name} refers to {table}, which is not loaded yet")
-        references[table] = reference
+    references = {table: store.read_versions(table, live[table]) for _, table in spec.fks}
     rows = rows_to_load(name, built, existing, references)
     return store.publish(
         rows, name, version, phase="load", source_version=source_version, skip_empty=bool(spec.key)
@@ -112,9 +112,11 @@ def run_loads(
     load, so that no snapshot is passed over.
     """
     outcome: dict[str, int | str] = {}
+    built_entries, loaded_entries = silver.history(), warehouse.history()
     for name in load_order(frequencies):
-        built = silver.last(name)
-        loaded = warehouse.last(name, "load", status=None)
+        entries = built_entries.get(name, [])
+        built = last_entry(entries)
+        loaded = last_entry(loaded_entries.get(name, []), "load", status=None)
         if built is None:
             outcome[name] = "not built"
         elif loaded is not None and loaded["source_version"] == built["version"] and not force:
@@ -122,9 +124,9 @@ def run_loads(
         else:
             newest = built["version"]
             after = loaded["source_version"] if loaded is not None and not force else None
-            pending = [v for v in silver.committed(name) if after is None or after < v]
+            pending = [v for v in committed_versions(entries) if after is None or after < v]
             rows = silver.read_versions(name, [newest] if LOADS[name].key or force else pending)
-            version = max(warehouse.committed(name), default=0) + 1
+            version = max(committed_versions(loaded_entries.get(name, [])), default=0) + 1
             outcome[name] = load(warehouse, name, rows, version, newest)
     return outcome
 

@@ -6,12 +6,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tidemark.operators.increment import is_fresh
 from tidemark.plans import builds, schemas
 from tidemark.sources import payloads, snapshots
-from tidemark.sources.store import Store
+from tidemark.sources.store import Store, last_entry
 
 
 @dataclass(frozen=True)
@@ -111,20 +111,22 @@ def run_step(
     return "success"
 
 
-def newest(spark: SparkSession, bronze_root: str, source: Source) -> tuple[DataFrame, datetime | None] | None:
-    """The newest snapshot (or batch) of a folder with its time, or None without one."""
-    folder = f"{bronze_root}/{source.folder}"
-    try:
-        listing = (snapshots.latest_batch if source.batched else snapshots.latest_snapshots)(spark, folder).first()
-    except Exception as error:  # a folder that was never written
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return None
-    if listing is None:
+def newest_snapshots(spark: SparkSession, bronze_root: str) -> dict[str, Row]:
+    """folder -> its newest snapshot (suffix, path, snapshot_ts), from one listing."""
+    listing = snapshots.list_snapshots(spark, bronze_root)
+    found = listing.groupBy(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("folder")).agg(
+        F.max(F.struct("suffix", "path", "snapshot_ts")).alias("newest")
+    )
+    return {r["folder"]: r["newest"] for r in found.collect()}
+
+
+def read_source(spark: SparkSession, bronze_root: str, source: Source, newest: Row | None) -> DataFrame | None:
+    """The newest snapshot of a folder, or every member of its newest batch."""
+    if newest is None:
         return None
     if source.batched:
-        return snapshots.read_batch(spark, source.schema, folder, listing["suffix"]), listing["snapshot_ts"]
-    return snapshots.read_strict(spark, source.schema, listing["path"]), listing["snapshot_ts"]
+        return snapshots.read_batch(spark, source.schema, f"{bronze_root}/{source.folder}", newest["suffix"])
+    return snapshots.read_strict(spark, source.schema, newest["path"])
 
 
 def run_builds(
@@ -132,23 +134,21 @@ def run_builds(
 ) -> dict[str, str]:
     """Run the steps of one frequency: step -> 'success', 'no snapshot' or 'up to date'."""
     outcome = {}
+    newest, history = newest_snapshots(spark, bronze_root), silver.history()
     for name in builds_for(frequency):
         step = STEPS[name]
         phase = "init" if step.once else "transform"
-        last = silver.last(step.table, phase)
-        if step.once and last is not None:
-            outcome[name] = "up to date"
-            continue
-        first = newest(spark, bronze_root, step.sources[0])
+        last = last_entry(history.get(step.table, []), phase)
+        first = newest.get(step.sources[0].folder)
         if first is None:
             outcome[name] = "no snapshot"
-            continue
-        if not is_fresh(first[1], last and last["ended_at"], step.daily, force):
+        elif step.once and last is not None:
+            outcome[name] = "up to date"
+        elif not is_fresh(first["snapshot_ts"], last and last["ended_at"], step.daily, force):
             outcome[name] = "up to date"
-            continue
-        others = [newest(spark, bronze_root, source) for source in step.sources[1:]]
-        frames = [first[0], *[found and found[0] for found in others]]
-        outcome[name] = run_step(silver, step.table, lambda: step.make(*frames), phase)  # noqa: B023
+        else:
+            frames = [read_source(spark, bronze_root, s, newest.get(s.folder)) for s in step.sources]
+            outcome[name] = run_step(silver, step.table, lambda: step.make(*frames), phase)  # noqa: B023
     return outcome
 
 

@@ -9,24 +9,52 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
-
-LEDGER = (
-    "table_name string, phase string, status string, version bigint, rows bigint, "
-    "started_at timestamp, ended_at timestamp, source_version bigint, detail string"
-)
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
+
+LEDGER_COLUMNS = {
+    "table_name": "string",
+    "phase": "string",
+    "status": "string",
+    "version": "bigint",
+    "rows": "bigint",
+    "started_at": "timestamp",
+    "ended_at": "timestamp",
+    "source_version": "bigint",
+    "detail": "string",
+}
+LEDGER = ", ".join(f"{name} {kind}" for name, kind in LEDGER_COLUMNS.items())
 
 REPLACES = "replaces "
 
 
-def _committed(entries: Sequence[Row]) -> list[int]:
+def _entry(**values) -> list[Column]:
+    return [F.lit(values.get(name)).cast(kind).alias(name) for name, kind in LEDGER_COLUMNS.items()]
+
+
+def last_entry(entries: Sequence[Row], phase: str | None = None, status: str | None = "success") -> Row | None:
+    """Last of a table's entries with the given phase and status."""
+    found = [e for e in entries if phase in (None, e["phase"]) and status in (None, e["status"])]
+    return found[-1] if found else None
+
+
+def committed_versions(entries: Sequence[Row]) -> list[int]:
     return sorted({e["version"] for e in entries if e["status"] == "success" and e["version"] is not None})
 
 
+def live_versions(entries: Sequence[Row]) -> list[int]:
+    """Committed versions that no later one has replaced."""
+    notes = [e["detail"] for e in entries if e["status"] == "success" and (e["detail"] or "").startswith(REPLACES)]
+    replaced = {int(v) for note in notes for v in note.removeprefix(REPLACES).split(",")}
+    return [v for v in committed_versions(entries) if v not in replaced]
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.ledger_path = f"{self.root}/ledger"
+        # an empty ledger where there is none yet
+        spark.range(0).select(*_entry()).write.mode("ignore").parquet(self.ledger_path)
 
     def path(self, table: str, version: int) -> str:
         return f"{self.root}/tables/{table}/version={version}"
@@ -34,13 +62,7 @@ class Store:
     # ledger -------------------------------------------------------------
 
     def ledger(self) -> DataFrame:
-        """All entries; an untouched store has an empty ledger."""
-        try:
-            return self.spark.read.schema(LEDGER).parquet(f"{self.root}/ledger")
-        except Exception as error:  # the folder appears with the first entry
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            return self.spark.createDataFrame([], LEDGER)
+        return self.spark.read.schema(LEDGER).parquet(self.ledger_path)
 
     def record(
         self,
@@ -54,30 +76,38 @@ class Store:
         detail: str | None = None,
     ) -> None:
         now = datetime.now(timezone.utc)
-        entry = (table, phase, status, version, rows, started_at or now, now, source_version, detail)
-        self.spark.createDataFrame([entry], LEDGER).coalesce(1).write.mode("append").parquet(f"{self.root}/ledger")
-
-    def entries(self, table: str) -> list[Row]:
-        """Ledger entries of one table, oldest first: a short list of run metadata."""
-        mine = self.ledger().where(F.col("table_name") == table).collect()
-        return sorted(mine, key=lambda e: (e["ended_at"], e["version"] or 0))
+        entry = _entry(
+            table_name=table,
+            phase=phase,
+            status=status,
+            version=version,
+            rows=rows,
+            started_at=started_at or now,
+            ended_at=now,
+            source_version=source_version,
+            detail=detail,
+        )
+        self.spark.range(1).coalesce(1).select(*entry).write.mode("append").parquet(self.ledger_path)
+
+    def history(self, *tables: str) -> dict[str, list[Row]]:
+        """Ledger entries per table, oldest first; all tables when none is named. This is
+        run metadata, a few rows per run."""
+        entries = self.ledger()
+        if tables:
+            entries = entries.where(F.col("table_name").isin(*tables))
+        found: dict[str, list[Row]] = {table: [] for table in tables}
+        for entry in sorted(entries.collect(), key=lambda e: (e["ended_at"], e["version"] or 0)):
+            found.setdefault(entry["table_name"], []).append(entry)
+        return found
 
     def last(self, table: str, phase: str | None = None, status: str | None = "success") -> Row | None:
-        """Last entry of one table, phase and status."""
-        found = [
-            e for e in self.entries(table) if phase in (None, e["phase"]) and status in (None, e["status"])
-        ]
-        return found[-1] if found else None
+        return last_entry(self.history(table)[table], phase, status)
 
     def committed(self, table: str) -> list[int]:
-        return _committed(self.entries(table))
+        return committed_versions(self.history(table)[table])
 
     def live(self, table: str) -> list[int]:
-        """Committed versions that no later one has replaced."""
-        entries = self.entries(table)
-        notes = [e["detail"] for e in entries if e["status"] == "success" and (e["detail"] or "").startswith(REPLACES)]
-        replaced = {int(v) for note in notes for v in note.removeprefix(REPLACES).split(",")}
-        return [v for v in _committed(entries) if v not in replaced]
+        return live_versions(self.history(table)[table])
 
     # tables -------------------------------------------------------------
 
@@ -118,7 +148,7 @@ class Store:
     def read(self, table: str, version: int | None = None, columns: Sequence[str] = ()) -> DataFrame:
         """Latest committed version, or the given one."""
         known = self.committed(table)
-        chosen = version if version is not None else max(known, default=None)
+        chosen = max(known, default=None) if version is None else version
         if chosen is None or chosen not in known:
             raise LookupError(f"{table} has no committed version {version if version is not None else ''}".rstrip())
         df = self.spark.read.option("mergeSchema", "true").parquet(self.path(table, chosen))
