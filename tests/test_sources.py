@@ -31,8 +31,9 @@ def test_latest_batch(spark, tmp_path, members, complete):
     assert (row.suffix, row.members, row.is_complete) == ("2025-05-07_10-00-00", members, complete)
     batch = snapshots.read_latest_batch(spark, "id bigint, gone string", folder)
     assert batch.count() == sum(range(1, members + 1)) and batch.where("gone IS NOT NULL").count() == 0
-    strict = snapshots.read_latest_batch(spark, "id bigint", folder, allow_incomplete=False)
-    assert (strict is None) is not complete
+    strict = snapshots.read_latest_batch(spark, "id bigint", folder, complete_only=True)
+    assert strict.count() == 15  # the older batch when the newest is incomplete
+    assert snapshots.read_latest_batch(spark, "id bigint", folder, expected=9, complete_only=True) is None
 
 
 def test_snapshot_write_skips_empty(spark, tmp_path):
@@ -51,6 +52,11 @@ def test_versions_and_ledger(spark, tmp_path):
     assert table.read("t").count() == 5 and table.read("t", 1).count() == 3
     assert table.read("t", columns=["extra"]).columns == ["extra"]
     assert table.read_all("t").columns == ["id", "extra"]
+    assert table.read_all("t").where("extra IS NULL").count() == 3
+    table.publish(spark.range(1).select(F.lit("x").alias("id")), "u", 1)
+    table.publish(spark.range(1), "u", 2)
+    with pytest.raises(TypeError):
+        table.read_all("u")
     # writing a version again replaces it
     assert table.publish(spark.range(4), "t", 2) == (2, 4)
     assert table.read("t").count() == 4 and table.committed("t") == [1, 2]

@@ -85,11 +85,11 @@ def load(store: Store, name: str, built: DataFrame, version: int, source_version
     existing = None
     others = [v for v in live[name] if v != version]
     if spec.key and others:
-        existing = store.read_versions(name, others).select(*spec.key)
+        existing = store.read_versions(name, others, history[name]).select(*spec.key)
     for _, table in spec.fks:
         if not live[table]:
             raise LookupError(f"{name} refers to {table}, which is not loaded yet")
-    references = {table: store.read_versions(table, live[table]) for _, table in spec.fks}
+    references = {table: store.read_versions(table, live[table], history[table]) for _, table in spec.fks}
     rows = rows_to_load(name, built, existing, references)
     return store.publish(
         rows, name, version, phase="load", source_version=source_version, skip_empty=bool(spec.key)
@@ -125,7 +125,7 @@ def run_loads(
             newest = built["version"]
             after = loaded["source_version"] if loaded is not None and not force else None
             pending = [v for v in committed_versions(entries) if after is None or after < v]
-            rows = silver.read_versions(name, [newest] if LOADS[name].key or force else pending)
+            rows = silver.read_versions(name, [newest] if LOADS[name].key or force else pending, entries)
             version = max(committed_versions(loaded_entries.get(name, [])), default=0) + 1
             outcome[name] = load(warehouse, name, rows, version, newest)
     return outcome

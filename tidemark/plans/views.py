@@ -7,7 +7,7 @@ range shuffle that a report on a small slice wants and a large scan does not.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -344,16 +344,23 @@ def view(name: str, tables: Tables, ordered: bool = False) -> DataFrame:
     return _sorted(df, order) if ordered else df
 
 
-def register(spark: SparkSession, tables: Tables) -> None:
-    """Register tables and all views whose tables are given, for use from spark.sql."""
+def sources_of(name: str) -> set[str]:
+    """The tables a view reads."""
+    if name in COMPUTED_SOURCES:
+        return set(COMPUTED_SOURCES[name])
+    return {VIEWS[name].source, VIEWS[name].dim or VIEWS[name].source}
+
+
+def register(spark: SparkSession, tables: Tables, only: Collection[str] | None = None) -> None:
+    """Register tables, and the views (or `only` some) whose tables are given, for spark.sql.
+
+    The two ranking views count their largest group when they are registered.
+    """
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
-    for name, spec in VIEWS.items():
-        if {spec.source, spec.dim or spec.source} <= set(tables):
-            run_view(spec, tables).createOrReplaceTempView(name)
-    for name, (build, _) in COMPUTED.items():
-        if set(COMPUTED_SOURCES[name]) <= set(tables):
-            build(tables).createOrReplaceTempView(name)
+    for name in names():
+        if sources_of(name) <= set(tables) and (only is None or name in only):
+            view(name, tables).createOrReplaceTempView(name)
 
 
 # dashboard questions ---------------------------------------------------------

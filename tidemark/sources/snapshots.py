@@ -75,9 +75,12 @@ def batches(spark: SparkSession, folder: str, expected: int = 5) -> DataFrame:
     )
 
 
-def latest_batch(spark: SparkSession, folder: str, expected: int = 5) -> DataFrame:
-    """The newest batch; an incomplete one is still returned, flagged."""
-    return batches(spark, folder, expected).orderBy(F.desc("suffix")).limit(1)
+def latest_batch(spark: SparkSession, folder: str, expected: int = 5, complete_only: bool = False) -> DataFrame:
+    """The newest batch. An incomplete one is returned, flagged, unless only complete ones count."""
+    found = batches(spark, folder, expected)
+    if complete_only:
+        found = found.where("is_complete")
+    return found.orderBy(F.desc("suffix")).limit(1)
 
 
 def read_batch(spark: SparkSession, schema: str | StructType, folder: str, suffix: str) -> DataFrame:
@@ -90,13 +93,15 @@ def read_batch(spark: SparkSession, schema: str | StructType, folder: str, suffi
 
 
 def read_latest_batch(
-    spark: SparkSession, schema: str | StructType, folder: str, expected: int = 5, allow_incomplete: bool = True
+    spark: SparkSession,
+    schema: str | StructType,
+    folder: str,
+    expected: int = 5,
+    complete_only: bool = False,
 ) -> DataFrame | None:
-    """Rows of the newest batch, or None when there is none (or it is incomplete and that is refused)."""
-    newest = latest_batch(spark, folder, expected).first()
-    if newest is None or not (newest["is_complete"] or allow_incomplete):
-        return None
-    return read_batch(spark, schema, folder, newest["suffix"])
+    """Rows of the newest (complete) batch, or None when there is none."""
+    newest = latest_batch(spark, folder, expected, complete_only).first()
+    return newest and read_batch(spark, schema, folder, newest["suffix"])
 
 
 def snapshot_path(folder: str, name: str, taken_at: datetime) -> str:

@@ -6,10 +6,12 @@ row, so a failed or repeated write never shows up half done or twice.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 LEDGER_COLUMNS = {
     "table_name": "string",
@@ -21,6 +23,7 @@ LEDGER_COLUMNS = {
     "ended_at": "timestamp",
     "source_version": "bigint",
     "detail": "string",
+    "schema_json": "string",
 }
 LEDGER = ", ".join(f"{name} {kind}" for name, kind in LEDGER_COLUMNS.items())
 
@@ -48,6 +51,18 @@ def live_versions(entries: Sequence[Row]) -> list[int]:
     return [v for v in committed_versions(entries) if v not in replaced]
 
 
+def merged_schema(entries: Sequence[Row], versions: Sequence[int]) -> StructType:
+    """Columns of the given versions in order of appearance; one name must keep its type."""
+    latest = {e["version"]: e["schema_json"] for e in entries if e["status"] == "success" and e["schema_json"]}
+    fields: dict[str, StructField] = {}
+    for version in sorted(versions):
+        for field in StructType.fromJson(json.loads(latest[version])).fields:
+            known = fields.setdefault(field.name, field)
+            if known.dataType != field.dataType:
+                raise TypeError(f"{field.name} changed from {known.dataType} to {field.dataType}")
+    return StructType(list(fields.values()))
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -74,6 +89,7 @@ class Store:
         started_at: datetime | None = None,
         source_version: int | None = None,
         detail: str | None = None,
+        schema: StructType | None = None,
     ) -> None:
         now = datetime.now(timezone.utc)
         entry = _entry(
@@ -86,6 +102,7 @@ class Store:
             ended_at=now,
             source_version=source_version,
             detail=detail,
+            schema_json=schema and schema.json(),
         )
         self.spark.range(1).coalesce(1).select(*entry).write.mode("append").parquet(self.ledger_path)
 
@@ -142,32 +159,42 @@ class Store:
         rows = seen.get["rows"]
         status = "skipped" if skip_empty and rows == 0 else "success"
         detail = REPLACES + ",".join(map(str, replaces)) if replaces else None
-        self.record(table, phase, status, version, rows, started, source_version, detail)
+        self.record(table, phase, status, version, rows, started, source_version, detail, df.schema)
         return version, rows
 
     def read(self, table: str, version: int | None = None, columns: Sequence[str] = ()) -> DataFrame:
         """Latest committed version, or the given one."""
-        known = self.committed(table)
+        entries = self.history(table)[table]
+        known = committed_versions(entries)
         chosen = max(known, default=None) if version is None else version
         if chosen is None or chosen not in known:
             raise LookupError(f"{table} has no committed version {version if version is not None else ''}".rstrip())
-        df = self.spark.read.option("mergeSchema", "true").parquet(self.path(table, chosen))
+        df = self.read_versions(table, [chosen], entries)
         return df.select(*columns) if columns else df
 
     def read_all(self, table: str, columns: Sequence[str] = (), with_version: bool = False) -> DataFrame | None:
         """All live versions together (an appended table), or None before the first."""
-        live = self.live(table)
+        entries = self.history(table)[table]
+        live = live_versions(entries)
         if not live:
             return None
-        df = self.read_versions(table, live, with_version)
+        df = self.read_versions(table, live, entries, with_version)
         return df.select(*columns) if columns else df
 
-    def read_versions(self, table: str, versions: Sequence[int], with_version: bool = False) -> DataFrame:
-        """Several versions as one scan, optionally with their number in `version`."""
-        reader = self.spark.read.option("mergeSchema", "true")
+    def read_versions(
+        self, table: str, versions: Sequence[int], entries: Sequence[Row], with_version: bool = False
+    ) -> DataFrame:
+        """Several versions as one scan, optionally with their number in `version`.
+
+        The schema is the union of the schemas in the ledger, so no file footer is read
+        to plan the scan and a column added later is NULL in older versions.
+        """
+        schema = merged_schema(entries, versions)
+        reader = self.spark.read
         if with_version:
+            schema = StructType([*schema.fields, StructField("version", LongType())])
             reader = reader.option("basePath", f"{self.root}/tables/{table}")
-        return reader.parquet(*[self.path(table, v) for v in versions])
+        return reader.schema(schema).parquet(*[self.path(table, v) for v in versions])
 
     def compact(self, table: str, appended: bool = False, partition_by: Sequence[str] = ()) -> tuple[int, int]:
         """Rewrite a table in evenly sized files as its next version: the latest version,
