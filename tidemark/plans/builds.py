@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions import kpi
 from tidemark.functions.columns import (
     DAY,
+    SECONDS,
     epoch_to_time,
     first_of,
     split_plain,
@@ -22,9 +23,12 @@ from tidemark.operators.joins import enrich
 c = F.col
 
 
-def _snapshot() -> dict[str, Column]:
-    taken = to_time("date_snapshot")
-    return {"snapshot_timestamp": taken, "snapshot_str": time_text(taken)}
+def _with_text(df: DataFrame, pattern: str = SECONDS) -> DataFrame:
+    """Add `snapshot_str` next to its timestamp. It follows from the key, so it is added
+    after the dedupe and never sorted or shuffled."""
+    text = time_text("snapshot_timestamp", pattern).alias("snapshot_str")
+    columns = [[c(n), text] if n == "snapshot_timestamp" else [c(n)] for n in df.columns]
+    return df.select(*[column for pair in columns for column in pair])
 
 
 def _keyed(df: DataFrame, *keys: str) -> DataFrame:
@@ -41,13 +45,13 @@ def dim_crypto_id(bronze_map: DataFrame) -> DataFrame:
 
 
 def dim_crypto_map(bronze_map: DataFrame) -> DataFrame:
-    columns = {"crypto_id": to_int("id")} | _snapshot()
+    columns = {"crypto_id": to_int("id"), "snapshot_timestamp": to_time("date_snapshot")}
     columns |= {
         "rank": to_int("rank"),
         "is_active": to_int("is_active"),
         "last_historical_data": time_text(to_time("last_historical_data")),
     }
-    return _keyed(project(bronze_map, columns), "crypto_id", "snapshot_timestamp")
+    return _with_text(_keyed(project(bronze_map, columns), "crypto_id", "snapshot_timestamp"))
 
 
 def dim_crypto_info(bronze_info: DataFrame) -> DataFrame:
@@ -71,7 +75,7 @@ def dim_crypto_info(bronze_info: DataFrame) -> DataFrame:
 def clean_crypto_market(listings: DataFrame) -> DataFrame:
     """Typed, keyed listing rows before any KPI."""
     same = lambda *names: {n: n for n in names}
-    columns = {"crypto_id": to_int("id")} | _snapshot()
+    columns = {"crypto_id": to_int("id"), "snapshot_timestamp": to_time("date_snapshot")}
     columns |= {n: to_int(n) for n in ("batch_index", "cmc_rank")}
     columns |= {"last_updated_usd": time_text(to_time("last_updated_usd"))}
     columns |= {n: to_int(n) for n in ("platform_id", "num_market_pairs")}
@@ -81,7 +85,7 @@ def clean_crypto_market(listings: DataFrame) -> DataFrame:
         "self_reported_market_cap", "circulating_supply", "total_supply", "max_supply", "infinite_supply",
         "self_reported_circulating_supply",
     )
-    return _keyed(project(listings, columns), "crypto_id", "snapshot_timestamp")
+    return _with_text(_keyed(project(listings, columns), "crypto_id", "snapshot_timestamp"))
 
 
 def fact_crypto_market(listings: DataFrame) -> DataFrame:
@@ -96,12 +100,13 @@ def dim_crypto_category(bronze: DataFrame) -> DataFrame:
 
 
 def category_metrics(bronze: DataFrame) -> DataFrame:
-    columns = {"category_id": c("category_id")} | _snapshot() | {"num_tokens": to_int("num_tokens")}
+    columns = {"category_id": c("category_id"), "snapshot_timestamp": to_time("date_snapshot")}
+    columns |= {"num_tokens": to_int("num_tokens")}
     columns |= {
         n: c(n) for n in ("avg_price_change", "market_cap", "market_cap_change", "volume", "volume_change")
     }
     columns |= {"last_updated": time_text(to_time("last_updated"))}
-    return _keyed(project(bronze, columns), "category_id", "snapshot_timestamp")
+    return _with_text(_keyed(project(bronze, columns), "category_id", "snapshot_timestamp"))
 
 
 def fact_crypto_category(bronze: DataFrame) -> DataFrame:
@@ -140,7 +145,7 @@ def dim_exchange_info(bronze_info: DataFrame) -> DataFrame:
 
 def exchange_measures(bronze_info: DataFrame) -> DataFrame:
     """Per-snapshot visits, fees and spot volume; shared by the map dimension and the asset fact."""
-    columns = {"exchange_id": to_int("id")} | _snapshot()
+    columns = {"exchange_id": to_int("id"), "snapshot_timestamp": to_time("date_snapshot")}
     columns |= {"weekly_visits": to_int("weekly_visits")}
     columns |= {n: c(n) for n in ("spot_volume_usd", "maker_fee", "taker_fee")}
     return require_keys(project(bronze_info, columns), ["exchange_id"])
@@ -148,7 +153,7 @@ def exchange_measures(bronze_info: DataFrame) -> DataFrame:
 
 def dim_exchange_map(bronze_info: DataFrame, bronze_map: DataFrame | None = None) -> DataFrame:
     measures = exchange_measures(bronze_info).drop("spot_volume_usd")
-    keyed = _keyed(measures, "exchange_id", "snapshot_timestamp")
+    keyed = _with_text(_keyed(measures, "exchange_id", "snapshot_timestamp"))
     if bronze_map is None:
         return keyed
     return enrich(keyed, exchange_activity(bronze_map), ["exchange_id"])
@@ -170,7 +175,7 @@ def fact_exchange_assets(
     A single run joins the volume by exchange. `by_snapshot` joins it by exchange and
     snapshot, which gives in one job what one run per snapshot gives together.
     """
-    columns = {"exchange_id": to_int("exchange_id")} | _snapshot()
+    columns = {"exchange_id": to_int("exchange_id"), "snapshot_timestamp": to_time("date_snapshot")}
     columns |= {"blockchain_symbol": c("platform_symbol"), "blockchain_name": c("platform_name")}
     columns |= {"wallet_address": c("wallet_address"), "crypto_id": to_int("currency_crypto_id")}
     columns |= {n: c(n) for n in ("balance", "currency_price_usd")}
@@ -182,7 +187,7 @@ def fact_exchange_assets(
     else:
         keys = ["exchange_id", "snapshot_timestamp"] if by_snapshot else ["exchange_id"]
         priced = enrich(wallets, spot_volumes(bronze_info, by_snapshot), keys)
-    return priced.withColumns(kpi.wallet_kpis()).select(
+    return _with_text(priced).withColumns(kpi.wallet_kpis()).select(
         "exchange_id", "snapshot_timestamp", "snapshot_str", "spot_volume_usd", "blockchain_symbol",
         "blockchain_name", "wallet_address", "crypto_id", "balance", "currency_price_usd", "total_usd_value",
         "wallet_weight",
@@ -227,11 +232,10 @@ def fact_global_market(bronze: DataFrame) -> DataFrame:
 def _sentiment(bronze: DataFrame, taken: Column) -> DataFrame:
     columns = {
         "snapshot_timestamp": taken,
-        "snapshot_str": time_text(taken, DAY),
         "fear_greed_score": to_int("value"),
         "sentiment_label": c("value_classification"),
     }
-    return _keyed(project(bronze, columns), "snapshot_timestamp")
+    return _with_text(_keyed(project(bronze, columns), "snapshot_timestamp"), DAY)
 
 
 def sentiment_history(bronze: DataFrame) -> DataFrame:
