@@ -285,3 +285,11 @@ def test_observed_counts_without_another_job(spark):
     df, seen = increment.observed(spark.range(17), "n")
     df.write.format("noop").mode("overwrite").save()
     assert seen.get["rows"] == 17
+
+
+def test_required_keys_reach_the_scan(spark, tmp_path):
+    spark.createDataFrame([(1, "a"), (None, "b"), (2, None)], "k int, v string").write.parquet(f"{tmp_path}/t")
+    df = clean.require_keys(spark.read.parquet(f"{tmp_path}/t"), ["k", "v"])
+    assert rows(df) == [(1, "a")]
+    plan = df._jdf.queryExecution().toString()
+    assert "IsNotNull(k), IsNotNull(v)" in plan

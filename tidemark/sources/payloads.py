@@ -189,7 +189,7 @@ def category_links(payloads: DataFrame) -> DataFrame:
         .where(_r("id").isNotNull() & (_r("id") != ""))
         .select(F.explode("r.coins").alias("coin"), _r("id").alias("category_id"))
         .select(F.col("coin.id").try_cast("bigint").alias("crypto_id"), "category_id")
-        .dropna(subset=["crypto_id"])
+        .where("crypto_id IS NOT NULL")
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.operators.clean import keep_first
+from tidemark.operators.clean import keep_first, require_keys
 from tidemark.operators.joins import enforce_fks, new_keys
 
 
@@ -77,7 +77,7 @@ def publish_new_keys(
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        rows = keep_first(prepare(batch).dropna(subset=list(keys)), keys)
+        rows = keep_first(require_keys(prepare(batch), keys), keys)
         schema = rows.schema
         known = _published(batch.sparkSession, target, batch_id, schema, keys)
         if known is not None and prune_by is not None:
