@@ -98,6 +98,9 @@ def _loaded(table: str) -> str:
 
 
 _STEPS = {
+    "dq_duplicates_before_dedupe": f"""SELECT category_id, CAST(TRY_CAST(date_snapshot AS TIMESTAMPTZ) AS TIMESTAMP) AS {AT},
+        count(*) AS cnt FROM in_categories GROUP BY ALL HAVING cnt > 1""",
+    "dq_raw_reference_orphans": "SELECT exchange_id FROM in_exchange_assets EXCEPT SELECT id FROM in_exchange_map",
     # ranks are staged without a snapshot time, so their table is loaded without rows
     "step_groups": " UNION ALL ".join(
         _loaded(t)

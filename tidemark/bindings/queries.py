@@ -118,6 +118,25 @@ _dashboard("sentiment_runs", views.sentiment_runs)
 _dashboard("top_wallets", views.top_wallets, 10)
 
 
+@query
+def dq_duplicates_before_dedupe(spark, sf_dir):
+    """The uniqueness check on rows that were not deduplicated."""
+    raw = bronze(spark, sf_dir, "in_categories")
+    keyed = raw.select("category_id", cols.to_time("date_snapshot").alias("snapshot_timestamp"))
+    return checks.violations("crypto_15_duplicate_category_key", {"fact_crypto_category": keyed})
+
+
+@query
+def dq_raw_reference_orphans(spark, sf_dir):
+    """Distinct exchanges with wallets that the exchange list leaves out, from unloaded data."""
+    tables = {
+        "crypto_category_link": bronze(spark, sf_dir, "in_exchange_assets").select(c("exchange_id").alias("crypto_id")),
+        "dim_crypto_id": bronze(spark, sf_dir, "in_exchange_map").select(c("id").alias("crypto_id")),
+    }
+    found = checks.violations("crypto_13_link_crypto_orphans", tables)
+    return found.withColumnRenamed("crypto_id", "exchange_id")
+
+
 # loads and repairs ---------------------------------------------------------------
 
 # what the warehouse holds before the load, for tables that take only new keys

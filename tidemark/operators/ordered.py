@@ -50,10 +50,18 @@ def _with_offset(fixed: DataFrame, weight: Column) -> DataFrame:
 
 
 def row_numbers(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str, small_group: int = SMALL_GROUP
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[Column],
+    name: str,
+    small_group: int = SMALL_GROUP,
+    largest: int | None = None,
 ) -> DataFrame:
-    """ROW_NUMBER over (group, order). `order` should end in a unique tie-break."""
-    if largest_group(df, group) <= small_group:
+    """ROW_NUMBER over (group, order). `order` should end in a unique tie-break.
+
+    `largest` is an upper bound of the group size where the caller knows one; else it is counted.
+    """
+    if (largest_group(df, group) if largest is None else largest) <= small_group:
         place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
         return df.withColumn(name, place.cast("bigint"))
     in_slice = F.row_number().over(Window.partitionBy("_g", "_slice").orderBy(*order))
@@ -68,11 +76,12 @@ def ranks(
     name: str,
     descending: bool = True,
     small_group: int = SMALL_GROUP,
+    largest: int | None = None,
 ) -> DataFrame:
     """RANK over (group, by). In the sliced way equal values are counted before they are
     ordered, so a value shared by many rows is one row in the ordered part."""
     order = F.col(by).desc_nulls_first() if descending else F.col(by).asc_nulls_last()
-    if largest_group(df, group) <= small_group:
+    if (largest_group(df, group) if largest is None else largest) <= small_group:
         return df.withColumn(name, F.rank().over(Window.partitionBy(*group).orderBy(order)).cast("bigint"))
     counted = df.groupBy(*group, by).agg(F.count(F.lit(1)).alias("_n"))
     so_far = Window.partitionBy("_g", "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

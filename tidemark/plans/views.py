@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.kpi import delay_seconds
 from tidemark.operators.joins import orphans
-from tidemark.operators.ordered import ranks, row_numbers, runs, top_n
+from tidemark.operators.ordered import largest_group, ranks, row_numbers, runs, top_n
 
 Tables = Mapping[str, DataFrame]
 
@@ -244,7 +244,8 @@ def top_categories_by_market_cap(t: Tables) -> DataFrame:
     """Rank of every category within its snapshot, equal caps sharing a rank."""
     capped = with_dimension(t[CATEGORY].where(present("market_cap")), t, KIND)
     capped = capped.select("category_id", "name", AT, "market_cap")
-    return ranks(capped, [AT], "market_cap", "category_rank")
+    # a join to names adds no rows, so the fact alone bounds the groups
+    return ranks(capped, [AT], "market_cap", "category_rank", largest=largest_group(t[CATEGORY], [AT]))
 
 
 def average_asset_price_by_crypto(t: Tables) -> DataFrame:
@@ -278,7 +279,9 @@ def _wallet_order() -> list[Column]:
 
 def top_wallets_by_usd_value(t: Tables) -> DataFrame:
     """Every valued wallet, numbered by value within its exchange and snapshot."""
-    return row_numbers(_valued_wallets(t), ["exchange_id", AT], _wallet_order(), "wallet_rank")
+    group = ["exchange_id", AT]
+    largest = largest_group(t[ASSETS], group)
+    return row_numbers(_valued_wallets(t), group, _wallet_order(), "wallet_rank", largest=largest)
 
 
 def top_wallets(t: Tables, n: int = 10) -> DataFrame:
