@@ -140,7 +140,7 @@ INPUTS: dict[str, str] = {
     "in_global": """
         SELECT CAST(COUNT(*) AS BIGINT) AS active_cryptocurrencies,
                CASE WHEN EXTRACT(DAY FROM o_orderdate) = 3 THEN NULL WHEN EXTRACT(DAY FROM o_orderdate) = 4 THEN CAST(0 AS BIGINT)
-                    ELSE CAST(COUNT(*) AS BIGINT) * 2 END AS total_cryptocurrencies,
+                    ELSE CAST(COUNT(*) AS BIGINT) + 2 END AS total_cryptocurrencies,
                CAST(MAX(o_custkey) AS BIGINT) AS active_market_pairs,
                CAST(COUNT(DISTINCT o_custkey) AS BIGINT) AS active_exchanges,
                CAST(COUNT(DISTINCT o_custkey) AS BIGINT) + 5 AS total_exchanges,
@@ -150,7 +150,7 @@ INPUTS: dict[str, str] = {
                CAST(SUM(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS BIGINT) AS past_7d_incremental_crypto_number,
                CAST(COUNT(DISTINCT o_custkey) AS BIGINT) AS past_30d_incremental_crypto_number,
                CAST(MIN(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / 5000.0e0 AS eth_dominance,
-               CASE WHEN EXTRACT(DAY FROM o_orderdate) = 5 THEN NULL ELSE CAST(MAX(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / 5000.0e0 END AS btc_dominance,
+               CASE WHEN EXTRACT(DAY FROM o_orderdate) = 5 THEN NULL ELSE CAST(MAX(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / 4000.0e0 END AS btc_dominance,
                CASE WHEN EXTRACT(DAY FROM o_orderdate) = 6 THEN NULL ELSE CAST(MIN(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / 5000.0e0 END AS eth_dominance_yesterday,
                CAST(MIN(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / 4000.0e0 AS btc_dominance_yesterday,
                CAST(COUNT(*) AS DOUBLE) / 8.0e0 AS eth_dominance_24h_percentage_change,
@@ -191,7 +191,7 @@ INPUTS: dict[str, str] = {
         FROM {orders} GROUP BY o_orderdate""",
     "in_sentiment": """
         SELECT date_trunc('hour', ts) AS hour_start,
-               CAST(FLOOR(MAX(value)) AS BIGINT) - 5 AS value,
+               CASE WHEN EXTRACT(HOUR FROM date_trunc('hour', ts)) = 3 THEN NULL ELSE CAST(FLOOR(MAX(value)) AS BIGINT) - 5 END AS value,
                CASE WHEN event_type = 'view' THEN NULL ELSE event_type END AS value_classification
         FROM {events} GROUP BY date_trunc('hour', ts), event_type""",
 }
