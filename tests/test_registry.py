@@ -6,7 +6,7 @@ import __spark_entry__ as registry
 from tests.parity import connect, differences
 
 SF = "/root/testdata/sf0.001"
-QUERIES = registry.queries()
+QUERIES = {k: f for k, f in registry.queries().items() if k not in registry.TEXT_QUERIES}
 EXPECTED = registry.oracle_sql()
 
 
@@ -16,7 +16,7 @@ def con():
 
 
 def test_every_query_has_expected_sql():
-    assert set(QUERIES) == set(EXPECTED)
+    assert set(QUERIES) == set(EXPECTED) - set(registry.TEXT_EXPECTED)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
