@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact_dedup, token_counts, warc
+from tidemark.llm import bpe, decontaminate, exact_dedup, token_counts, warc
 from tidemark.session import work_dir
 
 
@@ -33,12 +33,16 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), vocabulary_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe_encode_decode, op2_warc, op7_exact_dedup, op9_token_counts)
+    f.__name__: f for f in (op1_bpe_encode_decode, op2_warc, op7_exact_dedup, op8_decontamination, op9_token_counts)
 }
 
 EXPECTED: dict[str, str] = {
