@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, token_counts, warc
+from tidemark.llm import bpe, decontaminate, exact_dedup, extract, language, token_counts, warc
 from tidemark.session import work_dir
 
 
@@ -29,6 +29,14 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(_table(spark, sf_dir, "pages"), work_dir(spark, "warc"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
+def op6_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(_table(spark, sf_dir, "pages"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -42,7 +50,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe_encode_decode, op2_warc, op7_exact_dedup, op8_decontamination, op9_token_counts)
+    f.__name__: f for f in (op1_bpe_encode_decode, op2_warc, op3_language, op6_extract, op7_exact_dedup, op8_decontamination, op9_token_counts)
 }
 
 EXPECTED: dict[str, str] = {
