@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, extract, language, token_counts, warc
+from tidemark.llm import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    extract,
+    language,
+    near_dedup,
+    suffix_dedup,
+    token_counts,
+    warc,
+)
 from tidemark.session import work_dir
 
 
@@ -33,6 +43,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(_table(spark, sf_dir, "documents"))
+
+
 def op6_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(_table(spark, sf_dir, "pages"))
 
@@ -49,8 +63,23 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bpe_encode_decode, op2_warc, op3_language, op6_extract, op7_exact_dedup, op8_decontamination, op9_token_counts)
+    f.__name__: f
+    for f in (
+        op1_bpe_encode_decode,
+        op2_warc,
+        op3_language,
+        op5_suffix_dedup,
+        op6_extract,
+        op7_exact_dedup,
+        op8_decontamination,
+        op9_token_counts,
+        op10_near_dedup,
+    )
 }
 
 EXPECTED: dict[str, str] = {
