@@ -74,5 +74,7 @@ def test_queries(spark):
     want = [(r[0], len((r[1] or "").encode()), len(i), len(i) > 512) for r, i in zip(rows, want_ids)]
     assert got == sorted(want, key=str)
     assert bpe.encode(docs, PATH).where("doc_id = 402").first().ids == LIBRARY.encode(rows[402][1]).ids
+    back = {r.doc_id: r.text for r in bpe.decode(bpe.encode(docs, PATH), PATH).collect()}
+    assert back[402] == rows[402][1] and back[None] == "" and len(back) == len(rows) - 1
     empty = docs.limit(0)
     assert bpe.encode_decode(empty, PATH).count() == token_counts.token_counts(empty, PATH).count() == 0

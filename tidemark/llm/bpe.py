@@ -21,6 +21,7 @@ from itertools import chain
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
@@ -223,13 +224,30 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
 
 
 def encode(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, ids (array of int)."""
+    """Per row: doc_id, n_tokens, ids (array of int), decoded_sha256 (of the text that the ids give back)."""
     source = docs.sparkSession.sparkContext.broadcast(load_source(vocabulary_path))
 
     def rows(batches: Iterator) -> Iterator:
         machine = automaton(source.value)
         for keys, texts in batches:
-            yield [*keys, [machine.encode(text).tolist() for text in texts]]
+            encoded = [machine.encode(text) for text in texts]
+            ends = np.cumsum([0, *map(len, encoded)])
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*encoded, np.zeros(0, np.int32)])))
+            yield [*keys, np.diff(ends).tolist(), ids, [sha256(machine.decode(e.tolist()).encode()) for e in encoded]]
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_texts(docs, [id_col], text_col, f"doc_id {kind}, ids array<int>", rows)
+    return map_texts(docs, [id_col], text_col, f"doc_id {kind}, n_tokens long, ids array<int>, decoded_sha256 string", rows)
+
+
+def decode(encoded: DataFrame, vocabulary_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
+    """Per row: doc_id, text. NULL ids give an empty text; an id outside the vocabulary is an error."""
+    source = encoded.sparkSession.sparkContext.broadcast(load_source(vocabulary_path))
+    kind = encoded.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = automaton(source.value)
+        for batch in batches:
+            texts = [machine.decode(ids or ()) for ids in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+    return encoded.select(id_col, ids_col).mapInArrow(run, f"doc_id {kind}, text string")

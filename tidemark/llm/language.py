@@ -28,6 +28,8 @@ PAIRS, TRIPLES = 1024, 2048
 #: Margins are scaled by this before they become scores.
 STEEPNESS = 4.0
 UNKNOWN = "und"
+#: A document below this score is in no language that was learned.
+LEAST_SCORE = 0.1
 
 _LETTER = re.compile(r"[^\W\d_]")
 _SPACES = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256))
@@ -169,3 +171,16 @@ def identify(
     return map_texts(
         narrow, ["doc_id", "held_out"], "text", f"doc_id {kind}, held_out boolean, lang_pred string, score double", rows
     )
+
+
+def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The documents whose language can be told, with all their columns.
+
+    Rejected are texts without a letter and those that no machine is sure of. Rows that share an id
+    share the decision: they stay if one of them is identified.
+    """
+    good = identify(docs, None, id_col, text_col, lang_col).where(
+        (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    )
+    ids = good.select(F.col("doc_id").alias("_good_id")).distinct()
+    return docs.join(ids, docs[id_col].eqNullSafe(ids["_good_id"]), "left_semi")

@@ -12,6 +12,7 @@ from tidemark.llm import (
     exact_dedup,
     extract,
     language,
+    lm_scores,
     near_dedup,
     suffix_dedup,
     token_counts,
@@ -43,6 +44,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores.score(_table(spark, sf_dir, "documents"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup(_table(spark, sf_dir, "documents"))
 
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_bpe_encode_decode,
         op2_warc,
         op3_language,
+        op4_lm_scores,
         op5_suffix_dedup,
         op6_extract,
         op7_exact_dedup,
