@@ -162,4 +162,4 @@ def test_register_views_for_sql(spark):
 @pytest.mark.parametrize("name", sorted(views.VIEWS))
 def test_declared_views_name_their_dimension_key(name):
     spec = views.VIEWS[name]
-    assert spec.dim is None or views.DIMENSIONS[spec.dim][0] in spec.columns.split()
+    assert spec.dim is None or views.DIMENSIONS[spec.dim][0] in spec.columns

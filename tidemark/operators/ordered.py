@@ -1,9 +1,12 @@
 """Order-dependent operators that never bring an unbounded group into one task.
 
-A window sends each group to a single task. That is fine while groups are small, which
-one narrow count shows. Beyond `SMALL_GROUP` rows, groups are cut into ordered slices by
-range partitioning: tasks work slice by slice, and one summary row per slice carries
-the state to the later slices of its group. Both ways give the same rows.
+Groups are cut into ordered slices by range partitioning: tasks work slice by slice, and one
+summary row per slice carries the state to the later slices of its group. That is the only way,
+whatever the size of a group. The slices are fixed in a table in the shared folder, which the
+operator writes when it is called; its folder can be deleted once the result has been used.
+
+`slices` is their number, by default `spark.sql.shuffle.partitions`. A slice is sorted by one task,
+so set it to about the bytes of the input divided by what a task may sort (say 256 MB).
 """
 
 from __future__ import annotations
@@ -14,10 +17,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.session import work_dir
 
-# Rows one task may have to order; larger groups are sliced.
-SMALL_GROUP = 2_000_000
-
-
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: a fixed input that survives lost executors."""
     path = work_dir(df.sparkSession, label)
@@ -25,15 +24,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Rows of the largest group; one row reaches the driver."""
-    return df.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-
-
-def _sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def _sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column], slices: int | None) -> DataFrame:
     """Fixed slices: `_g` is the group as one value (NULL members compare equal) and
     `_slice` grows with the order inside it. Rows equal in group and order share a slice."""
-    ranged = df.repartitionByRange(*[F.col(g).asc_nulls_first() for g in group], *order)
+    count = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(count, *[F.col(g).asc_nulls_first() for g in group], *order)
     whole = F.struct(*group) if group else F.lit(0)
     return materialize(ranged.select("*", whole.alias("_g"), F.spark_partition_id().alias("_slice")), "slices")
 
@@ -50,75 +45,53 @@ def _with_offset(fixed: DataFrame, weight: Column) -> DataFrame:
 
 
 def row_numbers(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[Column],
-    name: str,
-    small_group: int = SMALL_GROUP,
-    largest: int | None = None,
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str, slices: int | None = None
 ) -> DataFrame:
-    """ROW_NUMBER over (group, order). `order` should end in a unique tie-break.
-
-    `largest` is an upper bound of the group size where the caller knows one; else it is counted.
-    """
-    if (largest_group(df, group) if largest is None else largest) <= small_group:
-        place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-        return df.withColumn(name, place.cast("bigint"))
+    """ROW_NUMBER over (group, order). `order` should end in a unique tie-break, or equal rows share a slice."""
     in_slice = F.row_number().over(Window.partitionBy("_g", "_slice").orderBy(*order))
-    numbered = _with_offset(_sliced(df, group, order), F.lit(1))
+    numbered = _with_offset(_sliced(df, group, order, slices), F.lit(1))
     return numbered.withColumn(name, (F.col("_before") + in_slice).cast("bigint")).select(*df.columns, name)
 
 
 def ranks(
-    df: DataFrame,
-    group: Sequence[str],
-    by: str,
-    name: str,
-    descending: bool = True,
-    small_group: int = SMALL_GROUP,
-    largest: int | None = None,
+    df: DataFrame, group: Sequence[str], by: str, name: str, descending: bool = True, slices: int | None = None
 ) -> DataFrame:
-    """RANK over (group, by). In the sliced way equal values are counted before they are
-    ordered, so a value shared by many rows is one row in the ordered part."""
+    """RANK over (group, by). Equal values are counted before they are ordered, so a value shared
+    by many rows is one row in the ordered part."""
     order = F.col(by).desc_nulls_first() if descending else F.col(by).asc_nulls_last()
-    if (largest_group(df, group) if largest is None else largest) <= small_group:
-        return df.withColumn(name, F.rank().over(Window.partitionBy(*group).orderBy(order)).cast("bigint"))
     counted = df.groupBy(*group, by).agg(F.count(F.lit(1)).alias("_n"))
     so_far = Window.partitionBy("_g", "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     place = F.col("_before") + F.coalesce(F.sum("_n").over(so_far), F.lit(0)) + 1
-    places = _with_offset(_sliced(counted, group, [order]), F.col("_n")).select(
+    places = _with_offset(_sliced(counted, group, [order], slices), F.col("_n")).select(
         F.struct(*group, by).alias("_key"), place.cast("bigint").alias(name)
     )
     return df.withColumn("_key", F.struct(*group, by)).join(places, on="_key").select(*df.columns, name)
 
 
 def top_n(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, name: str) -> DataFrame:
-    """First n rows per group; WindowGroupLimit trims to n per group before the shuffle."""
+    """First n rows per group. Up to spark.sql.optimizer.windowGroupLimitThreshold (1000) rows,
+    WindowGroupLimit trims to n per group before the shuffle; use `row_numbers` for larger n."""
     place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
     return df.withColumn(name, place.cast("bigint")).where(F.col(name) <= n)
 
 
 def chunked(
-    df: DataFrame, order: Sequence[Column], size: int, name: str = "chunk_id", small_group: int = SMALL_GROUP
+    df: DataFrame, order: Sequence[Column], size: int, name: str = "chunk_id", slices: int | None = None
 ) -> DataFrame:
     """Number consecutive rows into chunks of `size`, counted from 1."""
-    numbered = row_numbers(df, [], order, "_row", small_group)
+    numbered = row_numbers(df, [], order, "_row", slices)
     return numbered.withColumn(name, F.expr(f"(_row - 1) div {size} + 1")).drop("_row")
 
 
 def _with_previous(
-    ticks: DataFrame, entity: Sequence[str], ts: str, point: Column, name: str, sliced: bool
+    ticks: DataFrame, entity: Sequence[str], ts: str, point: Column, name: str, slices: int | None
 ) -> DataFrame:
     """Add the last strictly earlier non-NULL `point` of the entity.
 
     `ticks` has one row per (entity, ts); `point` is a struct that starts with `ts`, so
     the greatest earlier point is the last one.
     """
-    pointed = ticks.withColumn("_point", point)
-    if not sliced:
-        earlier = Window.partitionBy(*entity).orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
-        return pointed.withColumn(name, F.max("_point").over(earlier)).drop("_point")
-    fixed = _sliced(pointed, entity, [F.col(ts).asc_nulls_first()])
+    fixed = _sliced(ticks.withColumn("_point", point), entity, [F.col(ts).asc_nulls_first()], slices)
     last = fixed.groupBy("_g", "_slice").agg(F.max("_point").alias("_point"))
     # the carried point enters its slice as a row before all others
     carried = last.select("_g", "_slice", F.max("_point").over(_earlier_slices()).alias("_point"))
@@ -131,7 +104,7 @@ def _with_previous(
 
 
 def previous_known(
-    df: DataFrame, entity: Sequence[str], ts: str, values: Sequence[str], small_group: int = SMALL_GROUP
+    df: DataFrame, entity: Sequence[str], ts: str, values: Sequence[str], slices: int | None = None
 ) -> DataFrame:
     """Backward as-of: per (entity, ts), the values of the last strictly earlier time at
     which all of them are present, as `prev_<value>`, with that time as `prev_<ts>`.
@@ -143,8 +116,7 @@ def previous_known(
         full = full & F.col(v).isNotNull()
     point = F.struct(F.col(ts), *[F.col(v) for v in values])
     ticks = df.groupBy(*entity, ts).agg(F.max(F.when(full, point)).alias("_known"))
-    sliced = largest_group(df, entity) > small_group
-    found = _with_previous(ticks, entity, ts, F.col("_known"), "_found", sliced)
+    found = _with_previous(ticks, entity, ts, F.col("_known"), "_found", slices)
     return found.select(
         *entity,
         ts,
@@ -154,10 +126,10 @@ def previous_known(
 
 
 def fill_from_previous(
-    df: DataFrame, entity: Sequence[str], ts: str, value: str, small_group: int = SMALL_GROUP
+    df: DataFrame, entity: Sequence[str], ts: str, value: str, slices: int | None = None
 ) -> DataFrame:
     """Replace a NULL value by the last strictly earlier known one of the same entity."""
-    found = previous_known(df, entity, ts, [value], small_group).select(*entity, ts, f"prev_{value}")
+    found = previous_known(df, entity, ts, [value], slices).select(*entity, ts, f"prev_{value}")
     return (
         df.join(found, on=[*entity, ts], how="left")
         .withColumn(value, F.coalesce(F.col(value), F.col(f"prev_{value}")))
@@ -166,7 +138,7 @@ def fill_from_previous(
 
 
 def runs(
-    df: DataFrame, entity: Sequence[str], ts: str, state: str, small_group: int = SMALL_GROUP
+    df: DataFrame, entity: Sequence[str], ts: str, state: str, slices: int | None = None
 ) -> DataFrame:
     """Gaps and islands: stretches of consecutive times in one (non-NULL) state.
 
@@ -174,12 +146,11 @@ def runs(
     belongs to the last opening before it.
     """
     ticks = df.groupBy(*entity, ts).agg(F.max(state).alias(state))
-    sliced = largest_group(df, entity) > small_group
-    before = _with_previous(ticks, entity, ts, F.struct(ts, state), "_before", sliced)
+    before = _with_previous(ticks, entity, ts, F.struct(ts, state), "_before", slices)
     opens = F.when(~F.col(state).eqNullSafe(F.col(f"_before.{state}")), F.struct(ts))
     marked = before.select(*entity, ts, state, opens.alias("_opens"))
     return (
-        _with_previous(marked, entity, ts, F.col("_opens"), "_opened", sliced)
+        _with_previous(marked, entity, ts, F.col("_opens"), "_opened", slices)
         .withColumn("run_start", F.coalesce("_opens", "_opened")[ts])
         .groupBy(*entity, "run_start", state)
         .agg(F.max(ts).alias("run_end"), F.count(F.lit(1)).alias("run_length"))

@@ -7,14 +7,14 @@ range shuffle that a report on a small slice wants and a large scan does not.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection, Mapping
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.kpi import delay_seconds
 from tidemark.operators.joins import orphans
-from tidemark.operators.ordered import largest_group, ranks, row_numbers, runs, top_n
+from tidemark.operators.ordered import ranks, row_numbers, runs, top_n
 
 Tables = Mapping[str, DataFrame]
 
@@ -29,18 +29,18 @@ DIMENSIONS = {
 @dataclass(frozen=True)
 class View:
     source: str
-    columns: str = "*"
+    columns: tuple[str, ...] = ()  # none: all
     where: str | None = None
     dim: str | None = None
-    order: str = ""
+    order: tuple[str, ...] = ()
 
     def column_list(self, df: DataFrame) -> list[str]:
-        return df.columns if self.columns == "*" else self.columns.split()
+        return list(self.columns) or df.columns
 
 
-def _sorted(df: DataFrame, order: str) -> DataFrame:
+def _sorted(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """`order` holds names; a leading '-' means descending, with NULLs first."""
-    keys = [F.col(o[1:]).desc_nulls_first() if o[0] == "-" else F.col(o).asc_nulls_last() for o in order.split()]
+    keys = [F.col(o[1:]).desc_nulls_first() if o[0] == "-" else F.col(o).asc_nulls_last() for o in order]
     return df.orderBy(*keys) if keys else df
 
 
@@ -84,154 +84,171 @@ COIN, KIND, VENUE = "dim_crypto_id", "dim_crypto_category", "dim_exchange_id"
 AT = "snapshot_timestamp"
 
 
-def _global(columns: str) -> View:
-    return View(GLOBAL, f"{AT} {columns}", order=f"-{AT}")
+def _global(*columns: str) -> View:
+    return View(GLOBAL, (AT, *columns), order=(f"-{AT}",))
 
 
+# Names, columns and order of the views.
 VIEWS: dict[str, View] = {
     # trends by category
     "vw_category_dominance_index": View(
-        CATEGORY, f"category_id name {AT} dominance_per_token volume_to_market_cap_ratio",
-        present("dominance_per_token"), KIND, f"category_id -{AT}",
+        CATEGORY, ("category_id", "name", AT, "dominance_per_token", "volume_to_market_cap_ratio"),
+        present("dominance_per_token"), KIND, ("category_id", f"-{AT}"),
     ),
     "vw_category_market_trend": View(
         CATEGORY,
-        f"category_id name {AT} num_tokens market_cap volume market_cap_change volume_change "
-        "market_cap_change_rate volume_change_rate",
-        present("market_cap", "volume"), KIND, f"category_id -{AT}",
+        ("category_id", "name", AT, "num_tokens", "market_cap", "volume", "market_cap_change",
+            "volume_change", "market_cap_change_rate", "volume_change_rate"),
+        present("market_cap", "volume"), KIND, ("category_id", f"-{AT}"),
     ),
     "vw_category_price_change_index": View(
-        CATEGORY, f"category_id name {AT} avg_price_change price_change_index",
-        present("price_change_index"), KIND, f"category_id -{AT}",
+        CATEGORY, ("category_id", "name", AT, "avg_price_change", "price_change_index"),
+        present("price_change_index"), KIND, ("category_id", f"-{AT}"),
     ),
     # trends by coin
     "vw_crypto_info_overview": View(
         "dim_crypto_info",
-        "crypto_id name slug category description logo_url website_url twitter_url source_code_url technical_doc_url",
+        ("crypto_id", "name", "slug", "category", "description", "logo_url", "website_url", "twitter_url",
+            "source_code_url", "technical_doc_url"),
         dim=COIN,
     ),
     "vw_crypto_market_cap_trend": View(
-        MARKET, f"crypto_id name {AT} market_cap_usd market_cap_dominance_usd fully_diluted_market_cap_usd",
-        present("market_cap_usd"), COIN, "-market_cap_dominance_usd",
+        MARKET, ("crypto_id", "name", AT, "market_cap_usd", "market_cap_dominance_usd",
+            "fully_diluted_market_cap_usd"),
+        present("market_cap_usd"), COIN, ("-market_cap_dominance_usd",),
     ),
     "vw_crypto_market_rank_history": View(
-        MARKET, f"crypto_id name {AT} cmc_rank num_market_pairs", present("cmc_rank"), COIN, "cmc_rank",
+        MARKET, ("crypto_id", "name", AT, "cmc_rank", "num_market_pairs"), present("cmc_rank"), COIN,
+            ("cmc_rank",),
     ),
     "vw_crypto_price_evolution": View(
-        MARKET, f"crypto_id name {AT} price_usd percent_change_24h_usd percent_change_7d_usd",
-        present("price_usd"), COIN, f"-{AT} -price_usd",
+        MARKET, ("crypto_id", "name", AT, "price_usd", "percent_change_24h_usd", "percent_change_7d_usd"),
+        present("price_usd"), COIN, (f"-{AT}", "-price_usd"),
     ),
     "vw_crypto_supply_utilization": View(
         MARKET,
-        f"crypto_id name {AT} circulating_supply total_supply max_supply infinite_supply "
-        "self_reported_circulating_supply supply_utilization missing_supply_ratio fully_diluted_cap_ratio",
-        present("supply_utilization"), COIN, "-supply_utilization",
+        ("crypto_id", "name", AT, "circulating_supply", "total_supply", "max_supply", "infinite_supply",
+            "self_reported_circulating_supply", "supply_utilization", "missing_supply_ratio",
+            "fully_diluted_cap_ratio"),
+        present("supply_utilization"), COIN, ("-supply_utilization",),
     ),
     "vw_crypto_volume_vs_price": View(
         MARKET,
-        f"crypto_id name {AT} price_usd volume_24h_usd volume_change_24h percent_change_24h_usd "
-        "volume_to_market_cap_ratio",
-        present("price_usd", "volume_24h_usd"), COIN, f"-{AT} -volume_to_market_cap_ratio",
+        ("crypto_id", "name", AT, "price_usd", "volume_24h_usd", "volume_change_24h",
+            "percent_change_24h_usd", "volume_to_market_cap_ratio"),
+        present("price_usd", "volume_24h_usd"), COIN, (f"-{AT}", "-volume_to_market_cap_ratio"),
     ),
     # trends by exchange
     "vw_exchange_fee_history": View(
-        EXMAP, f"exchange_id name {AT} maker_fee taker_fee", None, VENUE, f"-maker_fee -taker_fee -{AT}",
+        EXMAP, ("exchange_id", "name", AT, "maker_fee", "taker_fee"), None, VENUE, ("-maker_fee",
+            "-taker_fee", f"-{AT}"),
     ),
     "vw_exchange_info_overview": View(
-        "dim_exchange_info", "exchange_id name slug description logo_url website_url fee_url", dim=VENUE,
+        "dim_exchange_info", ("exchange_id", "name", "slug", "description", "logo_url", "website_url",
+            "fee_url"), dim=VENUE,
     ),
     "vw_exchange_weekly_visits_trend": View(
-        EXMAP, f"exchange_id name {AT} weekly_visits", present("weekly_visits"), VENUE, f"exchange_id -{AT}",
+        EXMAP, ("exchange_id", "name", AT, "weekly_visits"), present("weekly_visits"), VENUE, ("exchange_id",
+            f"-{AT}"),
     ),
     # sentiment and global market
     "vw_fear_greed_daily_trend": View(
-        SENTIMENT, f"{AT} fear_greed_score sentiment_label", present("fear_greed_score"), order=f"-{AT}",
+        SENTIMENT, (AT, "fear_greed_score", "sentiment_label"), present("fear_greed_score"),
+            order=(f"-{AT}",),
     ),
-    "vw_altcoin_market_trend": _global("altcoin_market_cap altcoin_volume_24h altcoin_volume_24h_reported"),
+    "vw_altcoin_market_trend": _global("altcoin_market_cap", "altcoin_volume_24h",
+        "altcoin_volume_24h_reported"),
     "vw_btc_eth_dominance_trend": _global(
-        "btc_dominance eth_dominance btc_dominance_yesterday eth_dominance_yesterday btc_dominance_24h_change "
-        "eth_dominance_24h_change btc_dominance_delta eth_dominance_delta"
+        "btc_dominance", "eth_dominance", "btc_dominance_yesterday", "eth_dominance_yesterday",
+        "btc_dominance_24h_change", "eth_dominance_24h_change", "btc_dominance_delta", "eth_dominance_delta"
     ),
     "vw_crypto_creation_activity": _global(
-        "total_cryptocurrencies new_cryptos_today new_cryptos_last_24h new_cryptos_last_7d new_cryptos_last_30d "
-        "crypto_growth_rate_30d max_daily_new_cryptos max_new_cryptos_day min_daily_new_cryptos min_new_cryptos_day"
+        "total_cryptocurrencies", "new_cryptos_today", "new_cryptos_last_24h", "new_cryptos_last_7d",
+        "new_cryptos_last_30d", "crypto_growth_rate_30d", "max_daily_new_cryptos", "max_new_cryptos_day",
+        "min_daily_new_cryptos", "min_new_cryptos_day"
     ),
     "vw_defi_market_trend": _global(
-        "defi_market_cap defi_volume_24h defi_volume_24h_reported defi_volume_share defi_24h_percentage_change "
-        "check_defi_volume_share"
+        "defi_market_cap", "defi_volume_24h", "defi_volume_24h_reported", "defi_volume_share",
+        "defi_24h_percentage_change", "check_defi_volume_share"
     ),
     "vw_derivatives_activity_trend": _global(
-        "derivatives_volume_24h derivatives_volume_24h_reported derivatives_24h_percentage_change"
+        "derivatives_volume_24h", "derivatives_volume_24h_reported", "derivatives_24h_percentage_change"
     ),
     "vw_global_market_overview": _global(
-        "total_market_cap total_volume_24h total_market_cap_yesterday total_volume_24h_yesterday "
-        "total_market_cap_yesterday_change total_volume_24h_yesterday_change total_volume_24h_reported "
+        "total_market_cap", "total_volume_24h", "total_market_cap_yesterday", "total_volume_24h_yesterday",
+        "total_market_cap_yesterday_change", "total_volume_24h_yesterday_change", "total_volume_24h_reported",
         "market_liquidity_ratio"
     ),
     "vw_market_participants_trend": _global(
-        "active_cryptocurrencies total_cryptocurrencies active_market_pairs active_exchanges total_exchanges"
+        "active_cryptocurrencies", "total_cryptocurrencies", "active_market_pairs", "active_exchanges",
+        "total_exchanges"
     ),
     "vw_stablecoin_market_trend": _global(
-        "stablecoin_market_cap stablecoin_volume_24h stablecoin_volume_24h_reported stablecoin_market_share "
-        "stablecoin_24h_percentage_change check_stablecoin_market_share"
+        "stablecoin_market_cap", "stablecoin_volume_24h", "stablecoin_volume_24h_reported",
+        "stablecoin_market_share", "stablecoin_24h_percentage_change", "check_stablecoin_market_share"
     ),
     # anomalies
     "vw_categories_volume_to_market_cap_anomalies": View(
-        CATEGORY, f"category_id {AT} volume_to_market_cap_ratio", outside(None, 10.0, "volume_to_market_cap_ratio"),
+        CATEGORY, ("category_id", AT, "volume_to_market_cap_ratio"), outside(None, 10.0, "volume_to_market_cap_ratio"),
     ),
     "vw_crypto_market_cap_outliers": View(
-        MARKET, f"crypto_id {AT} volume_to_market_cap_ratio", outside(None, 10.0, "volume_to_market_cap_ratio"),
+        MARKET, ("crypto_id", AT, "volume_to_market_cap_ratio"), outside(None, 10.0, "volume_to_market_cap_ratio"),
     ),
-    "vw_crypto_missing_names_or_symbols": View(COIN, "crypto_id", absent("name", "symbol")),
-    "vw_crypto_missing_urls": View("dim_crypto_info", "crypto_id", absent("logo_url", "website_url")),
+    "vw_crypto_missing_names_or_symbols": View(COIN, ("crypto_id",), absent("name", "symbol")),
+    "vw_crypto_missing_urls": View("dim_crypto_info", ("crypto_id",), absent("logo_url", "website_url")),
     "vw_extreme_category_price_change_index": View(
-        CATEGORY, f"category_id {AT} price_change_index", outside(-100.0, 1000.0, "price_change_index"),
+        CATEGORY, ("category_id", AT, "price_change_index"), outside(-100.0, 1000.0, "price_change_index"),
     ),
     "vw_supply_utilization_outliers": View(
-        MARKET, f"crypto_id {AT} supply_utilization", outside(None, 1.1, "supply_utilization"),
+        MARKET, ("crypto_id", AT, "supply_utilization"), outside(None, 1.1, "supply_utilization"),
     ),
     "vw_high_fee_exchanges": View(
-        EXMAP, f"exchange_id {AT} maker_fee taker_fee", outside(None, 0.5, "maker_fee", "taker_fee"),
+        EXMAP, ("exchange_id", AT, "maker_fee", "taker_fee"), outside(None, 0.5, "maker_fee", "taker_fee"),
     ),
     "vw_missing_urls": View(
-        "dim_exchange_info", "exchange_id website_url logo_url", absent("website_url", "logo_url"),
+        "dim_exchange_info", ("exchange_id", "website_url", "logo_url"), absent("website_url", "logo_url"),
     ),
     "vw_wallet_weight_anomalies": View(
-        ASSETS, f"exchange_id {AT} wallet_address crypto_id wallet_weight total_usd_value spot_volume_usd",
+        ASSETS, ("exchange_id", AT, "wallet_address", "crypto_id", "wallet_weight", "total_usd_value",
+            "spot_volume_usd"),
         outside(None, 100.0, "wallet_weight"),
     ),
     "vw_weekly_visits_outliers": View(
-        EXMAP, f"exchange_id {AT} weekly_visits", "weekly_visits > 100000000",
+        EXMAP, ("exchange_id", AT, "weekly_visits"), "weekly_visits > 100000000",
     ),
     "vw_invalid_fear_greed_scores": View(SENTIMENT, where="fear_greed_score NOT BETWEEN 0 AND 100"),
     "vw_missing_sentiment_labels": View(SENTIMENT, where=absent("sentiment_label")),
     "vw_defi_volume_share_anomalies": View(
-        GLOBAL, f"{AT} defi_volume_24h total_volume_24h defi_volume_share", outside(0.0, 1.0, "defi_volume_share"),
+        GLOBAL, (AT, "defi_volume_24h", "total_volume_24h", "defi_volume_share"), outside(0.0, 1.0,
+            "defi_volume_share"),
     ),
     "vw_invalid_dominance_percentages": View(
-        GLOBAL, f"{AT} btc_dominance eth_dominance", outside(0.0, 90.0, "btc_dominance", "eth_dominance"),
+        GLOBAL, (AT, "btc_dominance", "eth_dominance"), outside(0.0, 90.0, "btc_dominance", "eth_dominance"),
     ),
     "vw_market_liquidity_ratio_outliers": View(
-        GLOBAL, f"{AT} total_volume_24h total_market_cap market_liquidity_ratio",
+        GLOBAL, (AT, "total_volume_24h", "total_market_cap", "market_liquidity_ratio"),
         outside(0.01, 10.0, "market_liquidity_ratio"),
     ),
     "vw_stablecoin_market_share_anomalies": View(
-        GLOBAL, f"{AT} stablecoin_market_cap total_market_cap stablecoin_market_share",
+        GLOBAL, (AT, "stablecoin_market_cap", "total_market_cap", "stablecoin_market_share"),
         outside(0.0, 1.0, "stablecoin_market_share"),
     ),
     # monitoring
-    "vw_missing_crypto_prices": View(MARKET, f"crypto_id {AT}", absent("price_usd")),
-    "vw_missing_crypto_rank_or_status": View("dim_crypto_map", f"crypto_id {AT}", absent("rank", "is_active")),
-    "vw_missing_metrics_in_crypto_category": View(CATEGORY, where=absent("market_cap", "volume", "num_tokens")),
+    "vw_missing_crypto_prices": View(MARKET, ("crypto_id", AT), absent("price_usd")),
+    "vw_missing_crypto_rank_or_status": View("dim_crypto_map", ("crypto_id", AT), absent("rank",
+        "is_active")),
+    "vw_missing_metrics_in_crypto_category": View(CATEGORY, where=absent("market_cap", "volume",
+        "num_tokens")),
     "vw_pipeline_misalignment_exchange_map": View(
-        EXMAP, f"exchange_id {AT}", absent("maker_fee", "taker_fee", "weekly_visits", every=True),
+        EXMAP, ("exchange_id", AT), absent("maker_fee", "taker_fee", "weekly_visits", every=True),
     ),
     "vw_missing_spot_volume": View(
-        ASSETS, f"exchange_id {AT} wallet_address crypto_id balance currency_price_usd total_usd_value",
+        ASSETS, ("exchange_id", AT, "wallet_address", "crypto_id", "balance", "currency_price_usd",
+            "total_usd_value"),
         absent("spot_volume_usd"),
     ),
     "vw_missing_critical_market_metrics": View(
-        GLOBAL, f"{AT} total_market_cap total_volume_24h btc_dominance",
+        GLOBAL, (AT, "total_market_cap", "total_volume_24h", "btc_dominance"),
         absent("total_market_cap", "total_volume_24h", "btc_dominance"),
     ),
 }
@@ -244,8 +261,7 @@ def top_categories_by_market_cap(t: Tables) -> DataFrame:
     """Rank of every category within its snapshot, equal caps sharing a rank."""
     capped = with_dimension(t[CATEGORY].where(present("market_cap")), t, KIND)
     capped = capped.select("category_id", "name", AT, "market_cap")
-    # a join to names adds no rows, so the fact alone bounds the groups
-    return ranks(capped, [AT], "market_cap", "category_rank", largest=largest_group(t[CATEGORY], [AT]))
+    return ranks(capped, [AT], "market_cap", "category_rank")
 
 
 def average_asset_price_by_crypto(t: Tables) -> DataFrame:
@@ -280,8 +296,7 @@ def _wallet_order() -> list[Column]:
 def top_wallets_by_usd_value(t: Tables) -> DataFrame:
     """Every valued wallet, numbered by value within its exchange and snapshot."""
     group = ["exchange_id", AT]
-    largest = largest_group(t[ASSETS], group)
-    return row_numbers(_valued_wallets(t), group, _wallet_order(), "wallet_rank", largest=largest)
+    return row_numbers(_valued_wallets(t), group, _wallet_order(), "wallet_rank")
 
 
 def top_wallets(t: Tables, n: int = 10) -> DataFrame:
@@ -357,7 +372,7 @@ def sources_of(name: str) -> set[str]:
 def register(spark: SparkSession, tables: Tables, only: Collection[str] | None = None) -> None:
     """Register tables, and the views (or `only` some) whose tables are given, for spark.sql.
 
-    The two ranking views count their largest group when they are registered.
+    The two ranking views write their slices when they are registered.
     """
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
