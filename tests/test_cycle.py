@@ -99,6 +99,56 @@ def test_compacting_an_appended_table_keeps_its_rows(cycle):
     assert sorted(map(str, warehouse.read_all("fact_global_market").collect())) == before
 
 
+def test_backlog_is_built_whole(spark, tmp_path):
+    bronze, silver, warehouse = f"{tmp_path}/b", Store(spark, f"{tmp_path}/s"), Store(spark, f"{tmp_path}/w")
+    start = datetime.now().replace(microsecond=0) + timedelta(days=1)
+    for k in range(3):
+        day = start + timedelta(days=k)
+        bodies = [
+            ("crypto_category", {"id": "k", "coins": [{"id": k + 1}]}),
+            ("crypto_categories", [{"id": "k", "name": "K", "num_tokens": 2, "market_cap": 5.0, "volume": 1.0}]),
+            ("crypto_map", [{"id": k + 1, "name": f"c{k}", "symbol": "S", "rank": 1, "is_active": 1}]),
+        ]
+        data = [(e, "1", str(day), json.dumps({"data": d})) for e, d in bodies]
+        for endpoint, _ in bodies:
+            steps.parse_to_bronze(spark.createDataFrame(data, PAYLOAD), endpoint, bronze, day)
+    assert steps.run_builds(spark, bronze, silver, "daily")["crypto_category_link"] == "success"
+    first = loads.run_loads(silver, warehouse, ("daily",))
+    assert first["dim_crypto_id"] == 3 and first["crypto_category_link"] == "dim_crypto_category not loaded yet"
+    steps.run_builds(spark, bronze, silver, "10x")
+    second = loads.run_loads(silver, warehouse)
+    assert second["crypto_category_link"] == 3 and second["dim_crypto_map"] == "up to date"
+    assert warehouse.read_all("dim_crypto_map").count() == 3
+    assert warehouse.read_all("fact_crypto_category").count() == 3
+
+
+def test_compacting_a_built_table_loads_nothing(spark, tmp_path):
+    silver, warehouse = Store(spark, f"{tmp_path}/s"), Store(spark, f"{tmp_path}/w")
+    row = spark.sql("SELECT TIMESTAMP '2024-01-01' AS snapshot_timestamp, 5 AS fear_greed_score, 'x' AS sentiment_label")
+    silver.publish(row, "fact_market_sentiment")
+    assert loads.run_loads(silver, warehouse)["fact_market_sentiment"] == 1
+    silver.compact("fact_market_sentiment")
+    assert loads.run_loads(silver, warehouse)["fact_market_sentiment"] == "up to date"
+    assert warehouse.read_all("fact_market_sentiment").count() == 1
+
+
+def test_dropped_rows_are_counted(spark, tmp_path):
+    warehouse = Store(spark, f"{tmp_path}/w")
+    for name, column, ids in (("dim_crypto_id", "crypto_id", [1, 2]), ("dim_exchange_id", "exchange_id", [])):
+        loads.load(warehouse, name, spark.createDataFrame([(i,) for i in ids], f"{column} int"), 1)
+    assets = spark.createDataFrame([(1, 7), (2, 8), (3, 7), (4, 7)], "crypto_id int, exchange_id int")
+    with pytest.raises(LookupError):
+        loads.load(warehouse, "fact_exchange_assets", assets, 1)
+    loads.load(warehouse, "dim_exchange_id", spark.createDataFrame([(7,)], "exchange_id int"), 2)
+    assert loads.load(warehouse, "fact_exchange_assets", assets, 1) == 1
+    assert json.loads(warehouse.last("fact_exchange_assets", "load")["dropped"]) == {"crypto_id": 2, "exchange_id": 1}
+    bodies = ['{"data":[{"id":1},3]}', '{"data":[{"id":2}', None, "[]", '{"data":7}']
+    raw = spark.createDataFrame([("exchange_map", "1", "t", b) for b in bodies], PAYLOAD)
+    steps.parse_to_bronze(raw, "exchange_map", f"{tmp_path}/b", datetime(2024, 1, 1), warehouse)
+    entry = warehouse.last("exchange_map_data", "parse")
+    assert entry["rows"] == 1 and json.loads(entry["dropped"]) == {"damaged": 4, "invalid": 1}
+
+
 def test_command_line(spark, cycle, tmp_path, capsys, monkeypatch):
     from tidemark import __main__ as cli
 

@@ -116,5 +116,5 @@ def test_csv_and_payload_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("e", "1", "t", '{"data":[1,"a"]}')], "endpoint string, request_id string, fetched_at string, body string")
     store.write_payloads(df, f"{tmp_path}/p")
     assert store.read_payloads(spark, f"{tmp_path}/p").collect() == df.collect()
-    store.export_csv(spark.range(3), f"{tmp_path}/c")
+    store.export_csv(spark.range(3).withColumn("tags", F.array(F.lit("a,b"), F.lit('c"d'))), f"{tmp_path}/c")
     assert spark.read.option("header", "true").csv(f"{tmp_path}/c").count() == 3

@@ -9,6 +9,10 @@ NULL_NUM = "CAST(NULL AS DOUBLE)"
 NULL_LONG = "CAST(NULL AS BIGINT)"
 
 
+def _moment() -> str:
+    return "CAST(TRY_CAST(date_snapshot AS TIMESTAMPTZ) AS TIMESTAMP)"
+
+
 def _nulls(names: str, null: str) -> str:
     return ", ".join(f"{null} AS {n}" for n in names.split())
 
@@ -111,6 +115,14 @@ _STEPS = {
     )
     + " UNION ALL SELECT 'dim_crypto_map', 'load', 'success', 0",
     "step_repairs": _REPAIRS["repair_exchange_map"],
+    "step_backlog": flat("crypto_category_link")
+    + " WHERE category_id IN (SELECT category_id FROM dim_crypto_category) AND crypto_id IN (SELECT crypto_id FROM dim_crypto_id)",
+    "load_after_compact": flat("fact_market_sentiment"),
+    "load_drop_counts": """SELECT 'fact_exchange_assets' AS table_name, count(*) FILTER (coin AND venue) AS rows,
+        count(*) FILTER (NOT coin) AS crypto_id, count(*) FILTER (coin AND NOT venue) AS exchange_id
+        FROM (SELECT crypto_id IN (SELECT crypto_id FROM dim_crypto_id WHERE crypto_id IS NOT NULL) AS coin,
+                     exchange_id IN (SELECT exchange_id FROM dim_exchange_id WHERE exchange_id IS NOT NULL) AS venue
+              FROM fact_exchange_assets)""",
 }
 
 _PARSING = {
@@ -155,6 +167,9 @@ _PARSING = {
         FROM events JOIN (VALUES (1), (2)) v(copy) ON copy = 1 OR event_type = 'view'""",
     "parse_event_properties": "SELECT event_id, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k FROM events",
     "parse_malformed_count": "SELECT count(*) AS valid, 3 * count(*) AS invalid FROM supplier",
+    "parse_payload_counts": """SELECT count(*) AS payloads, count(*) FILTER (cut) AS damaged, count(*) FILTER (NOT cut) AS valid,
+        3 * count(*) FILTER (NOT cut) AS invalid
+        FROM (SELECT contains('"id":' || s_suppkey || ',', '5,') AS cut FROM supplier)""",
     "parse_numeric_coercion": "SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS value FROM events",
     "parse_completeness": """SELECT id, CAST(14 - missing AS INTEGER) AS non_null_fields, CAST(missing AS INTEGER) AS null_fields
         FROM (SELECT id, (tags IS NULL)::INT + (logo IS NULL)::INT + (website IS NULL)::INT + (technical_doc IS NULL)::INT
@@ -312,7 +327,18 @@ _SOURCES = {
     "source_compact": "SELECT p_partkey, p_size FROM part",
     "source_append": "SELECT o_orderkey, o_orderpriority FROM orders",
     "source_snapshot_write": "SELECT s_suppkey, s_name, '2024-03-01_08-30-00' AS suffix FROM supplier",
-    "source_csv_export": "SELECT * FROM customer",
+    "source_csv_export": "SELECT *, c_mktsegment || '|a \"b\", c' AS tags FROM customer",
+    "view_ordered_position": f"""SELECT category_id, {AT}, row_number() OVER (ORDER BY category_id, {AT} DESC) AS position
+        FROM fact_crypto_category JOIN dim_crypto_category USING (category_id) WHERE dominance_per_token IS NOT NULL""",
+    "dq_raw_malformed_dates": """SELECT id AS crypto_id, date_added, date_launched FROM in_crypto_info
+        WHERE NOT regexp_full_match(date_added, '[0-9]{4}-[0-9]{2}-[0-9]{2}')
+           OR NOT regexp_full_match(date_launched, '[0-9]{4}-[0-9]{2}-[0-9]{2}')""",
+    "dq_raw_crypto_02_duplicate_id": "SELECT id AS crypto_id, count(*) AS cnt FROM in_crypto_map GROUP BY id HAVING cnt > 1",
+    "dq_raw_crypto_06_duplicate_map_key": f"SELECT id AS crypto_id, {_moment()} AS {AT}, count(*) AS cnt FROM in_crypto_ranks GROUP BY ALL HAVING cnt > 1",
+    "dq_raw_exchange_02_duplicate_asset_key": f"""SELECT exchange_id, wallet_address, currency_crypto_id AS crypto_id, {_moment()} AS {AT},
+        count(*) AS cnt FROM in_exchange_assets GROUP BY ALL HAVING cnt > 1""",
+    "dq_raw_exchange_05_duplicate_map_key": f"SELECT id AS exchange_id, {_moment()} AS {AT}, count(*) AS cnt FROM in_exchange_info GROUP BY ALL HAVING cnt > 1",
+    "dq_raw_sentiment_04_duplicate_time": f"SELECT CAST(hour_start AS TIMESTAMP) AS {AT}, count(*) AS cnt FROM in_sentiment GROUP BY ALL HAVING cnt > 1",
     "source_payload_replay": _PARSING["parse_crypto_map"],
     "stream_ingest": "SELECT l_orderkey, l_partkey, l_linenumber, l_extendedprice FROM lineitem",
     "stream_publish_new_keys": "SELECT DISTINCT l_partkey, CAST(1 AS BIGINT) AS times FROM lineitem",

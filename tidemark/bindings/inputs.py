@@ -1,8 +1,8 @@
 """Bronze inputs derived from the verification tables.
 
 Each text is one SELECT that Spark and DuckDB both run. A `{name}` is another input or
-a verification table. Rules: dimensions leave out some members, so that foreign-key
-orphans exist; calendar parts and attributes decide which values are missing; sums run
+a verification table. Rules: some dimension members have other ids than the facts, so that
+foreign-key orphans exist; calendar parts and attributes decide which values are missing; sums run
 in DECIMAL and averaged values are whole numbers or have power-of-two denominators, so
 that no result depends on summation order.
 """
@@ -22,12 +22,12 @@ TABLES = (
 
 INPUTS: dict[str, str] = {
     "in_crypto_map": """
-        SELECT CASE WHEN p_size = 50 AND p_type = 'SMALL' THEN NULL ELSE p_partkey END AS id, p_name AS name,
+        SELECT CASE WHEN p_size = 50 AND p_type = 'SMALL' THEN NULL WHEN p_size > 45 THEN -p_partkey ELSE p_partkey END AS id, p_name AS name,
                CASE WHEN p_size = 13 THEN NULL ELSE p_brand END AS symbol,
                CAST(p_size AS DOUBLE) AS platform_id, p_type AS platform_name,
                CASE WHEN p_size > 30 THEN NULL ELSE p_type END AS platform_symbol,
                'addr-' || CAST(p_partkey AS STRING) AS platform_token_address
-        FROM {part} WHERE p_size <= 45
+        FROM {part}
         UNION ALL
         SELECT p_partkey AS id, p_name || ' token' AS name, p_brand AS symbol,
                CAST(p_size AS DOUBLE) + 0.5e0 AS platform_id, p_type AS platform_name,
@@ -105,9 +105,9 @@ INPUTS: dict[str, str] = {
         UNION ALL
         SELECT p_partkey AS crypto_id, p_type AS category_id FROM {part} WHERE p_size > 40""",
     "in_exchange_map": """
-        SELECT s_suppkey AS id, CASE WHEN s_nationkey = 3 THEN NULL ELSE s_name END AS name,
+        SELECT CASE WHEN s_nationkey = 7 THEN -s_suppkey ELSE s_suppkey END AS id, CASE WHEN s_nationkey = 3 THEN NULL ELSE s_name END AS name,
                CASE WHEN s_acctbal < 1000.0e0 THEN CAST(0 AS BIGINT) ELSE CAST(1 AS BIGINT) END AS is_active
-        FROM {supplier} WHERE s_nationkey <> 7
+        FROM {supplier}
         UNION ALL
         SELECT s_suppkey AS id, s_name || ' (old)' AS name, CAST(0 AS BIGINT) AS is_active
         FROM {supplier} WHERE s_nationkey BETWEEN 10 AND 15""",

@@ -126,6 +126,46 @@ def dq_duplicates_before_dedupe(spark, sf_dir):
     return checks.violations("crypto_15_duplicate_category_key", {"fact_crypto_category": keyed})
 
 
+# checks that the builds leave nothing to find for, on rows as they come
+RAW_REPEATS = {
+    "crypto_02_duplicate_id": ("dim_crypto_id", "in_crypto_map", {"crypto_id": "id"}),
+    "crypto_06_duplicate_map_key": ("dim_crypto_map", "in_crypto_ranks", {"crypto_id": "id"}),
+    "exchange_02_duplicate_asset_key": (
+        "fact_exchange_assets",
+        "in_exchange_assets",
+        {"exchange_id": "exchange_id", "wallet_address": "wallet_address", "crypto_id": "currency_crypto_id"},
+    ),
+    "exchange_05_duplicate_map_key": ("dim_exchange_map", "in_exchange_info", {"exchange_id": "id"}),
+    "sentiment_04_duplicate_time": ("fact_market_sentiment", "in_sentiment", {}),
+}
+
+
+def _raw_repeats(name: str) -> Query:
+    table, source, keys = RAW_REPEATS[name]
+
+    def found(spark, sf_dir):
+        raw = derive(spark, sf_dir, source)
+        columns = [c(old).alias(new) for new, old in keys.items()]
+        if source == "in_sentiment":
+            columns.append(c("hour_start").cast("timestamp").alias("snapshot_timestamp"))
+        elif "date_snapshot" in raw.columns:
+            columns.append(cols.to_time("date_snapshot").alias("snapshot_timestamp"))
+        return checks.violations(name, {table: raw.select(*columns)})
+
+    return found
+
+
+for _name in RAW_REPEATS:
+    QUERIES[f"dq_raw_{_name}"] = lambda spark, sf_dir, run=_raw_repeats(_name): flat(run(pin(spark), sf_dir))
+
+
+@query
+def dq_raw_malformed_dates(spark, sf_dir):
+    """The date check on the text that the build casts."""
+    raw = derive(spark, sf_dir, "in_crypto_info").withColumnRenamed("id", "crypto_id")
+    return checks.violations("crypto_04_malformed_dates", {"dim_crypto_info": raw})
+
+
 @query
 def dq_raw_reference_orphans(spark, sf_dir):
     """Distinct exchanges with wallets that the exchange list leaves out, from unloaded data."""
@@ -188,6 +228,46 @@ def step_groups(spark, sf_dir):
     return warehouse.ledger().select("table_name", "phase", "status", "rows")
 
 
+@query
+def step_backlog(spark, sf_dir):
+    """Three snapshots of the category links, each with other keys, built and loaded in one run."""
+    root = work_dir(spark, "backlog")
+    links = bronze(spark, sf_dir, "in_category_links")
+    for day in range(3):
+        part = links.where(F.pmod("crypto_id", F.lit(3)) == day)
+        snapshots.write_snapshot(part, f"{root}/bronze/crypto_category_data", "s", datetime(2024, 3, 1 + day))
+    for folder, name in (("crypto_map_data", "in_crypto_map"), ("crypto_categories_data", "in_categories")):
+        snapshots.write_snapshot(bronze(spark, sf_dir, name), f"{root}/bronze/{folder}", "s", datetime(2024, 3, 1))
+    silver, warehouse = store.Store(spark, f"{root}/silver"), store.Store(spark, f"{root}/warehouse")
+    steps.run_builds(spark, f"{root}/bronze", silver)
+    loads.run_loads(silver, warehouse)
+    return warehouse.read_all("crypto_category_link")
+
+
+@query
+def load_after_compact(spark, sf_dir):
+    """A compacted build is no new build: the second run loads nothing."""
+    root = work_dir(spark, "compacted")
+    silver, warehouse = store.Store(spark, f"{root}/silver"), store.Store(spark, f"{root}/warehouse")
+    silver.publish(Silver(spark, sf_dir)["fact_market_sentiment"], "fact_market_sentiment")
+    loads.run_loads(silver, warehouse)
+    silver.compact("fact_market_sentiment")
+    loads.run_loads(silver, warehouse)
+    return warehouse.read_all("fact_market_sentiment")
+
+
+@query
+def load_drop_counts(spark, sf_dir):
+    """What the ledger says about rows that foreign keys dropped."""
+    t = Silver(spark, sf_dir)
+    target = store.Store(spark, work_dir(spark, "drops"))
+    for table in ("dim_crypto_id", "dim_exchange_id", "fact_exchange_assets"):
+        loads.load(target, table, t[table], version=1)
+    kept = target.ledger().where("dropped IS NOT NULL")
+    counts = F.from_json("dropped", "crypto_id bigint, exchange_id bigint")
+    return kept.select("table_name", "rows", counts["crypto_id"].alias("crypto_id"), counts["exchange_id"].alias("exchange_id"))
+
+
 @query
 def step_repairs(spark, sf_dir):
     """Two loads of the exchange map with the repair run on the warehouse after them."""
@@ -275,6 +355,15 @@ def parse_malformed_count(spark, sf_dir):
     return payloads.malformed_count(payloads.elements(staging.exchange_map(spark, sf_dir)))
 
 
+@query
+def parse_payload_counts(spark, sf_dir):
+    """Payloads of which some end too early, counted by the rule of the parse step."""
+    whole = staging.exchange_map(spark, sf_dir)
+    cut = c("body").contains("5,")
+    raw = whole.withColumn("body", F.when(cut, F.expr("substring(body, 1, length(body) - 9)")).otherwise(c("body")))
+    return raw.agg(*payloads.count_columns())
+
+
 @query
 def parse_numeric_coercion(spark, sf_dir):
     text = F.when(c("event_type") == "error", F.lit("n/a")).otherwise(c("value").cast("string"))
@@ -659,7 +748,7 @@ def join_asof_last_tuple(spark, sf_dir):
 @query
 def join_asof_last_tuple_sliced(spark, sf_dir):
     days = _supplier_days(spark, sf_dir)
-    return ordered.previous_known(days, ["l_suppkey"], "seen_at", ["price", "discount", "tax"], small_group=0)
+    return ordered.previous_known(days, ["l_suppkey"], "seen_at", ["price", "discount", "tax"], slices=3)
 
 
 @query
@@ -694,7 +783,7 @@ def window_rank(spark, sf_dir):
 def window_rank_sliced(spark, sf_dir):
     """The way taken by groups too large for one task."""
     lines = _quantities(spark, sf_dir)
-    return ordered.ranks(lines, ["l_returnflag"], "l_quantity", "quantity_rank", small_group=0)
+    return ordered.ranks(lines, ["l_returnflag"], "l_quantity", "quantity_rank", slices=3)
 
 
 def _totals(spark, sf_dir) -> DataFrame:
@@ -710,7 +799,7 @@ def window_row_number(spark, sf_dir):
 @query
 def window_row_number_sliced(spark, sf_dir):
     order = [c("o_totalprice").desc(), c("o_orderkey").asc()]
-    return ordered.row_numbers(_totals(spark, sf_dir), ["o_orderstatus"], order, "place", small_group=0)
+    return ordered.row_numbers(_totals(spark, sf_dir), ["o_orderstatus"], order, "place", slices=3)
 
 
 @query
@@ -736,7 +825,7 @@ def window_runs(spark, sf_dir):
 
 @query
 def window_runs_sliced(spark, sf_dir):
-    return ordered.runs(_day_states(spark, sf_dir), [], "day", "state", small_group=0)
+    return ordered.runs(_day_states(spark, sf_dir), [], "day", "state", slices=3)
 
 
 @query
@@ -790,7 +879,18 @@ def source_read_latest_batch(spark, sf_dir):
 
 @query
 def source_column_read(spark, sf_dir):
-    return Silver(spark, sf_dir)["dim_crypto_id"].select("crypto_id")
+    table = store.Store(spark, work_dir(spark, "columns"))
+    table.publish(Silver(spark, sf_dir)["dim_crypto_id"], "dim_crypto_id")
+    return table.read("dim_crypto_id", columns=["crypto_id"])
+
+
+@query
+def view_ordered_position(spark, sf_dir):
+    """Where each row of a sorted view stands."""
+    placed = views.view("vw_category_dominance_index", Silver(spark, sf_dir), ordered=True).withColumn(
+        "at", F.monotonically_increasing_id()
+    )
+    return ordered.row_numbers(placed, [], [c("at").asc()], "position").select("category_id", "snapshot_timestamp", "position")
 
 
 @query
@@ -840,10 +940,12 @@ def source_snapshot_write(spark, sf_dir):
 
 @query
 def source_csv_export(spark, sf_dir):
+    """Customers with a list, which CSV holds as JSON text."""
     path = work_dir(spark, "csv")
-    customers = scan(spark, sf_dir, "customer")
+    customers = scan(spark, sf_dir, "customer").withColumn("tags", F.array("c_mktsegment", F.lit('a "b", c')))
     store.export_csv(customers, path)
-    return spark.read.schema(customers.schema).option("header", "true").csv(path)
+    read = spark.read.schema(customers.withColumn("tags", F.lit("")).schema).option("header", "true").option("escape", '"')
+    return read.csv(path).withColumn("tags", F.from_json("tags", "array<string>"))
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
@@ -13,10 +13,11 @@ from tidemark.operators.ordered import chunked
 
 def key_changes(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """(key, change) with change 'added' or 'removed'; empty when both sets are equal."""
-    before, after = distinct_keys(old, [key]), distinct_keys(new, [key])
-    added = after.join(before, on=key, how="left_anti").withColumn("change", F.lit("added"))
-    removed = before.join(after, on=key, how="left_anti").withColumn("change", F.lit("removed"))
-    return added.unionByName(removed)
+    before = distinct_keys(old, [key]).withColumn("was", F.lit(True))
+    after = distinct_keys(new, [key]).withColumn("now", F.lit(True))
+    change = F.when(F.col("was").isNull(), "added").when(F.col("now").isNull(), "removed")
+    both = before.join(after, on=key, how="full").select(key, change.alias("change"))
+    return both.where("change IS NOT NULL")
 
 
 def change_summary(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
@@ -83,28 +84,21 @@ def last_entries(ledger: DataFrame, key: str, order: str) -> DataFrame:
     return latest_per(ledger, [key], order, rest).select(*ledger.columns)
 
 
-def is_fresh(
-    snapshot_ts: datetime | None, last_ended_at: datetime | None, daily: bool = True, force: bool = False
-) -> bool:
-    """The rule of `fresh_snapshots` for one table."""
-    if force or snapshot_ts is None or last_ended_at is None:
-        return True
-    return snapshot_ts.date() > last_ended_at.date() if daily else snapshot_ts > last_ended_at
+def is_newer(daily: Column) -> Column:
+    """Whether `snapshot_ts` is newer than `last_ended_at`, by day or by time (UTC session).
+
+    An unreadable snapshot time, and a table without a run, count as fresh.
+    """
+    at, ended = F.col("snapshot_ts"), F.col("last_ended_at")
+    return F.coalesce(F.when(daily, F.to_date(at) > F.to_date(ended)).otherwise(at > ended), F.lit(True))
 
 
 def fresh_snapshots(
     snapshots: DataFrame, runs: DataFrame, key: str, daily: bool = True, force: bool = False
 ) -> DataFrame:
-    """Add `should_transform` to (key, snapshot_ts): newer than the last run of that table.
-
-    An unreadable snapshot time or a table without a run counts as fresh. With
-    `daily`, only the days are compared.
-    """
+    """Add `should_transform` to (key, snapshot_ts): newer than the last run of that table."""
     ended = runs.groupBy(key).agg(F.max("ended_at").alias("last_ended_at"))
-    newer: Column = F.col("snapshot_ts") > F.col("last_ended_at")
-    if daily:
-        newer = F.to_date("snapshot_ts") > F.to_date("last_ended_at")
-    decision = F.lit(True) if force else F.coalesce(newer, F.lit(True))
+    decision = F.lit(True) if force else is_newer(F.lit(daily))
     return snapshots.join(ended, on=key, how="left").withColumn("should_transform", decision)
 
 

@@ -25,9 +25,12 @@ def enforce_fks(
     """Keep rows whose every foreign key exists in its reference table.
 
     `references` maps the key column (same name on both sides) to the reference.
-    With `observations`, the rows left after each key are counted by the same job.
+    With `observations`, the rows left after each key are counted by the same job, and all rows
+    under the key "".
     """
     kept = df
+    if observations and "" in observations:
+        kept = kept.observe(observations[""], F.count(F.lit(1)).alias("rows"))
     for key, reference in references.items():
         kept = kept.join(reference.select(key), on=key, how="left_semi")
         if observations and key in observations:

@@ -7,9 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
+from tidemark.operators.clean import keep_first
 from tidemark.operators.joins import enforce_fks, new_keys
 from tidemark.operators.repair import repair_exchange_map, repair_spot_volume
-from tidemark.sources.store import Store, committed_versions, last_entry, live_versions
+from tidemark.sources.store import BUILD_PHASES, Store, committed_versions, last_entry, live_versions
 
 
 @dataclass(frozen=True)
@@ -77,7 +78,8 @@ def rows_to_load(
 def load(store: Store, name: str, built: DataFrame, version: int, source_version: int | None = None) -> int:
     """Append to the warehouse table under `version`; repeating a version replaces it.
 
-    Returns the appended row count; a stable table without new keys is recorded as skipped.
+    Returns the appended row count; a stable table without new keys is recorded as skipped. The
+    ledger keeps how many rows each foreign key dropped.
     """
     spec = LOADS[name]
     history = store.history(name, *[table for _, table in spec.fks])
@@ -90,12 +92,29 @@ def load(store: Store, name: str, built: DataFrame, version: int, source_version
         if not live[table]:
             raise LookupError(f"{name} refers to {table}, which is not loaded yet")
     references = {table: store.read_versions(table, live[table], history[table]) for _, table in spec.fks}
-    rows = rows_to_load(name, built, existing, references)
+    seen = {key: Observation() for key in ("", *[column for column, _ in spec.fks])} if spec.fks else {}
+    rows = rows_to_load(name, built, existing, references, seen)
+
+    def dropped() -> dict[str, int]:
+        left = [observation.get.get("rows") or 0 for observation in seen.values()]
+        return {key: before - after for key, before, after in zip(list(seen)[1:], left, left[1:], strict=False)}
+
     return store.publish(
-        rows, name, version, phase="load", source_version=source_version, skip_empty=bool(spec.key)
+        rows,
+        name,
+        version,
+        phase="load",
+        source_version=source_version,
+        skip_empty=bool(spec.key),
+        dropped=dropped if seen else None,
     )[1]
 
 
+def unmet_references(name: str, entries: Mapping[str, list]) -> list[str]:
+    """Tables that a load refers to and that hold no version yet."""
+    return [table for _, table in LOADS[name].fks if not live_versions(entries.get(table, []))]
+
+
 def load_order(frequencies: tuple[str, ...] = ("10x", "daily", "5x", "weekly")) -> list[str]:
     """Tables of the given frequency groups, referenced tables first."""
     wanted = {t for f in frequencies for t in FREQUENCIES[f]}
@@ -108,26 +127,38 @@ def run_loads(
     """Load what has changed: table -> appended rows, or why nothing was appended.
 
     A table is loaded when it never was, or when its last build is not the one loaded
-    last. Stable tables take their newest build; facts take every build since the last
-    load, so that no snapshot is passed over.
+    last. All builds since the last load are taken, so that no snapshot is passed over; of a
+    stable key the newest build counts. With `force`, facts take their newest build only. A
+    table whose references are not loaded yet is recorded as skipped, and the others go on.
     """
     outcome: dict[str, int | str] = {}
     built_entries, loaded_entries = silver.history(), warehouse.history()
     for name in load_order(frequencies):
         entries = built_entries.get(name, [])
-        built = last_entry(entries)
-        loaded = last_entry(loaded_entries.get(name, []), "load", status=None)
+        built = last_entry(entries, BUILD_PHASES)
+        done = [e for e in loaded_entries.get(name, []) if e["source_version"] is not None]
+        loaded = last_entry(done, ("load",), status=None)
         if built is None:
             outcome[name] = "not built"
         elif loaded is not None and loaded["source_version"] == built["version"] and not force:
             outcome[name] = "up to date"
         else:
-            newest = built["version"]
+            missing = unmet_references(name, loaded_entries)
+            if missing:
+                outcome[name] = f"{', '.join(missing)} not loaded yet"
+                warehouse.record(name, "load", "skipped", detail=outcome[name])
+                continue
+            newest, key = built["version"], LOADS[name].key
             after = loaded["source_version"] if loaded is not None and not force else None
-            pending = [v for v in committed_versions(entries) if after is None or after < v]
-            rows = silver.read_versions(name, [newest] if LOADS[name].key or force else pending, entries)
+            pending = [v for v in committed_versions(entries, BUILD_PHASES) if after is None or after < v]
+            if key:
+                rows = silver.read_versions(name, pending, entries, with_version=True)
+                rows = keep_first(rows, key, [F.desc("version")]).drop("version")
+            else:
+                rows = silver.read_versions(name, [newest] if force else pending, entries)
             version = max(committed_versions(loaded_entries.get(name, [])), default=0) + 1
             outcome[name] = load(warehouse, name, rows, version, newest)
+            loaded_entries |= warehouse.history(name)
     return outcome
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F
 
-from tidemark.operators.increment import is_fresh
+from tidemark.operators.increment import is_newer
 from tidemark.plans import builds, schemas
 from tidemark.sources import payloads, snapshots
 from tidemark.sources.store import Store, last_entry
@@ -98,7 +98,11 @@ def builds_for(frequency: str) -> tuple[str, ...]:
 
 
 def run_step(
-    store: Store, table: str, prepare: Callable[[], DataFrame | None], phase: str = "transform"
+    store: Store,
+    table: str,
+    prepare: Callable[[], DataFrame | None],
+    phase: str = "transform",
+    read_upto: datetime | None = None,
 ) -> str:
     """Prepare, publish and record one table. No frame gives 'skipped'; a failed write
     leaves no ledger entry and raises."""
@@ -107,48 +111,87 @@ def run_step(
     if df is None:
         store.record(table, phase, "skipped", started_at=started)
         return "skipped"
-    store.publish(df, table, phase=phase)
+    store.publish(df, table, phase=phase, read_upto=read_upto)
     return "success"
 
 
-def newest_snapshots(spark: SparkSession, bronze_root: str) -> dict[str, Row]:
-    """folder -> its newest snapshot (suffix, path, snapshot_ts), from one listing."""
-    listing = snapshots.list_snapshots(spark, bronze_root)
-    found = listing.groupBy(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("folder")).agg(
-        F.max(F.struct("suffix", "path", "snapshot_ts")).alias("newest")
+def snapshots_to_read(
+    spark: SparkSession, bronze_root: str, silver: Store, names: Sequence[str], force: bool = False
+) -> dict[tuple[str, str], list[Row]]:
+    """(step, folder) -> its snapshots (suffix, path, at, fresh), oldest first, from one listing.
+
+    Of a step's first folder: all that are newer than what the last run of its table read (where the
+    ledger does not say, than the end of that run), so that a backlog is built whole and nothing twice.
+    Of every folder: the newest one, fresh or not.
+    """
+    rows = [
+        (name, source.folder, STEPS[name].table, _phase(STEPS[name]), STEPS[name].daily, source is STEPS[name].sources[0])
+        for name in names
+        for source in STEPS[name].sources
+    ]
+    wanted = spark.createDataFrame(
+        rows, "step string, folder string, table_name string, phase string, daily boolean, is_first boolean"
     )
-    return {r["folder"]: r["newest"] for r in found.collect()}
+    runs = silver.ledger().where("status = 'success'").groupBy("table_name", "phase")
+    folder = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
+    newest = Window.partitionBy("step", "folder").orderBy(F.desc("suffix"), F.desc("path"))
+    found = (
+        snapshots.list_snapshots(spark, bronze_root)
+        .withColumn("folder", folder)
+        .join(wanted, "folder")
+        .join(runs.agg(F.max(F.coalesce("read_upto", "ended_at")).alias("last_ended_at")), ["table_name", "phase"], "left")
+        .withColumn("is_newest", F.row_number().over(newest) == 1)
+        .withColumn("fresh", F.col("is_first") & (F.lit(force) & F.col("is_newest") | ~F.lit(force) & is_newer(F.col("daily"))))
+        .where("fresh OR is_newest")
+        .select("step", "folder", "suffix", "path", F.unix_seconds("snapshot_ts").alias("at"), "fresh")
+    )
+    out: dict[tuple[str, str], list[Row]] = {}
+    for row in sorted(found.collect(), key=lambda r: (r["suffix"], r["path"])):
+        out.setdefault((row["step"], row["folder"]), []).append(row)
+    return out
+
 
+def _phase(step: Build) -> str:
+    return "init" if step.once else "transform"
 
-def read_source(spark: SparkSession, bronze_root: str, source: Source, newest: Row | None) -> DataFrame | None:
-    """The newest snapshot of a folder, or every member of its newest batch."""
-    if newest is None:
+
+def read_source(spark: SparkSession, bronze_root: str, source: Source, chosen: Sequence[Row]) -> DataFrame | None:
+    """The chosen snapshots of a folder as one scan, with every member of their batches."""
+    if not chosen:
         return None
     if source.batched:
-        return snapshots.read_batch(spark, source.schema, f"{bronze_root}/{source.folder}", newest["suffix"])
-    return snapshots.read_strict(spark, source.schema, newest["path"])
+        suffixes = dict.fromkeys(row["suffix"] for row in chosen)
+        return snapshots.read_batch(spark, source.schema, f"{bronze_root}/{source.folder}", *suffixes)
+    return snapshots.read_strict(spark, source.schema, *[row["path"] for row in chosen])
 
 
 def run_builds(
     spark: SparkSession, bronze_root: str, silver: Store, frequency: str = "all", force: bool = False
 ) -> dict[str, str]:
-    """Run the steps of one frequency: step -> 'success', 'no snapshot' or 'up to date'."""
-    outcome = {}
-    newest, history = newest_snapshots(spark, bronze_root), silver.history()
-    for name in builds_for(frequency):
+    """Run the steps of one frequency: step -> 'success', 'no snapshot' or 'up to date'.
+
+    A step reads every snapshot of its first folder since the last run and the newest one of its
+    other folders. With `force` it reads the newest only; a history run happens once.
+    """
+    outcome, names = {}, builds_for(frequency)
+    found, history = snapshots_to_read(spark, bronze_root, silver, names, force), silver.history()
+    for name in names:
         step = STEPS[name]
-        phase = "init" if step.once else "transform"
-        last = last_entry(history.get(step.table, []), phase)
-        first = newest.get(step.sources[0].folder)
-        if first is None:
+        first = found.get((name, step.sources[0].folder), [])
+        fresh = [row for row in first if row["fresh"]]
+        if not first:
             outcome[name] = "no snapshot"
-        elif step.once and last is not None:
-            outcome[name] = "up to date"
-        elif not is_fresh(first["snapshot_ts"], last and last["ended_at"], step.daily, force):
+        elif not fresh or step.once and last_entry(history.get(step.table, []), (_phase(step),)) is not None:
             outcome[name] = "up to date"
         else:
-            frames = [read_source(spark, bronze_root, s, newest.get(s.folder)) for s in step.sources]
-            outcome[name] = run_step(silver, step.table, lambda: step.make(*frames), phase)  # noqa: B023
+            others = [found.get((name, s.folder), [])[-1:] for s in step.sources[1:]]
+            frames = [
+                read_source(spark, bronze_root, s, rows)
+                for s, rows in zip(step.sources, [fresh[-1:] if step.once else fresh, *others], strict=True)
+            ]
+            times = [row["at"] for row in fresh if row["at"] is not None]
+            upto = datetime.fromtimestamp(max(times), timezone.utc) if times else None
+            outcome[name] = run_step(silver, step.table, lambda: step.make(*frames), _phase(step), upto)  # noqa: B023
     return outcome
 
 
@@ -179,9 +222,30 @@ PARSERS: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {
 }
 
 
-def parse_to_bronze(raw: DataFrame, endpoint: str, bronze_root: str, taken_at: datetime) -> str | None:
-    """Parse the payloads of one endpoint into a bronze snapshot stamped `taken_at` (UTC)."""
+# endpoint -> shape of `data`, where it is not an array
+SHAPES: dict[str, str] = {
+    "exchange_info": payloads.MAP,
+    "crypto_info": payloads.MAP,
+    "crypto_category": payloads.OBJECT,
+    "global_metrics": payloads.OBJECT,
+    "sentiment_latest": payloads.OBJECT,
+}
+
+
+def parse_to_bronze(
+    raw: DataFrame, endpoint: str, bronze_root: str, taken_at: datetime, ledger: Store | None = None
+) -> str | None:
+    """Parse the payloads of one endpoint into a bronze snapshot stamped `taken_at` (UTC).
+
+    With a `ledger`, how many payloads were damaged and how many records were no objects is counted
+    and recorded there.
+    """
     parse, folder = PARSERS[endpoint]
-    records = parse(raw.where(F.col("endpoint") == endpoint))
-    stamped = records.withColumn("date_snapshot", F.lit(f"{taken_at:%Y-%m-%dT%H:%M:%S}+00:00"))
-    return snapshots.write_snapshot(stamped, f"{bronze_root}/{folder}", endpoint, taken_at)
+    bodies = raw.where(F.col("endpoint") == endpoint)
+    stamped = parse(bodies).withColumn("date_snapshot", F.lit(f"{taken_at:%Y-%m-%dT%H:%M:%S}+00:00"))
+    path = snapshots.write_snapshot(stamped, f"{bronze_root}/{folder}", endpoint, taken_at)
+    if ledger is not None:
+        counts = bodies.agg(*payloads.count_columns(SHAPES.get(endpoint, payloads.ARRAY))).first()
+        dropped = {name: counts[name] for name in ("damaged", "invalid")}
+        ledger.record(folder, "parse", "success" if path else "skipped", rows=counts["valid"], path=path, dropped=dropped)
+    return path

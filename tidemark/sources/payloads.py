@@ -8,21 +8,25 @@ gives NULL and not a lost record.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.columns import first_of, joined, to_double
 
-QUOTE = "price,volume_24h,volume_change_24h,percent_change_1h,percent_change_24h,percent_change_7d,market_cap,market_cap_dominance,fully_diluted_market_cap,last_updated"
+# Fields of a quote.
+QUOTE = (
+    "price", "volume_24h", "volume_change_24h", "percent_change_1h", "percent_change_24h",
+    "percent_change_7d", "market_cap", "market_cap_dominance", "fully_diluted_market_cap", "last_updated",
+)
 
 
-def _text(names: str) -> str:
-    return ", ".join(f"{n.strip()} string" for n in names.split(","))
+def _text(names: Iterable[str]) -> str:
+    return ", ".join(f"{name} string" for name in names)
 
 
-def _struct(names: str) -> str:
-    return "struct<" + ", ".join(f"{n.strip()}: string" for n in names.split(",")) + ">"
+def _struct(names: Iterable[str]) -> str:
+    return "struct<" + ", ".join(f"{name}: string" for name in names) + ">"
 
 
 def is_object(raw: Column) -> Column:
@@ -57,6 +61,23 @@ def malformed_count(raw: DataFrame) -> DataFrame:
     return raw.agg(F.count_if(ok).alias("valid"), F.count_if(~ok).alias("invalid"))
 
 
+ARRAY, MAP, OBJECT = "array<string>", "map<string,string>", "string"
+
+
+def count_columns(shape: str = ARRAY) -> list[Column]:
+    """Aggregates over payload rows: payloads, damaged (no readable `data`), and how many of the
+    others' elements are objects (valid) or not (invalid)."""
+    data = F.from_json("body", f"data {shape}")["data"]
+    items = {ARRAY: data, MAP: F.map_values(data), OBJECT: F.when(data.isNotNull(), F.array(data))}[shape]
+    good = F.size(F.filter(items, lambda raw: F.coalesce(is_object(raw), F.lit(False))))
+    return [
+        F.count(F.lit(1)).alias("payloads"),
+        F.count_if(data.isNull()).alias("damaged"),
+        F.coalesce(F.sum(F.when(data.isNotNull(), good)), F.lit(0)).alias("valid"),
+        F.coalesce(F.sum(F.when(data.isNotNull(), F.size(items) - good)), F.lit(0)).alias("invalid"),
+    ]
+
+
 def _r(name: str) -> Column:
     return F.col(f"r.{name}")
 
@@ -73,7 +94,7 @@ def _fields(kinds: Mapping[str, str]) -> list[Column]:
 
 def exchange_map(payloads: DataFrame) -> DataFrame:
     kinds = {"id": "long", "name": "text", "slug": "text", "is_active": "long"}
-    return _records(elements(payloads), _text(",".join(kinds))).select(*_fields(kinds))
+    return _records(elements(payloads), _text(kinds)).select(*_fields(kinds))
 
 
 def exchange_info(payloads: DataFrame) -> DataFrame:
@@ -83,7 +104,7 @@ def exchange_info(payloads: DataFrame) -> DataFrame:
         "maker_fee": "double", "taker_fee": "double",
     }
     links = "struct<blog: array<string>, fee: array<string>, twitter: array<string>, website: array<string>>"
-    schema = _text(",".join(kinds)) + f", urls {links}, fiats array<string>"
+    schema = _text(kinds) + f", urls {links}, fiats array<string>"
     return _records(entries(payloads), schema).select(
         *_fields(kinds),
         _r("urls").alias("urls"),
@@ -94,8 +115,8 @@ def exchange_info(payloads: DataFrame) -> DataFrame:
 def exchange_assets(payloads: DataFrame) -> DataFrame:
     """`request_id` carries the exchange the payload was asked for."""
     schema = (
-        _text("wallet_address,balance")
-        + f", platform {_struct('crypto_id,symbol,name')}, currency {_struct('crypto_id,symbol,name,price_usd')}"
+        _text(("wallet_address", "balance"))
+        + f", platform {_struct(('crypto_id', 'symbol', 'name'))}, currency {_struct(('crypto_id', 'symbol', 'name', 'price_usd'))}"
     )
     return _records(elements(payloads, ["request_id"]), schema, ["request_id"]).select(
         F.col("request_id").try_cast("bigint").alias("exchange_id"),
@@ -116,7 +137,7 @@ def crypto_map(payloads: DataFrame) -> DataFrame:
         "id": "long", "rank": "long", "name": "text", "symbol": "text", "is_active": "long",
         "first_historical_data": "text", "last_historical_data": "text",
     }
-    schema = _text(",".join(kinds)) + f", platform {_struct('id,name,symbol,slug,token_address')}"
+    schema = _text(kinds) + f", platform {_struct(('id', 'name', 'symbol', 'slug', 'token_address'))}"
     return _records(elements(payloads), schema).select(
         *_fields(kinds),
         to_double(_r("platform.id")).alias("platform_id"),
@@ -131,7 +152,7 @@ def crypto_info(payloads: DataFrame) -> DataFrame:
     }
     links = ("website", "technical_doc", "twitter", "reddit", "explorer", "source_code")
     urls = "struct<" + ", ".join(f"{n}: array<string>" for n in links) + ">"
-    schema = _text(",".join(kinds)) + f", urls {urls}, tags array<string>"
+    schema = _text(kinds) + f", urls {urls}, tags array<string>"
     return _records(entries(payloads, []), schema, ["_key"]).select(
         F.col("_key").try_cast("bigint").alias("id"),
         *_fields(kinds),
@@ -149,7 +170,7 @@ def listings(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         "self_reported_market_cap": "double", "date_added": "text",
     }
     schema = (
-        _text(",".join(kinds))
+        _text(kinds)
         + ", tags array<string>, self_reported_tags array<string>, platform struct<id: string>"
         + f", quote struct<USD: {_struct(QUOTE)}>"
     )
@@ -177,7 +198,7 @@ CATEGORY_NUMBERS = ("num_tokens", "avg_price_change", "market_cap", "market_cap_
 def categories(payloads: DataFrame) -> DataFrame:
     kinds = {"name": "text", "title": "text", "description": "text"}
     kinds |= dict.fromkeys(CATEGORY_NUMBERS, "double") | {"last_updated": "text"}
-    return _records(elements(payloads), "id string, " + _text(",".join(kinds))).select(
+    return _records(elements(payloads), "id string, " + _text(kinds)).select(
         _r("id").alias("category_id"), *_fields(kinds)
     )
 
@@ -220,9 +241,9 @@ def global_metrics(payloads: DataFrame) -> DataFrame:
     kinds = dict.fromkeys(GLOBAL_COUNTS, "long") | dict.fromkeys(GLOBAL_METRICS, "double")
     tracked = {"Number": "bigint", "Date": "string"}
     schema = (
-        _text(",".join(kinds))
+        _text(kinds)
         + ", last_updated string"
-        + f", quote struct<USD: {_struct(','.join(GLOBAL_QUOTES))}>"
+        + f", quote struct<USD: {_struct(GLOBAL_QUOTES)}>"
         + ", tracked_yearly_number struct<"
         + ", ".join(f"{side}Incremental{what}: string" for side in ("max", "min") for what in tracked)
         + ">"
@@ -246,7 +267,7 @@ def sentiment(payloads: DataFrame) -> DataFrame:
     as_list = F.when(is_object(data), F.array(data)).otherwise(F.from_json(data, "array<string>"))
     raw = payloads.select(F.explode(as_list).alias("_raw"))
     kinds = {"value": "long", "value_classification": "text", "timestamp": "text", "update_time": "text"}
-    return _records(raw, _text(",".join(kinds))).select(*_fields(kinds))
+    return _records(raw, _text(kinds)).select(*_fields(kinds))
 
 
 def numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -83,12 +83,12 @@ def latest_batch(spark: SparkSession, folder: str, expected: int = 5, complete_o
     return found.orderBy(F.desc("suffix")).limit(1)
 
 
-def read_batch(spark: SparkSession, schema: str | StructType, folder: str, suffix: str) -> DataFrame:
-    """Every member of one batch as a single scan; other snapshots are pruned by name."""
+def read_batch(spark: SparkSession, schema: str | StructType, folder: str, *suffixes: str) -> DataFrame:
+    """Every member of the batches as a single scan; other snapshots are pruned by name."""
     return (
         spark.read.schema(schema)
         .option("recursiveFileLookup", "true")
-        .parquet(f"{folder}/*-{suffix}.parquet")
+        .parquet(*[f"{folder}/*-{suffix}.parquet" for suffix in suffixes])
     )
 
 

@@ -1,17 +1,19 @@
 """Versioned Parquet tables plus an append-only run ledger under one root folder.
 
-A table version is written to its own folder and counts only once the ledger has its
-row, so a failed or repeated write never shows up half done or twice.
+Each attempt to write a table version goes to a folder of its own, and the version counts once
+the ledger has a row that names the folder. A failed or repeated write leaves what was committed
+before as it was.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, MapType, StructField, StructType
 
 LEDGER_COLUMNS = {
     "table_name": "string",
@@ -24,6 +26,9 @@ LEDGER_COLUMNS = {
     "source_version": "bigint",
     "detail": "string",
     "schema_json": "string",
+    "path": "string",
+    "dropped": "string",
+    "read_upto": "timestamp",
 }
 LEDGER = ", ".join(f"{name} {kind}" for name, kind in LEDGER_COLUMNS.items())
 
@@ -34,14 +39,20 @@ def _entry(**values) -> list[Column]:
     return [F.lit(values.get(name)).cast(kind).alias(name) for name, kind in LEDGER_COLUMNS.items()]
 
 
-def last_entry(entries: Sequence[Row], phase: str | None = None, status: str | None = "success") -> Row | None:
-    """Last of a table's entries with the given phase and status."""
-    found = [e for e in entries if phase in (None, e["phase"]) and status in (None, e["status"])]
+#: Phases that bring new rows to a silver table; compaction and repair only rewrite what is there.
+BUILD_PHASES = ("transform", "init")
+
+
+def last_entry(entries: Sequence[Row], phases: Sequence[str] = (), status: str | None = "success") -> Row | None:
+    """Last of a table's entries with one of the phases (none: any) and the given status."""
+    found = [e for e in entries if (not phases or e["phase"] in phases) and status in (None, e["status"])]
     return found[-1] if found else None
 
 
-def committed_versions(entries: Sequence[Row]) -> list[int]:
-    return sorted({e["version"] for e in entries if e["status"] == "success" and e["version"] is not None})
+def committed_versions(entries: Sequence[Row], phases: Sequence[str] = ()) -> list[int]:
+    """Numbers of the committed versions, those of the given phases only if any are given."""
+    done = [e for e in entries if e["status"] == "success" and e["version"] is not None]
+    return sorted({e["version"] for e in done if not phases or e["phase"] in phases})
 
 
 def live_versions(entries: Sequence[Row]) -> list[int]:
@@ -90,6 +101,9 @@ class Store:
         source_version: int | None = None,
         detail: str | None = None,
         schema: StructType | None = None,
+        path: str | None = None,
+        dropped: Mapping[str, int] | None = None,
+        read_upto: datetime | None = None,
     ) -> None:
         now = datetime.now(timezone.utc)
         entry = _entry(
@@ -103,6 +117,9 @@ class Store:
             source_version=source_version,
             detail=detail,
             schema_json=schema and schema.json(),
+            path=path,
+            dropped=json.dumps(dropped) if dropped is not None else None,
+            read_upto=read_upto,
         )
         self.spark.range(1).coalesce(1).select(*entry).write.mode("append").parquet(self.ledger_path)
 
@@ -117,8 +134,8 @@ class Store:
             found.setdefault(entry["table_name"], []).append(entry)
         return found
 
-    def last(self, table: str, phase: str | None = None, status: str | None = "success") -> Row | None:
-        return last_entry(self.history(table)[table], phase, status)
+    def last(self, table: str, *phases: str, status: str | None = "success") -> Row | None:
+        return last_entry(self.history(table)[table], phases, status)
 
     def committed(self, table: str) -> list[int]:
         return committed_versions(self.history(table)[table])
@@ -138,10 +155,14 @@ class Store:
         source_version: int | None = None,
         skip_empty: bool = False,
         replaces: Sequence[int] = (),
+        dropped: Callable[[], Mapping[str, int]] | None = None,
+        read_upto: datetime | None = None,
     ) -> tuple[int, int]:
         """Write `df` as one version and commit it; returns (version, rows).
 
-        Rows are counted by the write itself. Writing the same version again replaces it.
+        Rows are counted by the write itself. Writing the same version again replaces it once the
+        write has succeeded. `dropped` is asked after the write for counts to keep in the ledger;
+        `read_upto` is the time of the newest snapshot the rows come from.
         With `skip_empty`, a version without rows is recorded as skipped, not committed.
         `replaces` names versions of an appended table that this one stands in for.
         """
@@ -152,14 +173,16 @@ class Store:
         if partition_by:
             # even files per partition value; a value holding most rows is split
             df = df.hint("rebalance", *partition_by)
-        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(table, version))
+        path = f"{self.path(table, version)}/{uuid.uuid4().hex}"
+        writer.parquet(path)
         rows = seen.get["rows"]
         status = "skipped" if skip_empty and rows == 0 else "success"
         detail = REPLACES + ",".join(map(str, replaces)) if replaces else None
-        self.record(table, phase, status, version, rows, started, source_version, detail, df.schema)
+        counts = dropped() if dropped else None
+        self.record(table, phase, status, version, rows, started, source_version, detail, df.schema, path, counts, read_upto)
         return version, rows
 
     def read(self, table: str, version: int | None = None, columns: Sequence[str] = ()) -> DataFrame:
@@ -194,18 +217,31 @@ class Store:
         if with_version:
             schema = StructType([*schema.fields, StructField("version", LongType())])
             reader = reader.option("basePath", f"{self.root}/tables/{table}")
-        return reader.schema(schema).parquet(*[self.path(table, v) for v in versions])
+        paths = {e["version"]: e["path"] for e in entries if e["status"] == "success" and e["path"]}
+        return reader.schema(schema).parquet(*[paths[v] for v in versions])
 
     def compact(self, table: str, appended: bool = False, partition_by: Sequence[str] = ()) -> tuple[int, int]:
         """Rewrite a table in evenly sized files as its next version: the latest version,
-        or all live versions of an appended table."""
-        old = self.live(table) if appended else []
+        or all live versions of an appended table. It brings no new rows, so no load follows from it."""
+        entries = self.history(table)[table]
+        old = live_versions(entries) if appended else []
         df = self.read_all(table) if appended else self.read(table)
-        return self.publish(df.hint("rebalance"), table, partition_by=partition_by, phase="compact", replaces=old)
+        sources = [e["source_version"] for e in entries if e["source_version"] is not None]
+        return self.publish(
+            df.hint("rebalance"),
+            table,
+            partition_by=partition_by,
+            phase="compact",
+            source_version=max(sources, default=None),
+            replaces=old,
+        )
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", "true").csv(path)
+    """CSV has no nested values: arrays, structs and maps are written as JSON text."""
+    nested = (ArrayType, StructType, MapType)
+    flat = [F.to_json(f.name).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name) for f in df.schema.fields]
+    df.select(*flat).write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
 
 
 def write_payloads(df: DataFrame, path: str) -> None:
