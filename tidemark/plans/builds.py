@@ -32,7 +32,12 @@ def _with_text(df: DataFrame, pattern: str = SECONDS) -> DataFrame:
 
 
 def _keyed(df: DataFrame, *keys: str) -> DataFrame:
-    return keep_first(require_keys(df, keys), keys)
+    """One row per key: of the newest snapshot where rows have one, then by the other columns."""
+    rest = [name for name in df.columns if name not in keys]
+    order = [c(name).asc_nulls_last() for name in rest if name != "snapshot_timestamp"]
+    if "snapshot_timestamp" in rest:
+        order.insert(0, c("snapshot_timestamp").desc_nulls_last())
+    return keep_first(require_keys(df, keys), keys, order)
 
 
 # crypto ------------------------------------------------------------------

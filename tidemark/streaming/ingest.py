@@ -77,7 +77,8 @@ def publish_new_keys(
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        rows = keep_first(require_keys(prepare(batch), keys), keys)
+        # both the key range and the write read the reduced batch; it is computed once
+        rows = reduced = keep_first(require_keys(prepare(batch), keys), keys).persist()
         schema = rows.schema
         known = _published(batch.sparkSession, target, batch_id, schema, keys)
         if known is not None and prune_by is not None:
@@ -87,6 +88,7 @@ def publish_new_keys(
         if known is not None:
             rows = new_keys(rows, known, keys).select(*schema.names)
         rows.write.mode("overwrite").parquet(_batch_path(target, batch_id))
+        reduced.unpersist()
 
     return publish
 
