@@ -44,6 +44,14 @@ def test_unwanted_parts():
     assert main_text(main, WEIGHTS) == "Head\n\nOne\n\nTwo\n\nz"
 
 
+def test_marks_around_and_inside_the_article():
+    page = """<body><div class="page with-sidebar"><div id="menu">m</div><article class="post comments-open"><p>One two three</p>
+    <section id="c"><article class="comment"><p>Reader words</p></article></section><p>Four five</p></article>
+    <div class="comments"><article><p>More reader words than the whole article has in its text</p></article></div>
+    <article class="related"><p>Other story</p></article></div></body>"""
+    assert main_text(page, WEIGHTS) == "One two three\n\nFour five"
+
+
 def test_scan_is_the_best_region():
     import random
 

@@ -62,10 +62,11 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _KNOWN = frozenset(BLOCK + INLINE)
 
 
-def _unwanted(name: str, rest: str, in_main: bool) -> bool:
+def _unwanted(name: str, rest: str, in_main: bool, main_seen: bool) -> bool:
+    """By name, or by marks; the first main element is wanted whatever its marks."""
     if name in NEVER or (name == "header" and not in_main):
         return True
-    if not rest or name in ("html", "body", *MAIN):
+    if not rest or name in ("html", "body") or (name in MAIN and not main_seen):
         return False
     if _HIDDEN.search(rest):
         return True
@@ -78,10 +79,10 @@ def _unwanted(name: str, rest: str, in_main: bool) -> bool:
 def sequence(page: str) -> Iterator[tuple[str, str, bool]]:
     """(kind, value, marked) in page order: kind "" with a text, or a tag's name with "/" if it closes.
 
-    Unwanted elements are left out with all they hold. `marked` tells whether an element for the main
-    content is open.
+    Unwanted elements are left out with all they hold, unless the first main element is inside: then
+    the mark belonged to a frame around it. `marked` tells whether a main element is open.
     """
-    skipped, depth, mains = "", 0, 0
+    skipped, depth, mains, main_seen = "", 0, 0, False
     for token in _TOKEN.finditer(page):
         text = token["text"] or token["cdata"]
         if text:
@@ -92,7 +93,9 @@ def sequence(page: str) -> Iterator[tuple[str, str, bool]]:
         if not name:
             continue
         name, closes, rest = name.lower(), bool(token["end"]), token["rest"]
-        if skipped:
+        if skipped and name in MAIN and not closes and not main_seen:
+            skipped = ""
+        elif skipped:
             if name == skipped and not rest.endswith("/"):
                 depth += -1 if closes else 1
                 if depth == 0:
@@ -104,11 +107,12 @@ def sequence(page: str) -> Iterator[tuple[str, str, bool]]:
                 continue
             if skipped or not (closes and name in (*MAIN, "body")):
                 continue
-        if name in MAIN:
-            mains = max(0, mains - 1) if closes else mains + 1
-        elif not closes and name not in VOID and _unwanted(name, rest, mains > 0):
+        if not closes and name not in VOID and _unwanted(name, rest, mains > 0, main_seen):
             skipped, depth = name, 1
             continue
+        if name in MAIN:
+            mains = max(0, mains - 1) if closes else mains + 1
+            main_seen = True
         yield name, "/" if closes else "", mains > 0
 
 
