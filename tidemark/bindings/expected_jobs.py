@@ -196,33 +196,33 @@ _PARSING = {
 }
 
 
-def _year(year: int) -> str:
-    return f"SELECT o_custkey AS id FROM orders WHERE year(o_orderdate) = {year}"
+_BEFORE = "SELECT o_custkey AS id FROM orders WHERE o_orderdate < '1993-01-01'"
+_FROM = "SELECT o_custkey AS id FROM orders WHERE o_orderdate >= '1993-01-01'"
 
 
-_CHANGES = f"""SELECT id, 'added' AS change FROM ({_year(1996)} EXCEPT {_year(1995)})
-    UNION ALL SELECT id, 'removed' AS change FROM ({_year(1995)} EXCEPT {_year(1996)})"""
-_RESPONDED = "SELECT o_custkey AS id FROM orders WHERE year(o_orderdate) = 1996 AND o_totalprice > 250000"
+_CHANGES = f"""SELECT id, 'added' AS change FROM ({_FROM} EXCEPT {_BEFORE})
+    UNION ALL SELECT id, 'removed' AS change FROM ({_BEFORE} EXCEPT {_FROM})"""
+_RESPONDED = "SELECT o_custkey AS id FROM orders WHERE o_orderdate >= '1993-01-01' AND o_totalprice > 250000"
 
 
 def _fresh(newer: str) -> str:
     return f"""SELECT table_id, snapshot_ts, last_ended_at, coalesce({newer}, TRUE) AS should_transform
         FROM (SELECT o_custkey AS table_id, max(o_orderdate) + INTERVAL 9 HOUR AS snapshot_ts FROM orders WHERE o_orderstatus = 'O' GROUP BY ALL
               UNION ALL SELECT c_custkey, NULL FROM customer WHERE c_mktsegment = 'MACHINERY')
-        LEFT JOIN (SELECT o_custkey AS table_id, max(o_orderdate) + INTERVAL 6 HOUR AS last_ended_at FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL)
+        LEFT JOIN (SELECT o_custkey AS table_id, max(o_orderdate) + INTERVAL 6 HOUR AS last_ended_at FROM orders WHERE o_orderstatus <> 'O' GROUP BY ALL)
         USING (table_id)"""
 
 
 _PLANNING = {
     "plan_key_changes": _CHANGES,
     "plan_change_summary": f"SELECT added, removed, added + removed > 0 AS changed FROM (SELECT count(*) FILTER (change = 'added') AS added, count(*) FILTER (change = 'removed') AS removed FROM ({_CHANGES}))",
-    "plan_ids_to_fetch": f"SELECT c_custkey AS id FROM customer EXCEPT {_year(1997)}",
+    "plan_ids_to_fetch": f"SELECT c_custkey AS id FROM customer EXCEPT {_BEFORE}",
     "plan_categories_to_fetch": "SELECT category_id FROM in_category_links EXCEPT SELECT category_id FROM in_categories",
     "plan_active_set_full": f"SELECT c_custkey AS id FROM customer INTERSECT {_RESPONDED}",
-    "plan_active_set_partial": f"{_year(1995)} EXCEPT ({_year(1996)} EXCEPT {_RESPONDED})",
+    "plan_active_set_partial": f"{_BEFORE} EXCEPT ({_FROM} EXCEPT {_RESPONDED})",
     "plan_reconcile": f"""SELECT *, expected_count <> parsed_count AS needs_refresh FROM (SELECT (SELECT count(DISTINCT c_custkey) FROM customer) AS expected_count,
-        (SELECT count(DISTINCT id) FROM ({_year(1995)})) AS parsed_count,
-        (SELECT count(*) FROM (SELECT c_custkey FROM customer EXCEPT {_year(1995)})) AS missing_count)""",
+        (SELECT count(DISTINCT id) FROM ({_BEFORE})) AS parsed_count,
+        (SELECT count(*) FROM (SELECT c_custkey FROM customer EXCEPT {_BEFORE})) AS missing_count)""",
     "plan_freshness": _fresh("CAST(snapshot_ts AS DATE) > CAST(last_ended_at AS DATE)"),
     "plan_freshness_exact": _fresh("snapshot_ts > last_ended_at"),
     "plan_load_decisions": """SELECT table_id, CASE WHEN l.loaded IS NULL THEN TRUE WHEN t.done IS NULL THEN FALSE
