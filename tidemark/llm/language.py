@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -176,11 +177,16 @@ def identify(
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The documents whose language can be told, with all their columns.
 
-    Rejected are texts without a letter and those that no machine is sure of. Rows that share an id
-    share the decision: they stay if one of them is identified.
+    Rejected are texts without a letter and those that no machine is sure of. Rows pass or not where
+    they are read, each by itself: no text is shuffled.
     """
-    good = identify(docs, None, id_col, text_col, lang_col).where(
-        (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    )
-    ids = good.select(F.col("doc_id").alias("_good_id")).distinct()
-    return docs.join(ids, docs[id_col].eqNullSafe(ids["_good_id"]), "left_semi")
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col, text_col, lang_col))
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = ((value or b"").decode("utf-8", "replace") for value in batch.column(place).cast(pa.binary()).to_pylist())
+            found = map(shared.value.predict, texts)
+            yield batch.filter(pa.array([lang != UNKNOWN and score >= LEAST_SCORE for lang, score in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
