@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.texts import text_or_empty
+from tidemark.llm.texts import settle, text_or_empty
 
 
 def normalised(text: str) -> Column:
@@ -32,8 +32,8 @@ def exact_groups(
     The row with the smallest id stays; NULL ids rank last, and rows that repeat that id all stay.
     The grouping key holds the hash and the text, and Spark counts per task before it shuffles, so
     copies of one text leave each task as one row however many there are. Only narrow rows
-    (id, hashes) meet their group again; a large group there is one skewed side of a join that
-    adaptive execution splits. Rows find their text by hash and full digest: should two different
+    (id, hashes) meet their group again, which is written out before: a large group there is one
+    skewed side of a plain join, which adaptive execution splits. Rows find their text by hash and full digest: should two different
     texts ever share even the full SHA-256, the job stops and does not merge them.
     An empty table gives no rows.
     """
@@ -59,7 +59,7 @@ def exact_groups(
     )
     return (
         rows.select("doc_id", "h", "text_sha256")
-        .join(groups, ["h", "text_sha256"])
+        .join(settle(groups, "text-groups"), ["h", "text_sha256"])
         .select(
             "doc_id",
             "keep_id",
