@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.texts import map_texts, words_of
+from tidemark.llm.texts import map_texts, settle, words_of
 
 #: Words with a class of their own; all others share classes by their last letters.
 FREQUENT, SHARED = 224, 32
@@ -43,9 +43,9 @@ class WordClasses(dict):
             self[word] = found
         return found
 
-    def sequence(self, text: str) -> np.ndarray:
-        words = words_of(text)
-        return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+    def sequence(self, text: str) -> bytes:
+        """One byte per word."""
+        return bytes(map(self.__getitem__, words_of(text)))
 
 
 class Network:
@@ -107,10 +107,10 @@ class Network:
             part -= RATE * gradient / np.sqrt(square + 1e-8)
 
 
-def contexts_of(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def contexts_of(sequences: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Contexts (a row per word) and targets of texts behind each other; none reaches into another text."""
-    gap = np.full(SIDE, EDGE, dtype=np.int64)
-    joined = np.concatenate([gap, *(part for s in sequences for part in (s, gap))])
+    gap = np.full(SIDE, EDGE, dtype=np.int16)
+    joined = np.concatenate([gap, *(part for s in sequences for part in (np.frombuffer(s, dtype=np.uint8), gap))])
     places = np.flatnonzero(joined != EDGE)
     return np.stack([joined[places + offset] for offset in OFFSETS], axis=1), joined[places]
 
@@ -128,6 +128,19 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return map_texts(docs, [], text_col, "word string, n long", rows).groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _encoded(docs: DataFrame, frequent: list[str], id_col: str, text_col: str) -> DataFrame:
+    """doc_id, sequence (a byte per word): written once, read by all training rounds and the scoring."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+
+    def rows(batches: Iterator) -> Iterator:
+        classes = WordClasses(shared.value)
+        for keys, texts in batches:
+            yield [*keys, [classes.sequence(text) for text in texts]]
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return settle(map_texts(docs, [id_col], text_col, f"doc_id {kind}, sequence binary", rows), "word-classes")
+
+
 def _class_counts(frequent: list, totals: dict[str, int]) -> np.ndarray:
     counts = np.zeros(CLASSES)
     for i, word in enumerate(frequent):
@@ -135,13 +148,12 @@ def _class_counts(frequent: list, totals: dict[str, int]) -> np.ndarray:
     return counts
 
 
-def _trained(docs: DataFrame, text_col: str, frequent: list[str], network: Network, part: int) -> Network:
+def _trained(encoded: DataFrame, network: Network, part: int) -> Network:
     """One round: every task trains on its texts, and the weights are averaged by words seen."""
-    shared = docs.sparkSession.sparkContext.broadcast((frequent, network.flat()))
+    shared = encoded.sparkSession.sparkContext.broadcast(network.flat())
 
     def rows(batches: Iterator) -> Iterator:
-        words, flat = shared.value
-        classes, own = WordClasses(words), Network(flat)
+        own = Network(shared.value)
         squares = [np.zeros_like(p) for p in own.parts]
         held: list[tuple[np.ndarray, np.ndarray]] = []
         waiting = seen = 0
@@ -154,9 +166,9 @@ def _trained(docs: DataFrame, text_col: str, frequent: list[str], network: Netwo
                 own.step(contexts[at : min(at + BATCH, upto)], targets[at : min(at + BATCH, upto)], squares)
             held, waiting = [(contexts[upto:], targets[upto:])], len(targets) - upto
 
-        for _, texts in batches:
-            for text in texts:
-                contexts, targets = contexts_of([classes.sequence(text)])
+        for _, sequences in batches:
+            for sequence in sequences:
+                contexts, targets = contexts_of([sequence])
                 masked = slice(part, None, MASKED)
                 held.append((contexts[masked], targets[masked]))
                 waiting += len(targets[masked])
@@ -169,7 +181,7 @@ def _trained(docs: DataFrame, text_col: str, frequent: list[str], network: Netwo
             yield [[seen], [own.flat().tolist()]]
 
     found = (
-        map_texts(docs, [], text_col, "seen long, weights array<float>", rows)
+        map_texts(encoded, [], "sequence", "seen long, weights array<float>", rows, decode=False)
         .select("seen", F.posexplode("weights").alias("i", "weight"))
         .groupBy("i")
         .agg((F.sum(F.col("weight") * F.col("seen")) / F.sum("seen")).alias("weight"))
@@ -182,19 +194,27 @@ def _trained(docs: DataFrame, text_col: str, frequent: list[str], network: Netwo
     return Network(np.round(flat, 5))
 
 
+def _vocabulary(docs: DataFrame, text_col: str) -> tuple[list[str], Network]:
+    top = word_counts(docs, text_col).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    frequent = [row["word"] for row in top]
+    return frequent, Network.fresh(_class_counts(frequent, {row["word"]: row["n"] for row in top}))
+
+
+def _fitted(encoded: DataFrame, network: Network) -> Network:
+    for part in range(ROUNDS):
+        network = _trained(encoded, network, part * MASKED // ROUNDS)
+    return network
+
+
 def fit(docs: DataFrame, text_col: str = "text") -> tuple[list[str], Network]:
     """Vocabulary and network of a corpus; what is gathered grows with it. All texts are read each round.
 
     To the driver come FREQUENT words and the averaged weights, whatever the size of the corpus. The
     weights depend on how the texts are dealt to tasks.
     """
-    counts = word_counts(docs, text_col)
-    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
-    frequent = [row["word"] for row in top]
-    network = Network.fresh(_class_counts(frequent, {row["word"]: row["n"] for row in top}))
-    for part in range(ROUNDS):
-        network = _trained(docs, text_col, frequent, network, part * MASKED // ROUNDS)
-    return frequent, network
+    frequent, network = _vocabulary(docs, text_col)
+    texts = docs.select(F.lit(0).alias("doc_id"), text_col)
+    return frequent, _fitted(_encoded(texts, frequent, "doc_id", text_col), network)
 
 
 def score(
@@ -205,31 +225,28 @@ def score(
     Whole texts, NULL counting as empty. A text without words has a sum of 0 and no mean. Each row is
     scored by itself, so repeated rows score alike and ties need no rule. An empty table gives no rows.
     """
-    frequent, network = model or fit(docs, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast((frequent, network.flat()))
+    frequent, network = model or _vocabulary(docs, text_col)
+    encoded = _encoded(docs, frequent, id_col, text_col)
+    network = network if model else _fitted(encoded, network)
+    shared = docs.sparkSession.sparkContext.broadcast(network.flat())
 
     def rows(batches: Iterator) -> Iterator:
-        words, flat = shared.value
-        classes, own = WordClasses(words), Network(flat)
-        for keys, texts in batches:
-            sizes, sums = [], []
+        own = Network(shared.value)
+        for keys, sequences in batches:
+            sizes, sums = [len(s) for s in sequences], []
             at = 0
-            while at < len(texts):
-                group: list[np.ndarray] = []
+            while at < len(sequences):
+                group: list[bytes] = []
                 total = 0
-                while at < len(texts) and total < 16 * BATCH:
-                    group.append(classes.sequence(texts[at]))
+                while at < len(sequences) and total < 16 * BATCH:
+                    group.append(sequences[at])
                     total += len(group[-1])
                     at += 1
-                lengths = np.array([len(s) for s in group])
                 values = own.log_probabilities(*contexts_of(group))
-                owner = np.repeat(np.arange(len(group)), lengths)
-                sizes += lengths.tolist()
+                owner = np.repeat(np.arange(len(group)), [len(s) for s in group])
                 sums += np.bincount(owner, weights=values, minlength=len(group)).tolist()
             means = [s / n if n else None for s, n in zip(sums, sizes, strict=True)]
             yield [*keys, sizes, sums, means]
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_texts(
-        docs, [id_col], text_col, f"doc_id {kind}, n_words long, log_likelihood double, mean_log_likelihood double", rows
-    )
+    schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_words long, log_likelihood double"
+    return map_texts(encoded, ["doc_id"], "sequence", f"{schema}, mean_log_likelihood double", rows, decode=False)

@@ -33,23 +33,24 @@ def map_texts(
     keys: list[str],
     text: str,
     schema: str,
-    rows: Callable[[Iterator[tuple[list, list[str]]]], Iterable[list[list]]],
+    rows: Callable[[Iterator[tuple[list, list]]], Iterable[list[list]]],
+    decode: bool = True,
 ) -> DataFrame:
     """Run `rows` over Arrow batches. It gets (key columns, texts) and yields whole result columns.
 
     Only the named columns are read, so extra columns of any name do no harm. NULL texts arrive as "".
-    Texts travel as bytes: a text that is not valid UTF-8 gets replacement characters.
+    Texts travel as bytes: a text that is not valid UTF-8 gets replacement characters, and without
+    `decode`, which a binary column needs, `rows` gets the bytes.
     """
-    narrow = frame.select(*keys, text_or_empty(text).cast("binary").alias("_text"))
+    narrow = frame.select(*keys, F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("_text"))
     names = [part.strip().split(" ")[0] for part in schema.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def inputs():
             for batch in batches:
-                yield (
-                    [batch.column(i) for i in range(len(keys))],
-                    [value.decode("utf-8", "replace") for value in batch.column(len(keys)).to_pylist()],
-                )
+                values = batch.column(len(keys)).to_pylist()
+                texts = [value.decode("utf-8", "replace") for value in values] if decode else values
+                yield [batch.column(i) for i in range(len(keys))], texts
 
         for columns in rows(inputs()):
             yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, list) else c for c in columns], names)
