@@ -54,6 +54,46 @@ def test_scores(spark):
     assert mean(model, mixed) < sum(r.log_likelihood for r in got.values())
 
 
+
+def test_each_word_has_a_share_of_its_class(spark):
+    rows = sample(spark, "sf0.001")
+    docs = spark.createDataFrame(rows, SCHEMA)
+    counts, model = lm_scores.word_counts(docs), lm_scores.fit(docs)
+    n = {r.word: r.n for r in counts.collect()}
+    classes = lm_scores.WordClasses(model[0])
+    totals = Counter()
+    for word in n:
+        totals[classes[word]] += n[word]
+
+    def share(word):
+        if word in model[0]:
+            return 0
+        seen = math.log(n[word]) if word in n else -(len(word.encode()) + 1) * math.log(257)
+        return seen - math.log(totals[classes[word]] + 1)
+
+    texts = rows[:40] + [(9000, "qzing xyzing of \u00e9 y", 1, "", ""), (9001, None, 1, "", "")]
+    some = spark.createDataFrame(texts, SCHEMA)
+    plain = {r.doc_id: r.log_likelihood for r in lm_scores.score(some, model).collect()}
+    for listed in (lm_scores.LISTED, 1000):  # few words, and most words, are joined
+        lm_scores.LISTED, before = listed, lm_scores.LISTED
+        try:
+            got = {r.doc_id: r for r in lm_scores.score(some, model, counts=counts).collect()}
+        finally:
+            lm_scores.LISTED = before
+        for i, text, *_ in texts:
+            words = words_of(text or "")
+            want = plain[i] + sum(map(share, words))
+            assert abs(got[i].log_likelihood - want) < 1e-6 * abs(want) + 1e-6
+            assert got[i].mean_log_likelihood == (got[i].log_likelihood / len(words) if words else None)
+    # What is learned from the rows scores words too, so a text of other words with known endings scores lower.
+    own = {r.doc_id: r.log_likelihood for r in lm_scores.score(docs).collect()}
+    assert all(own[i] < plain[i] - 1 for i, text, *_ in rows[:40] if len(words_of(text)) > 20)
+    word = max((w for w in n if w not in model[0]), key=n.get)
+    pair = spark.createDataFrame([(1, word, 1, "", ""), (2, "q" * len(word) + word[-2:], 1, "", "")], SCHEMA)
+    known, invented = sorted(lm_scores.score(pair, model, counts=counts).collect())
+    assert known.log_likelihood > invented.log_likelihood + 10
+
+
 def test_gradient():
     rng = np.random.default_rng(3)
     contexts = rng.integers(0, lm_scores.CLASSES + 1, (50, 4))

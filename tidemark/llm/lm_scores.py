@@ -1,9 +1,11 @@
 """Document scores by masked pseudo-likelihood.
 
-A small network in numpy predicts each word from the words on both of its sides; the sum of the log
-probabilities it gives to the words of a text is the score. The vocabulary is counted over the whole
-corpus, and training runs where the texts are: each task descends on its texts, masking a part of their
-words a round, and Spark averages the weights of the tasks.
+A small network in numpy predicts the class of each word from the words on both of its sides, and the
+counts of the whole corpus give the share of the word in its class: P(class) x P(word | class). The sum
+of the logarithms over the words of a text is the score. Every word of the corpus counts with a share of
+its own; the counts are a Spark table that grows with the corpus. Training runs where the texts are:
+each task descends on its texts, masking a part of their words a round, and Spark averages the weights
+of the tasks.
 """
 
 from __future__ import annotations
@@ -12,9 +14,11 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.texts import map_texts, settle, words_of
@@ -30,6 +34,11 @@ OFFSETS = (*range(-SIDE, 0), *range(1, SIDE + 1))
 MASKED, ROUNDS = 8, 2
 BATCH, RATE = 2048, 0.1
 _REMEMBERED = 400_000
+#: Tasks hold the shares of words that are at least one in LISTED of the corpus (fewer than LISTED words);
+#: all others are joined to the counts. Both give the same result.
+LISTED = 1 << 20
+#: Unit of summed shares: whole numbers add up alike in any order.
+UNIT = 1 << 32
 _SHAPES = ((len(OFFSETS), CLASSES + 1, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,))
 
 
@@ -128,17 +137,63 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return map_texts(docs, [], text_col, "word string, n long", rows).groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _encoded(docs: DataFrame, frequent: list[str], id_col: str, text_col: str) -> DataFrame:
-    """doc_id, sequence (a byte per word): written once, read by all training rounds and the scoring."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+class Shares:
+    """Shares of the words of a corpus in their classes.
+
+    A word seen n times in a class of N words has n / (N + 1). Words that the corpus lacks divide the
+    rest, 1 / (N + 1), spelled byte by byte. A frequent word is its class.
+    """
+
+    def __init__(self, counts: DataFrame, frequent: list[str]):
+        number = F.crc32(F.encode(F.right("word", F.lit(2)), "UTF-8")) % SHARED
+        shared = counts.where(~F.col("word").isin(frequent)).withColumn("shared", number)
+        sums = {row["shared"]: row["n"] for row in shared.groupBy("shared").agg(F.sum("n").alias("n")).collect()}
+        every = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        self.totals = [sums.get(i, 0) + 1 for i in range(SHARED)]
+        self.rare = shared.where(F.col("n") * LISTED < every).select("word", "n")
+        known = shared.where(F.col("n") * LISTED >= every).select("word", self._share("n").alias("share")).collect()
+        self.listed = dict.fromkeys(frequent, 0) | {row["word"]: row["share"] for row in known}
+
+    def _share(self, n: str) -> Column:
+        """log P(word | class) in units of 1 / UNIT."""
+        number = F.crc32(F.encode(F.right("word", F.lit(2)), "UTF-8")) % SHARED
+        total = F.element_at(F.array(*[F.lit(float(t)) for t in self.totals]), (number + 1).cast("int"))
+        spelled = -(F.octet_length("word") + 1) * F.lit(math.log(257))
+        return F.round((F.coalesce(F.log(F.col(n)), spelled) - F.log(total)) * UNIT).cast("long")
+
+    def of_rest(self, encoded: DataFrame) -> DataFrame:
+        """row, share: summed over the words that tasks don't hold."""
+        words = encoded.select("row", F.explode("rest").alias("word"))
+        return words.join(self.rare, "word", "left").groupBy("row").agg(F.sum(self._share("n")).alias("share"))
+
+
+def _encoded(docs: DataFrame, frequent: list[str], id_col: str, text_col: str, shares: Shares | None = None) -> DataFrame:
+    """doc_id, sequence (a byte per word): written once, read by all training rounds and the scoring.
+
+    With shares also row (a number of its own), listed (their sum over listed words) and rest (the other words).
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((frequent, shares and shares.listed))
 
     def rows(batches: Iterator) -> Iterator:
-        classes = WordClasses(shared.value)
+        frequent, listed = shared.value
+        classes = WordClasses(frequent)
+        row = TaskContext.get().partitionId() << 40
         for keys, texts in batches:
-            yield [*keys, [classes.sequence(text) for text in texts]]
+            if listed is None:
+                yield [*keys, [classes.sequence(text) for text in texts]]
+                continue
+            sequences, sums, rest = [], [], []
+            for text in texts:
+                words = words_of(text)
+                sequences.append(bytes(map(classes.__getitem__, words)))
+                sums.append(sum(map(listed.get, words, repeat(0))))
+                rest.append([word for word in words if word not in listed])
+            yield [*keys, sequences, list(range(row, row + len(texts))), sums, rest]
+            row += len(texts)
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return settle(map_texts(docs, [id_col], text_col, f"doc_id {kind}, sequence binary", rows), "word-classes")
+    schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, sequence binary"
+    schema += ", row long, listed long, rest array<string>" if shares else ""
+    return settle(map_texts(docs, [id_col], text_col, schema, rows), "word-classes")
 
 
 def _class_counts(frequent: list, totals: dict[str, int]) -> np.ndarray:
@@ -194,8 +249,8 @@ def _trained(encoded: DataFrame, network: Network, part: int) -> Network:
     return Network(np.round(flat, 5))
 
 
-def _vocabulary(docs: DataFrame, text_col: str) -> tuple[list[str], Network]:
-    top = word_counts(docs, text_col).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+def _vocabulary(counts: DataFrame) -> tuple[list[str], Network]:
+    top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
     frequent = [row["word"] for row in top]
     return frequent, Network.fresh(_class_counts(frequent, {row["word"]: row["n"] for row in top}))
 
@@ -207,26 +262,36 @@ def _fitted(encoded: DataFrame, network: Network) -> Network:
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> tuple[list[str], Network]:
-    """Vocabulary and network of a corpus; what is gathered grows with it. All texts are read each round.
+    """Words with a class of their own and the network of a corpus. All texts are read each round.
 
-    To the driver come FREQUENT words and the averaged weights, whatever the size of the corpus. The
-    weights depend on how the texts are dealt to tasks.
+    To the driver come FREQUENT words and the averaged weights; the vocabulary with its counts is the
+    table that `word_counts` gives. The weights depend on how the texts are dealt to tasks.
     """
-    frequent, network = _vocabulary(docs, text_col)
+    frequent, network = _vocabulary(word_counts(docs, text_col))
     texts = docs.select(F.lit(0).alias("doc_id"), text_col)
     return frequent, _fitted(_encoded(texts, frequent, "doc_id", text_col), network)
 
 
 def score(
-    docs: DataFrame, model: tuple[list[str], Network] | None = None, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    model: tuple[list[str], Network] | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Per row: doc_id, n_words, log_likelihood (sum), mean_log_likelihood (per word).
 
     Whole texts, NULL counting as empty. A text without words has a sum of 0 and no mean. Each row is
     scored by itself, so repeated rows score alike and ties need no rule. An empty table gives no rows.
+
+    Without a model it learns one from the rows. `counts` (word, n) are those of the corpus of a given
+    model; a model given without counts can only score the classes of the words.
     """
-    frequent, network = model or _vocabulary(docs, text_col)
-    encoded = _encoded(docs, frequent, id_col, text_col)
+    if not model:
+        counts = settle(word_counts(docs, text_col), "word-counts")
+    frequent, network = model or _vocabulary(counts)
+    shares = Shares(counts, frequent) if counts is not None else None
+    encoded = _encoded(docs, frequent, id_col, text_col, shares)
     network = network if model else _fitted(encoded, network)
     shared = docs.sparkSession.sparkContext.broadcast(network.flat())
 
@@ -245,8 +310,13 @@ def score(
                 values = own.log_probabilities(*contexts_of(group))
                 owner = np.repeat(np.arange(len(group)), [len(s) for s in group])
                 sums += np.bincount(owner, weights=values, minlength=len(group)).tolist()
-            means = [s / n if n else None for s, n in zip(sums, sizes, strict=True)]
-            yield [*keys, sizes, sums, means]
-
-    schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_words long, log_likelihood double"
-    return map_texts(encoded, ["doc_id"], "sequence", f"{schema}, mean_log_likelihood double", rows, decode=False)
+            yield [*keys, sizes, sums]
+
+    keys = ["doc_id", "row", "listed"] if shares else ["doc_id"]
+    schema = ", ".join(f"{key} {encoded.schema[key].dataType.simpleString()}" for key in keys)
+    scored = map_texts(encoded, keys, "sequence", f"{schema}, n_words long, log_likelihood double", rows, decode=False)
+    if shares:
+        both = F.col("log_likelihood") + (F.col("listed") + F.coalesce("share", F.lit(0))) / UNIT
+        scored = scored.join(shares.of_rest(encoded), "row", "left").withColumn("log_likelihood", both)
+    mean = F.expr("IF(n_words > 0, log_likelihood / n_words, NULL)")
+    return scored.select("doc_id", "n_words", "log_likelihood", mean.alias("mean_log_likelihood"))
