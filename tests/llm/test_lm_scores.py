@@ -94,6 +94,21 @@ def test_each_word_has_a_share_of_its_class(spark):
     assert known.log_likelihood > invented.log_likelihood + 10
 
 
+
+def test_every_word_is_a_training_target(spark, monkeypatch):
+    trained, parts = lm_scores._trained, []
+
+    def noted(encoded, network, part):
+        parts.append(part)
+        return trained(encoded, network, part)
+
+    monkeypatch.setattr(lm_scores, "_trained", noted)
+    docs = spark.createDataFrame([(1, "a b c d e f g h i", 1, "", "")], SCHEMA)
+    lm_scores.fit(docs)
+    positions = [i for part in parts for i in range(1000)[slice(part, None, lm_scores.MASKED)]]
+    assert sorted(positions) == list(range(1000))
+
+
 def test_gradient():
     rng = np.random.default_rng(3)
     contexts = rng.integers(0, lm_scores.CLASSES + 1, (50, 4))

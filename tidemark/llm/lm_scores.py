@@ -30,8 +30,8 @@ EDGE = CLASSES  # stands beyond either end of a text
 #: Words on each side, size of the hidden layer.
 SIDE, HIDDEN = 2, 16
 OFFSETS = (*range(-SIDE, 0), *range(1, SIDE + 1))
-#: One word in MASKED is predicted per training round, another one in each round.
-MASKED, ROUNDS = 8, 2
+#: One word in MASKED is predicted per training round, another one in each round: after all rounds, every word.
+MASKED = ROUNDS = 2
 BATCH, RATE = 2048, 0.1
 _REMEMBERED = 400_000
 #: Tasks hold the shares of words that are at least one in LISTED of the corpus (fewer than LISTED words);
@@ -79,7 +79,7 @@ class Network:
         return np.concatenate([part.ravel() for part in self.parts])
 
     def _forward(self, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden layer and log probabilities of all classes."""
+        """Hidden layer and logits of all classes, the highest of a row at 0."""
         embed, bias, out, base = self.parts
         hidden = bias + embed[0][contexts[:, 0]]
         for k in range(1, len(OFFSETS)):
@@ -88,22 +88,23 @@ class Network:
         logits = hidden @ out
         logits += base
         logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
         return hidden, logits
 
     def log_probabilities(self, contexts: np.ndarray, targets: np.ndarray) -> np.ndarray:
         result = np.empty(len(targets), dtype=np.float64)
         for at in range(0, len(targets), BATCH):
             some = slice(at, at + BATCH)
-            result[some] = self._forward(contexts[some])[1][np.arange(len(targets[some])), targets[some]]
+            logits = self._forward(contexts[some])[1]
+            reached = logits[np.arange(len(logits)), targets[some]]
+            result[some] = reached - np.log(np.exp(logits, out=logits).sum(axis=1))
         return result
 
     def step(self, contexts: np.ndarray, targets: np.ndarray, squares: list[np.ndarray]) -> None:
         """One step of gradient descent with rates adapted per weight."""
         hidden, logits = self._forward(contexts)
-        wrong = np.exp(logits)
-        wrong[np.arange(len(targets)), targets] -= 1
-        wrong /= len(targets)
+        wrong = np.exp(logits, out=logits)
+        wrong /= wrong.sum(axis=1, keepdims=True) * len(targets)
+        wrong[np.arange(len(targets)), targets] -= 1 / len(targets)
         back = (wrong @ self.parts[2].T) * (1 - hidden * hidden)
         embed = np.zeros_like(self.parts[0])
         for k in range(len(OFFSETS)):
@@ -257,12 +258,13 @@ def _vocabulary(counts: DataFrame) -> tuple[list[str], Network]:
 
 def _fitted(encoded: DataFrame, network: Network) -> Network:
     for part in range(ROUNDS):
-        network = _trained(encoded, network, part * MASKED // ROUNDS)
+        network = _trained(encoded, network, part)
     return network
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> tuple[list[str], Network]:
-    """Words with a class of their own and the network of a corpus. All texts are read each round.
+    """Words with a class of their own and the network of a corpus. All texts are read each round,
+    and each word is predicted in one of them.
 
     To the driver come FREQUENT words and the averaged weights; the vocabulary with its counts is the
     table that `word_counts` gives. The weights depend on how the texts are dealt to tasks.
