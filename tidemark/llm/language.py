@@ -29,7 +29,8 @@ PAIRS, TRIPLES = 1024, 2048
 #: Margins are scaled by this before they become scores.
 STEEPNESS = 4.0
 UNKNOWN = "und"
-#: A document below this score is in no language that was learned.
+#: Documents below this score are rejected. A score is a product of the winner's duels, each at least 0.5, so
+#: with two families of two languages none is below 0.25 and only texts without a letter go.
 LEAST_SCORE = 0.1
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -177,7 +178,7 @@ def identify(
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The documents whose language can be told, with all their columns.
 
-    Rejected are texts without a letter and those that no machine is sure of. Rows pass or not where
+    Rejected are texts without a letter and scores below LEAST_SCORE, which few duels can't reach. Rows pass or not where
     they are read, each by itself: no text is shuffled.
     """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col, text_col, lang_col))
