@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import (
     bpe,
@@ -14,9 +15,12 @@ from tidemark.llm import (
     language,
     lm_scores,
     near_dedup,
+    periodic_runs,
     suffix_dedup,
     token_counts,
+    topk,
     warc,
+    whitening,
 )
 from tidemark.session import work_dir
 
@@ -72,6 +76,19 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(whitening.scaled(_table(spark, sf_dir, "embeddings")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(_table(spark, sf_dir, "documents"), fold=True)
+
+
+def op13_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = topk.scaled(_table(spark, sf_dir, "embeddings"))
+    return topk.search(rows, is_query=F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -85,6 +102,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_token_counts,
         op10_near_dedup,
+        op11_whitening,
+        op12_periodic_runs,
+        op13_topk_search,
     )
 }
 
@@ -104,4 +124,19 @@ EXPECTED: dict[str, str] = {
                      count(*) OVER (PARTITION BY text) AS group_size FROM t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256 FROM g
     """,
+    "op13_topk_search": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        p AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * c.x[i])) AS BIGINT) AS score
+            FROM v AS q JOIN v AS c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+        )
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id, score
+        FROM p QUALIFY rank <= 5
+    """,
 }
