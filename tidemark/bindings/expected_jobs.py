@@ -313,6 +313,9 @@ _JOINS = {
 _SNAPSHOTS = """SELECT DISTINCT 'listings_batch' || l_linenumber AS name, strftime(l_shipdate, '%Y') || '-01-01_06-00-00' AS suffix,
     date_trunc('year', l_shipdate) + INTERVAL 6 HOUR AS snapshot_ts FROM lineitem"""
 
+_PRICES = f"""SELECT crypto_id, name, {AT}, price_usd, percent_change_24h_usd, percent_change_7d_usd
+    FROM fact_crypto_market JOIN dim_crypto_id USING (crypto_id) WHERE price_usd IS NOT NULL"""
+
 _SOURCES = {
     "source_strict_read": f"SELECT o_orderkey, o_totalprice, {NULL_NUM} AS o_discount FROM orders",
     "source_list_snapshots": _SNAPSHOTS,
@@ -324,6 +327,9 @@ _SOURCES = {
     "source_column_read": "SELECT crypto_id FROM dim_crypto_id",
     "source_time_travel": """SELECT o_orderkey, o_orderstatus, o_totalprice, 'latest' AS which FROM orders
         UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice, 'first' FROM orders WHERE o_orderstatus = 'F'""",
+    "source_partition_pruning": f"""SELECT 'days' AS way, p.* FROM ({_PRICES}) p WHERE quarter({AT}) = 4
+        UNION ALL SELECT 'bounds', p.* FROM ({_PRICES}) p
+        WHERE {AT} >= TIMESTAMP '1997-04-01 06:00:00' AND {AT} < TIMESTAMP '1998-04-01 06:00:00'""",
     "source_compact": "SELECT p_partkey, p_size FROM part",
     "source_append": "SELECT o_orderkey, o_orderpriority FROM orders",
     "source_snapshot_write": "SELECT s_suppkey, s_name, '2024-03-01_08-30-00' AS suffix FROM supplier",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,7 +13,7 @@ from tidemark.bindings.inputs import bronze, derive, scan
 from tidemark.bindings.silver import BUILDS, Silver
 from tidemark.functions import columns as cols, kpi
 from tidemark.operators import clean, increment, joins, ordered, repair
-from tidemark.plans import builds, checks, loads, steps, views
+from tidemark.plans import builds, checks, days, loads, steps, views
 from tidemark.session import pin, work_dir
 from tidemark.sources import payloads, snapshots, store
 from tidemark.streaming import ingest
@@ -911,6 +911,27 @@ def source_time_travel(spark, sf_dir):
     )
 
 
+def market_by_day(spark, sf_dir) -> store.Store:
+    """A warehouse whose market fact came in two loads, each in folders by day."""
+    t = Silver(spark, sf_dir)
+    warehouse = store.Store(spark, work_dir(spark, "days"))
+    loads.load(warehouse, "dim_crypto_id", t["dim_crypto_id"], 1)
+    late = F.year("snapshot_timestamp") >= 1998
+    loads.load(warehouse, "fact_crypto_market", t["fact_crypto_market"].where(~late), 1)
+    loads.load(warehouse, "fact_crypto_market", t["fact_crypto_market"].where(late), 2)
+    return warehouse
+
+
+@query
+def source_partition_pruning(spark, sf_dir):
+    """Prices of the last quarters, by days joined to the scan, and of one year, by bounds of its partitions."""
+    warehouse, name = market_by_day(spark, sf_dir), "vw_crypto_price_evolution"
+    last_quarters = days.calendar(spark, date(1990, 1, 1), date(2009, 12, 31)).where("quarter = 4")
+    chosen = views.view(name, days.Period(warehouse, days=last_quarters))
+    year = views.view(name, days.Period(warehouse, datetime(1997, 4, 1, 6), datetime(1998, 4, 1, 6)))
+    return chosen.withColumn("way", F.lit("days")).unionByName(year.withColumn("way", F.lit("bounds")))
+
+
 @query
 def source_compact(spark, sf_dir):
     """A table of many small files rewritten as its next version."""

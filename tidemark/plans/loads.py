@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from tidemark.operators.clean import keep_first
 from tidemark.operators.joins import enforce_fks, new_keys
 from tidemark.operators.repair import repair_exchange_map, repair_spot_volume
+from tidemark.plans import days
 from tidemark.sources.store import BUILD_PHASES, Store, committed_versions, last_entry, live_versions
 
 
@@ -107,6 +108,7 @@ def load(store: Store, name: str, built: DataFrame, version: int, source_version
         source_version=source_version,
         skip_empty=bool(spec.key),
         dropped=dropped if seen else None,
+        derived=days.layout(name, rows),
     )[1]
 
 
@@ -177,6 +179,6 @@ def run_repairs(warehouse: Store) -> dict[str, int]:
         touched = sorted(r["version"] for r in per_version)
         if touched:
             changed = fixed.where(F.col("version").isin(touched)).drop("version", "_repaired")
-            warehouse.publish(changed, name, phase="repair", replaces=touched)
+            warehouse.publish(changed, name, phase="repair", replaces=touched, derived=days.layout(name, changed))
         outcome[name] = sum(r["n"] for r in per_version)
     return outcome

@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F
 
 from tidemark.operators.increment import is_newer
-from tidemark.plans import builds, schemas
+from tidemark.plans import builds, days, schemas
 from tidemark.sources import payloads, snapshots
 from tidemark.sources.store import Store, last_entry
 
@@ -111,7 +111,7 @@ def run_step(
     if df is None:
         store.record(table, phase, "skipped", started_at=started)
         return "skipped"
-    store.publish(df, table, phase=phase, read_upto=read_upto)
+    store.publish(df, table, phase=phase, read_upto=read_upto, derived=days.layout(table, df))
     return "success"
 
 

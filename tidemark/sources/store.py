@@ -13,7 +13,9 @@ from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, LongType, MapType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, MapType, StringType, StructField, StructType
+
+from tidemark.operators.clean import union_all
 
 LEDGER_COLUMNS = {
     "table_name": "string",
@@ -29,11 +31,15 @@ LEDGER_COLUMNS = {
     "path": "string",
     "dropped": "string",
     "read_upto": "timestamp",
+    "derived": "string",
 }
 LEDGER = ", ".join(f"{name} {kind}" for name, kind in LEDGER_COLUMNS.items())
 
 REPLACES = "replaces "
 
+#: Folder of one attempt to write a version.
+ATTEMPT = "attempt"
+
 
 def _entry(**values) -> list[Column]:
     return [F.lit(values.get(name)).cast(kind).alias(name) for name, kind in LEDGER_COLUMNS.items()]
@@ -104,6 +110,7 @@ class Store:
         path: str | None = None,
         dropped: Mapping[str, int] | None = None,
         read_upto: datetime | None = None,
+        derived: Mapping[str, str] | None = None,
     ) -> None:
         now = datetime.now(timezone.utc)
         entry = _entry(
@@ -120,6 +127,7 @@ class Store:
             path=path,
             dropped=json.dumps(dropped) if dropped is not None else None,
             read_upto=read_upto,
+            derived=json.dumps(derived) if derived else None,
         )
         self.spark.range(1).coalesce(1).select(*entry).write.mode("append").parquet(self.ledger_path)
 
@@ -157,6 +165,8 @@ class Store:
         replaces: Sequence[int] = (),
         dropped: Callable[[], Mapping[str, int]] | None = None,
         read_upto: datetime | None = None,
+        derived: Mapping[str, Column] | None = None,
+        detail: str | None = None,
     ) -> tuple[int, int]:
         """Write `df` as one version and commit it; returns (version, rows).
 
@@ -165,24 +175,31 @@ class Store:
         `read_upto` is the time of the newest snapshot the rows come from.
         With `skip_empty`, a version without rows is recorded as skipped, not committed.
         `replaces` names versions of an appended table that this one stands in for.
+        `derived` are further partition columns, computed for the folders only: they are no columns of
+        the table, but `prune` of the readers sees them.
         """
         started = datetime.now(timezone.utc)
         if version is None:
             version = max(self.committed(table), default=0) + 1
-        seen = Observation()
-        if partition_by:
+        seen, schema, folders = Observation(), df.schema, [*partition_by, *(derived or {})]
+        if derived:
+            df = df.withColumns(dict(derived))
+        kinds = {name: df.schema[name].dataType.simpleString() for name in derived or {}}
+        if folders:
             # even files per partition value; a value holding most rows is split
-            df = df.hint("rebalance", *partition_by)
+            df = df.hint("rebalance", *folders)
         writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        path = f"{self.path(table, version)}/{uuid.uuid4().hex}"
+        if folders:
+            writer = writer.partitionBy(*folders)
+        path = f"{self.path(table, version)}/{ATTEMPT}={uuid.uuid4().hex}"
         writer.parquet(path)
         rows = seen.get["rows"]
         status = "skipped" if skip_empty and rows == 0 else "success"
-        detail = REPLACES + ",".join(map(str, replaces)) if replaces else None
+        detail = REPLACES + ",".join(map(str, replaces)) if replaces else detail
         counts = dropped() if dropped else None
-        self.record(table, phase, status, version, rows, started, source_version, detail, df.schema, path, counts, read_upto)
+        self.record(
+            table, phase, status, version, rows, started, source_version, detail, schema, path, counts, read_upto, kinds
+        )
         return version, rows
 
     def read(self, table: str, version: int | None = None, columns: Sequence[str] = ()) -> DataFrame:
@@ -195,32 +212,60 @@ class Store:
         df = self.read_versions(table, [chosen], entries)
         return df.select(*columns) if columns else df
 
-    def read_all(self, table: str, columns: Sequence[str] = (), with_version: bool = False) -> DataFrame | None:
+    def read_all(
+        self,
+        table: str,
+        columns: Sequence[str] = (),
+        with_version: bool = False,
+        prune: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> DataFrame | None:
         """All live versions together (an appended table), or None before the first."""
         entries = self.history(table)[table]
         live = live_versions(entries)
         if not live:
             return None
-        df = self.read_versions(table, live, entries, with_version)
+        df = self.read_versions(table, live, entries, with_version, prune)
         return df.select(*columns) if columns else df
 
     def read_versions(
-        self, table: str, versions: Sequence[int], entries: Sequence[Row], with_version: bool = False
+        self,
+        table: str,
+        versions: Sequence[int],
+        entries: Sequence[Row],
+        with_version: bool = False,
+        prune: Callable[[DataFrame], DataFrame] | None = None,
     ) -> DataFrame:
         """Several versions as one scan, optionally with their number in `version`.
 
         The schema is the union of the schemas in the ledger, so no file footer is read
-        to plan the scan and a column added later is NULL in older versions.
+        to plan the scan and a column added later is NULL in older versions. `prune` may filter
+        or join the scan by derived partition columns before they are dropped. Versions written with
+        other folders are a scan of their own.
         """
         schema = merged_schema(entries, versions)
-        reader = self.spark.read
-        if with_version:
-            schema = StructType([*schema.fields, StructField("version", LongType())])
-            reader = reader.option("basePath", f"{self.root}/tables/{table}")
-        paths = {e["version"]: e["path"] for e in entries if e["status"] == "success" and e["path"]}
-        return reader.schema(schema).parquet(*[paths[v] for v in versions])
-
-    def compact(self, table: str, appended: bool = False, partition_by: Sequence[str] = ()) -> tuple[int, int]:
+        written = {e["version"]: e for e in entries if e["status"] == "success" and e["path"]}
+        layouts: dict[tuple[str | None, bool], list[str]] = {}
+        for v in versions:
+            entry = written[v]
+            layouts.setdefault((entry["derived"], f"/{ATTEMPT}=" in entry["path"]), []).append(entry["path"])
+        scans = []
+        for (derived, attempts), paths in layouts.items():
+            fields = [StructField("version", LongType())] if "version" not in schema.names else []
+            fields += [StructField(ATTEMPT, StringType())] if attempts else []
+            fields += StructType.fromDDL(", ".join(f"{n} {k}" for n, k in json.loads(derived or "{}").items())).fields
+            reader = self.spark.read.schema(StructType([*schema.fields, *fields]))
+            df = reader.option("basePath", f"{self.root}/tables/{table}").parquet(*paths)
+            df = prune(df) if prune else df
+            scans.append(df.select(*schema.names, *(["version"] if with_version else [])))
+        return union_all(scans)
+
+    def compact(
+        self,
+        table: str,
+        appended: bool = False,
+        partition_by: Sequence[str] = (),
+        derived: Mapping[str, Column] | None = None,
+    ) -> tuple[int, int]:
         """Rewrite a table in evenly sized files as its next version: the latest version,
         or all live versions of an appended table. It brings no new rows, so no load follows from it."""
         entries = self.history(table)[table]
@@ -228,9 +273,10 @@ class Store:
         df = self.read_all(table) if appended else self.read(table)
         sources = [e["source_version"] for e in entries if e["source_version"] is not None]
         return self.publish(
-            df.hint("rebalance"),
+            df if partition_by or derived else df.hint("rebalance"),
             table,
             partition_by=partition_by,
+            derived=derived,
             phase="compact",
             source_version=max(sources, default=None),
             replaces=old,
