@@ -162,6 +162,10 @@ def test_command_line(spark, cycle, tmp_path, capsys, monkeypatch):
     assert "crypto_01_missing_name_or_symbol" in capsys.readouterr().out
     cli.main(["export", warehouse.root, "vw_crypto_price_evolution", f"{tmp_path}/csv"])
     assert spark.read.option("header", "true").csv(f"{tmp_path}/csv").count() == 4
+    cli.main(["export", warehouse.root, "vw_crypto_price_evolution", f"{tmp_path}/none", "--until", "2001-01-01"])
+    assert spark.read.option("header", "true").csv(f"{tmp_path}/none").count() == 0
+    cli.main(["stream", bronze, f"{tmp_path}/silver", f"{tmp_path}/checkpoint", "--frequency", "weekly"])
+    assert "'dim_crypto_info': 'success'" in capsys.readouterr().out
     write_payloads(raw(spark, datetime(2030, 1, 1), True), f"{tmp_path}/payloads")
     cli.main(["parse", f"{tmp_path}/payloads", "exchange_map", f"{tmp_path}/bronze"])
     assert spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/bronze").where(F.col("id") == 5).count() == 1

@@ -6,8 +6,10 @@ import argparse
 from datetime import datetime, timezone
 
 from tidemark.plans import checks, loads, steps, views
+from tidemark.plans.days import Period
 from tidemark.session import build_session
 from tidemark.sources.store import Store, export_csv, read_payloads
+from tidemark.streaming.builds import run_stream_builds
 
 
 def _warehouse(spark, root: str) -> dict:
@@ -31,6 +33,13 @@ def main(argv: list[str] | None = None) -> None:
     command.add_argument("--frequency", default="all", choices=["all", *steps.BUILD_GROUPS])
     command.add_argument("--force", action="store_true")
 
+    command = commands.add_parser("stream", help="all bronze files that are new since the last call to silver tables")
+    command.add_argument("bronze")
+    command.add_argument("silver")
+    command.add_argument("checkpoint")
+    command.add_argument("--frequency", default="all", choices=["all", *steps.BUILD_GROUPS])
+    command.add_argument("--archive", help="where files go once they are built")
+
     command = commands.add_parser("load", help="changed silver tables into the warehouse")
     command.add_argument("silver")
     command.add_argument("warehouse")
@@ -47,6 +56,8 @@ def main(argv: list[str] | None = None) -> None:
     command.add_argument("warehouse")
     command.add_argument("name")
     command.add_argument("target")
+    command.add_argument("--since", type=datetime.fromisoformat, help="first snapshot time (UTC)")
+    command.add_argument("--until", type=datetime.fromisoformat, help="snapshots before this time (UTC)")
 
     args = parser.parse_args(argv)
     spark = build_session()
@@ -56,6 +67,9 @@ def main(argv: list[str] | None = None) -> None:
             print(steps.parse_to_bronze(raw, args.endpoint, args.bronze, datetime.now(timezone.utc)))
         case "transform":
             print(steps.run_builds(spark, args.bronze, Store(spark, args.silver), args.frequency, args.force))
+        case "stream":
+            silver = Store(spark, args.silver)
+            print(run_stream_builds(spark, args.bronze, silver, args.checkpoint, args.frequency, args.archive))
         case "load":
             groups = tuple(loads.FREQUENCIES) if args.frequency == "all" else (args.frequency,)
             print(loads.run_loads(Store(spark, args.silver), Store(spark, args.warehouse), groups, args.force))
@@ -64,7 +78,7 @@ def main(argv: list[str] | None = None) -> None:
         case "check":
             print(checks.summary(_warehouse(spark, args.warehouse)))
         case "export":
-            tables = _warehouse(spark, args.warehouse)
+            tables = Period(Store(spark, args.warehouse), args.since, args.until)
             named = tables[args.name] if args.name in tables else views.view(args.name, tables, ordered=True)
             export_csv(named, args.target)
 

@@ -101,7 +101,40 @@ def _loaded(table: str) -> str:
     return f"SELECT '{table}' AS table_name, 'load' AS phase, 'success' AS status, count(*) AS rows FROM {table}{where}"
 
 
+# texts, then numbers
+_SHOWN = {
+    "dim_crypto_id": "name symbol platform_name | crypto_id platform_id",
+    "dim_exchange_id": "name | exchange_id",
+    "dim_crypto_category": "category_id name title |",
+    "dim_crypto_info": "slug category website_url | crypto_id",
+    "dim_exchange_info": "slug date_launched website_url | exchange_id",
+    "crypto_category_link": "category_id | crypto_id",
+    "dim_crypto_map": "last_historical_data | crypto_id rank is_active",
+    "dim_exchange_map": "| exchange_id weekly_visits maker_fee",
+    "fact_crypto_market": "last_updated_usd | crypto_id price_usd supply_utilization",
+    "fact_crypto_category": "category_id | num_tokens market_cap dominance_per_token",
+    "fact_exchange_assets": "wallet_address | exchange_id crypto_id wallet_weight",
+    "fact_market_sentiment": "sentiment_label | fear_greed_score",
+    "fact_global_market": "last_updated_str | total_market_cap btc_dominance_delta active_exchanges",
+}
+
+
+def _contents(table: str) -> str:
+    texts, numbers = (part.split() for part in _SHOWN[table].split("|"))
+    tests = [f"{key} IN (SELECT {key} FROM {_OWNER[key]})" for key in _REFERENCES.get(table, [])]
+    timed = table.startswith("fact_") or table in ("dim_crypto_map", "dim_exchange_map", "dim_crypto_info")
+    columns = [f"'{table}' AS table_name", f"{AT if timed else 'CAST(NULL AS TIMESTAMP)'} AS at"]
+    columns += [f"{n} AS t{i}" for i, n in enumerate(texts + [NULL_TEXT] * (3 - len(texts)))]
+    columns += [f"CAST({n} AS DOUBLE) AS n{i}" for i, n in enumerate(numbers + [NULL_NUM] * (3 - len(numbers)))]
+    source = f"({_BUILDS['build_exchange_assets_single_run']})" if table == "fact_exchange_assets" else table
+    return f"SELECT {', '.join(columns)} FROM {source}" + (f" WHERE {' AND '.join(tests)}" if tests else "")
+
+
+_ALL_CONTENTS = " UNION ALL ".join(map(_contents, _SHOWN))
+
 _STEPS = {
+    "step_shared_scan": _ALL_CONTENTS,
+    "stream_builds": _ALL_CONTENTS,
     "dq_duplicates_before_dedupe": f"""SELECT category_id, CAST(TRY_CAST(date_snapshot AS TIMESTAMPTZ) AS TIMESTAMP) AS {AT},
         count(*) AS cnt FROM in_categories GROUP BY ALL HAVING cnt > 1""",
     "dq_raw_reference_orphans": "SELECT exchange_id FROM in_exchange_assets EXCEPT SELECT id FROM in_exchange_map",

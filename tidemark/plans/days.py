@@ -11,20 +11,14 @@ from tidemark.sources.store import Store
 
 AT, DAY = "snapshot_timestamp", "snapshot_day"
 
-#: Tables that grow by snapshots; each has the time of its snapshot in AT.
-BY_DAY = (
-    "dim_crypto_map",
-    "dim_exchange_map",
-    "fact_crypto_market",
-    "fact_crypto_category",
-    "fact_exchange_assets",
-    "fact_market_sentiment",
-    "fact_global_market",
-)
+#: Tables with many rows a snapshot, whose time is in AT. They have a folder a day.
+BY_DAY = ("dim_crypto_map", "dim_exchange_map", "fact_crypto_market", "fact_crypto_category", "fact_exchange_assets")
+#: Tables of one row a snapshot: folders by day would hold a row each. Their files are bounded by statistics.
+BY_ROW = ("fact_market_sentiment", "fact_global_market")
 
 
 def layout(table: str, df: DataFrame) -> dict[str, Column]:
-    """Partition columns of a table's folders; none for tables that don't grow by day."""
+    """Partition columns of a table's folders; none for tables without folders by day."""
     return {DAY: F.to_date(AT)} if table in BY_DAY and AT in df.columns else {}
 
 
@@ -49,8 +43,8 @@ class Period(Mapping[str, DataFrame]):
 
     Times (UTC) bound the partitions of a scan when it is planned. `days`, a frame with a column
     `snapshot_day`, is joined instead: where Catalyst broadcasts it, the same broadcast prunes the
-    partitions when the query runs. Rows of a version that has no day folders are filtered as
-    rows. Tables that don't grow by day are whole. Rows without a time are in no period.
+    partitions when the query runs. Rows without day folders are filtered as rows. Dimensions without
+    snapshots are whole. Rows without a time are in no period.
     """
 
     def __init__(
@@ -70,7 +64,7 @@ class Period(Mapping[str, DataFrame]):
         return df
 
     def __getitem__(self, table: str) -> DataFrame:
-        df = self.store.read_all(table, prune=self._cut if table in BY_DAY else None)
+        df = self.store.read_all(table, prune=self._cut if table in BY_DAY + BY_ROW else None)
         if df is None:
             raise KeyError(table)
         return df

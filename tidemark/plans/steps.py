@@ -6,7 +6,9 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators.increment import is_newer
 from tidemark.plans import builds, days, schemas
@@ -103,15 +105,16 @@ def run_step(
     prepare: Callable[[], DataFrame | None],
     phase: str = "transform",
     read_upto: datetime | None = None,
+    by_day: bool = False,
 ) -> str:
     """Prepare, publish and record one table. No frame gives 'skipped'; a failed write
-    leaves no ledger entry and raises."""
+    leaves no ledger entry and raises. With `by_day`, rows go to folders by day."""
     started = datetime.now(timezone.utc)
     df = prepare()
     if df is None:
         store.record(table, phase, "skipped", started_at=started)
         return "skipped"
-    store.publish(df, table, phase=phase, read_upto=read_upto, derived=days.layout(table, df))
+    store.publish(df, table, phase=phase, read_upto=read_upto, derived=days.layout(table, df) if by_day else None)
     return "success"
 
 
@@ -125,7 +128,7 @@ def snapshots_to_read(
     Of every folder: the newest one, fresh or not.
     """
     rows = [
-        (name, source.folder, STEPS[name].table, _phase(STEPS[name]), STEPS[name].daily, source is STEPS[name].sources[0])
+        (name, source.folder, STEPS[name].table, phase_of(STEPS[name]), STEPS[name].daily, source is STEPS[name].sources[0])
         for name in names
         for source in STEPS[name].sources
     ]
@@ -151,48 +154,111 @@ def snapshots_to_read(
     return out
 
 
-def _phase(step: Build) -> str:
+def phase_of(step: Build) -> str:
     return "init" if step.once else "transform"
 
 
-def read_source(spark: SparkSession, bronze_root: str, source: Source, chosen: Sequence[Row]) -> DataFrame | None:
-    """The chosen snapshots of a folder as one scan, with every member of their batches."""
-    if not chosen:
-        return None
-    if source.batched:
-        suffixes = dict.fromkeys(row["suffix"] for row in chosen)
-        return snapshots.read_batch(spark, source.schema, f"{bronze_root}/{source.folder}", *suffixes)
-    return snapshots.read_strict(spark, source.schema, *[row["path"] for row in chosen])
+def folder_schema(spark: SparkSession, folder: str) -> StructType:
+    """All columns that any step reads from a folder."""
+    found = [s.schema for step in STEPS.values() for s in step.sources if s.folder == folder]
+    fields = {f.name: f for schema in found for f in spark.createDataFrame([], schema).schema.fields}
+    return StructType(list(fields.values()))
+
+
+class SharedScans:
+    """Frames of bronze snapshots; snapshots that several steps read are scanned once for all of them.
+
+    Such rows are held from their first use until the last announced one is over; rows that one step
+    reads are not held.
+    """
+
+    def __init__(self, spark: SparkSession, bronze_root: str):
+        self.spark, self.root = spark, bronze_root
+        self.uses: dict[tuple[str, tuple[str, ...]], int] = {}
+        self.left: dict[tuple[str, tuple[str, ...]], int] = {}
+        self.held: dict[tuple[str, tuple[str, ...]], DataFrame] = {}
+
+    @staticmethod
+    def _key(source: Source, chosen: Sequence[Row]) -> tuple[str, tuple[str, ...]]:
+        return source.folder, tuple(dict.fromkeys(row["suffix" if source.batched else "path"] for row in chosen))
+
+    def announce(self, source: Source, chosen: Sequence[Row]) -> None:
+        """Tell beforehand what will be read, so that shared snapshots are known."""
+        key = self._key(source, chosen)
+        self.uses[key] = self.uses.get(key, 0) + 1
+
+    def read(self, source: Source, chosen: Sequence[Row]) -> DataFrame | None:
+        """The chosen snapshots of a folder as one scan, with every member of their batches."""
+        if not chosen:
+            return None
+        key = self._key(source, chosen)
+        if self.uses.get(key, 0) < 2:
+            return self._scan(source, key, source.schema)
+        if key not in self.held:
+            whole = self._scan(source, key, folder_schema(self.spark, source.folder))
+            self.held[key] = whole.persist(StorageLevel.MEMORY_AND_DISK)
+        return self.held[key].select(*self.spark.createDataFrame([], source.schema).columns)
+
+    def _scan(self, source: Source, key: tuple[str, tuple[str, ...]], schema: str | StructType) -> DataFrame:
+        if source.batched:
+            return snapshots.read_batch(self.spark, schema, f"{self.root}/{source.folder}", *key[1])
+        return snapshots.read_strict(self.spark, schema, *key[1])
+
+    def over(self, source: Source, chosen: Sequence[Row]) -> None:
+        """An announced use is over."""
+        key = self._key(source, chosen)
+        self.left[key] = self.left.get(key, self.uses.get(key, 0)) - 1
+        if self.left[key] == 0 and key in self.held:
+            self.held.pop(key).unpersist()
+
+    def release(self) -> None:
+        while self.held:
+            self.held.popitem()[1].unpersist()
 
 
 def run_builds(
-    spark: SparkSession, bronze_root: str, silver: Store, frequency: str = "all", force: bool = False
+    spark: SparkSession,
+    bronze_root: str,
+    silver: Store,
+    frequency: str = "all",
+    force: bool = False,
+    by_day: bool = False,
 ) -> dict[str, str]:
     """Run the steps of one frequency: step -> 'success', 'no snapshot' or 'up to date'.
 
     A step reads every snapshot of its first folder since the last run and the newest one of its
-    other folders. With `force` it reads the newest only; a history run happens once.
+    other folders. With `force` it reads the newest only; a history run happens once. Snapshots
+    that several steps read are scanned once. A version holds what one run read, and loads read it whole;
+    with `by_day` it has folders by day for readers of their own.
     """
     outcome, names = {}, builds_for(frequency)
     found, history = snapshots_to_read(spark, bronze_root, silver, names, force), silver.history()
+    scans, wanted = SharedScans(spark, bronze_root), {}
     for name in names:
         step = STEPS[name]
         first = found.get((name, step.sources[0].folder), [])
         fresh = [row for row in first if row["fresh"]]
         if not first:
             outcome[name] = "no snapshot"
-        elif not fresh or step.once and last_entry(history.get(step.table, []), (_phase(step),)) is not None:
+        elif not fresh or step.once and last_entry(history.get(step.table, []), (phase_of(step),)) is not None:
             outcome[name] = "up to date"
         else:
             others = [found.get((name, s.folder), [])[-1:] for s in step.sources[1:]]
-            frames = [
-                read_source(spark, bronze_root, s, rows)
-                for s, rows in zip(step.sources, [fresh[-1:] if step.once else fresh, *others], strict=True)
-            ]
-            times = [row["at"] for row in fresh if row["at"] is not None]
+            wanted[name] = [fresh[-1:] if step.once else fresh, *others]
+            for source, rows in zip(step.sources, wanted[name], strict=True):
+                scans.announce(source, rows)
+    try:
+        for name, chosen in wanted.items():
+            step = STEPS[name]
+            frames = [scans.read(source, rows) for source, rows in zip(step.sources, chosen, strict=True)]
+            times = [row["at"] for row in chosen[0] if row["at"] is not None]
             upto = datetime.fromtimestamp(max(times), timezone.utc) if times else None
-            outcome[name] = run_step(silver, step.table, lambda: step.make(*frames), _phase(step), upto)  # noqa: B023
-    return outcome
+            outcome[name] = run_step(silver, step.table, lambda: step.make(*frames), phase_of(step), upto, by_day)  # noqa: B023
+            for source, rows in zip(step.sources, chosen, strict=True):
+                scans.over(source, rows)
+    finally:
+        scans.release()
+    return {name: outcome[name] for name in names}
 
 
 # payloads to bronze ---------------------------------------------------------------
