@@ -381,6 +381,14 @@ _SOURCES = {
     "source_payload_replay": _PARSING["parse_crypto_map"],
     "stream_ingest": "SELECT l_orderkey, l_partkey, l_linenumber, l_extendedprice FROM lineitem",
     "stream_publish_new_keys": "SELECT DISTINCT l_partkey, CAST(1 AS BIGINT) AS times FROM lineitem",
+    "stream_publish_state": "SELECT DISTINCT l_partkey, CAST(1 AS BIGINT) AS times FROM lineitem",
+    # an event comes through if one of its arrivals is newer than all that came two files before, less ten days
+    "stream_dedupe_watermark": """WITH sent AS (SELECT event_id, ts, event_type,
+            date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 5 + unnest(CASE event_type WHEN 'click' THEN [0, 1]
+                WHEN 'error' THEN [1] WHEN 'purchase' THEN [4] ELSE [0] END) AS arrival FROM events),
+        newest AS (SELECT arrival, date_trunc('milliseconds', max(max(ts)) OVER (ORDER BY arrival RANGE BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING))
+            - INTERVAL 10 DAY AS watermark FROM sent GROUP BY arrival)
+        SELECT DISTINCT event_id, ts, event_type FROM sent JOIN newest USING (arrival) WHERE watermark IS NULL OR ts > watermark""",
     "stream_publish_fact": "SELECT l_orderkey, l_partkey, l_linenumber, l_extendedprice FROM lineitem WHERE l_partkey IN (SELECT crypto_id FROM dim_crypto_id)",
     "stream_dedupe_snapshots": "SELECT DISTINCT l_partkey, l_linenumber FROM lineitem",
 }

@@ -1086,6 +1086,26 @@ def stream_publish_new_keys(spark, sf_dir):
     return ingest.read_published(spark, target).groupBy("l_partkey").agg(F.count(F.lit(1)).alias("times"))
 
 
+@query
+def stream_publish_state(spark, sf_dir):
+    """Each key once, by a state of keys in place of reads of what was published."""
+    target = work_dir(spark, "stream")
+    lines = _line_stream(spark, sf_dir).select("l_partkey", "l_extendedprice")
+    ingest.drain_first_rows(lines, ["l_partkey"], target, f"{target}-checkpoint")
+    return spark.read.parquet(target).groupBy("l_partkey").agg(F.count(F.lit(1)).alias("times"))
+
+
+@query
+def stream_dedupe_watermark(spark, sf_dir):
+    """Events in order of arrival, with copies and late ones: state and lateness are bounded by ten days."""
+    target = work_dir(spark, "stream")
+    arrivals = ingest.snapshot_stream(
+        spark, "event_id bigint, ts timestamp, event_type string", staging.event_arrivals(spark, sf_dir), 1
+    )
+    ingest.drain(ingest.dedupe_within(arrivals, ["event_id"], "ts", "10 days"), target, f"{target}-checkpoint")
+    return spark.read.parquet(target)
+
+
 @query
 def stream_publish_fact(spark, sf_dir):
     target = work_dir(spark, "stream")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.operators.clean import keep_first, require_keys
@@ -104,11 +106,59 @@ def publish_fact(
     return publish
 
 
+# Fixed settings: keys in RocksDB, of which each batch uploads what it changed.
+KEY_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def key_state(spark: SparkSession) -> Iterator[None]:
+    """Queries that start inside keep their state in RocksDB, so that it may outgrow memory."""
+    before = {name: spark.conf.get(name, None) for name in KEY_STATE}
+    for name, value in KEY_STATE.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def drain_first_rows(stream: DataFrame, keys: Sequence[str], target: str, checkpoint: str) -> StreamingQuery:
+    """Publish the first row of each key, each once, without reading what was published before.
+
+    The keys seen so far are the stream's state, dealt out by their hash over as many stores as there are
+    shuffle partitions at the first start. A batch looks up its own keys only, so its work does
+    not grow with the history, and copies are found however late they come. Rows without a key are left out. Of
+    copies in one micro-batch any one stays; where the choice matters, use `publish_new_keys`. State and file
+    log commit together: a replayed batch gives the same rows once. Returns the finished query.
+    """
+    first = require_keys(stream, keys).dropDuplicates(list(keys))
+    with key_state(stream.sparkSession):
+        query = (
+            first.writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(target)
+        )
+    query.awaitTermination()
+    return query
+
+
 def read_published(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target).drop("batch_id")
 
 
 def dedupe_within(stream: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
-    """Streaming dedupe with bounded state, for copies that arrive within `delay` of each
-    other. Rows later than that are dropped; where none may be lost, use publish_new_keys."""
+    """Streaming dedupe with bounded state, for copies that arrive within `delay` of each other.
+
+    A key is forgotten once the watermark, the newest time of earlier batches less `delay`, has passed
+    its time by `delay`. Rows that are not newer than the watermark of the batch before are dropped, also
+    those that never came before: where none may be lost, use `drain_first_rows` or `publish_new_keys`.
+    """
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
