@@ -203,6 +203,11 @@ _PARSING = {
     "parse_payload_counts": """SELECT count(*) AS payloads, count(*) FILTER (cut) AS damaged, count(*) FILTER (NOT cut) AS valid,
         3 * count(*) FILTER (NOT cut) AS invalid
         FROM (SELECT contains('"id":' || s_suppkey || ',', '5,') AS cut FROM supplier)""",
+    "parse_rejects": """WITH bodies AS (SELECT s_name, '{"status":{"error_code":0},"data":[{"id":' || s_suppkey || ',"name":"' || s_name
+            || '","slug":"' || lower(s_name) || '","is_active":' || (s_acctbal > 0)::INT || '},"junk",7,null]}' AS body FROM supplier)
+        SELECT 'record' AS reason, s_name AS piece, CAST(NULL AS VARCHAR) AS fetched_at FROM bodies WHERE NOT contains(body, '5,')
+        UNION ALL SELECT 'damaged', left(body, length(body) - 9), '2024-03-01T00:00:00+00:00' FROM bodies WHERE contains(body, '5,')
+        UNION ALL SELECT 'not an object', unnest(['junk', '7', NULL]), '2024-03-01T00:00:00+00:00' FROM bodies WHERE NOT contains(body, '5,')""",
     "parse_numeric_coercion": "SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS value FROM events",
     "parse_completeness": """SELECT id, CAST(14 - missing AS INTEGER) AS non_null_fields, CAST(missing AS INTEGER) AS null_fields
         FROM (SELECT id, (tags IS NULL)::INT + (logo IS NULL)::INT + (website IS NULL)::INT + (technical_doc IS NULL)::INT

@@ -443,6 +443,22 @@ def parse_payload_counts(spark, sf_dir):
     return raw.agg(*payloads.count_columns())
 
 
+def damaged_exchange_map(spark, sf_dir) -> DataFrame:
+    """Payloads of which some end too early."""
+    cut = F.when(c("body").contains("5,"), F.expr("substring(body, 1, length(body) - 9)")).otherwise(c("body"))
+    return staging.exchange_map(spark, sf_dir).withColumns({"endpoint": F.lit("exchange_map"), "body": cut})
+
+
+@query
+def parse_rejects(spark, sf_dir):
+    """Bodies and elements that gave no record, with their reasons, and the records from the same write."""
+    root = work_dir(spark, "rejects")
+    path = steps.parse_to_bronze(damaged_exchange_map(spark, sf_dir), "exchange_map", root, datetime(2024, 3, 1))
+    rejects = steps.read_rejects(spark, root, "exchange_map").select("reason", "piece", "fetched_at")
+    names = snapshots.read_strict(spark, "name string", path).select(F.lit("record").alias("reason"), c("name").alias("piece"))
+    return rejects.unionByName(names, allowMissingColumns=True)
+
+
 @query
 def parse_numeric_coercion(spark, sf_dir):
     text = F.when(c("event_type") == "error", F.lit("n/a")).otherwise(c("value").cast("string"))

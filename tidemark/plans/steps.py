@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.operators.increment import is_newer
@@ -288,14 +288,21 @@ PARSERS: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {
 }
 
 
-# endpoint -> shape of `data`, where it is not an array
-SHAPES: dict[str, str] = {
-    "exchange_info": payloads.MAP,
-    "crypto_info": payloads.MAP,
-    "crypto_category": payloads.OBJECT,
-    "global_metrics": payloads.OBJECT,
-    "sentiment_latest": payloads.OBJECT,
-}
+#: Folder of the pieces of payloads that gave no record; its name hides it from listings and streams.
+REJECTS = "_rejects"
+
+
+def tagged(raw: DataFrame, endpoint: str, taken_at: datetime) -> DataFrame:
+    """Records and rejects of an endpoint's payloads from one scan, told apart by `kind`."""
+    bodies = raw.where(F.col("endpoint") == endpoint)
+    parsed = PARSERS[endpoint][0](payloads.keep_rejects(bodies))
+    rejected = F.col(payloads.REJECT)
+    return parsed.select(
+        *[n for n in parsed.columns if n not in (payloads.REJECT, "date_snapshot")],
+        F.lit(f"{taken_at:%Y-%m-%dT%H:%M:%S}+00:00").alias("date_snapshot"),
+        *[rejected[n].alias(f"_{n}") for n in ("request_id", "fetched_at", "reason", "piece")],
+        F.when(rejected.isNull(), "records").otherwise("rejects").alias("kind"),
+    )
 
 
 def parse_to_bronze(
@@ -303,15 +310,43 @@ def parse_to_bronze(
 ) -> str | None:
     """Parse the payloads of one endpoint into a bronze snapshot stamped `taken_at` (UTC).
 
-    With a `ledger`, how many payloads were damaged and how many records were no objects is counted
-    and recorded there.
+    One scan and one write give both the snapshot and, beside it, the pieces that are no records; each
+    is committed by a rename if it has rows. With a `ledger`, how many records there are, how many
+    payloads were damaged and how many elements were no objects is recorded there.
     """
-    parse, folder = PARSERS[endpoint]
-    bodies = raw.where(F.col("endpoint") == endpoint)
-    stamped = parse(bodies).withColumn("date_snapshot", F.lit(f"{taken_at:%Y-%m-%dT%H:%M:%S}+00:00"))
-    path = snapshots.write_snapshot(stamped, f"{bronze_root}/{folder}", endpoint, taken_at)
+    spark, folder = raw.sparkSession, f"{bronze_root}/{PARSERS[endpoint][1]}"
+    attempt, seen, reason = snapshots.attempt_path(folder), Observation(), F.col("_reason")
+    rows = tagged(raw, endpoint, taken_at).observe(
+        seen,
+        F.count_if(F.col("kind") == "records").alias("records"),
+        F.count_if(reason == payloads.DAMAGED).alias("damaged"),
+        F.count_if(reason == payloads.NO_OBJECT).alias("invalid"),
+    )
+    rows.write.partitionBy("kind").parquet(attempt)
+    counts = {name: seen.get.get(name) or 0 for name in ("records", "damaged", "invalid")}
+    if counts["damaged"] + counts["invalid"]:
+        rejects = snapshots.snapshot_path(f"{bronze_root}/{REJECTS}/{PARSERS[endpoint][1]}", endpoint, taken_at)
+        snapshots.move(spark, f"{attempt}/kind=rejects", rejects, replace=True)
+    path = None
+    if counts["records"]:
+        # the snapshot comes last: once it is there, the parse is done
+        path = snapshots.snapshot_path(folder, endpoint, taken_at)
+        snapshots.move(spark, f"{attempt}/kind=records", path)
+    snapshots.discard(spark, attempt)
     if ledger is not None:
-        counts = bodies.agg(*payloads.count_columns(SHAPES.get(endpoint, payloads.ARRAY))).first()
         dropped = {name: counts[name] for name in ("damaged", "invalid")}
-        ledger.record(folder, "parse", "success" if path else "skipped", rows=counts["valid"], path=path, dropped=dropped)
+        status = "success" if path else "skipped"
+        ledger.record(PARSERS[endpoint][1], "parse", status, rows=counts["records"], path=path, dropped=dropped)
     return path
+
+
+def read_rejects(spark: SparkSession, bronze_root: str, endpoint: str) -> DataFrame | None:
+    """(request_id, fetched_at, reason, piece) of all rejects of an endpoint, with their snapshot time."""
+    folder = f"{bronze_root}/{REJECTS}/{PARSERS[endpoint][1]}"
+    if not snapshots.exists(spark, folder):
+        return None
+    names = ("request_id", "fetched_at", "reason", "piece")
+    schema = ", ".join(f"_{n} string" for n in names)
+    rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(folder)
+    at = snapshots.snapshot_time(F.col("_metadata.file_path")).alias("snapshot_ts")
+    return rows.select(*[F.col(f"_{n}").alias(n) for n in names], at)

@@ -33,26 +33,71 @@ def is_object(raw: Column) -> Column:
     return F.ltrim(raw).startswith("{")
 
 
+#: Column that a parser adds where rejects are kept: (request_id, fetched_at, reason, piece), NULL for records.
+REJECT = "_reject"
+#: Why something gave no record.
+DAMAGED, NO_OBJECT = "damaged", "not an object"
+
+
+def keep_rejects(payloads: DataFrame) -> DataFrame:
+    """Payloads from which any parser gives, beside its records, a row for each piece that is none.
+
+    A body without readable `data` is a damaged piece; an element that is no object is a piece of its own.
+    """
+    return payloads.withColumn("_payload", F.struct("request_id", "fetched_at", "body"))
+
+
+def _pieces(payloads: DataFrame, keep: Sequence[str], data: Column, raw: Column) -> DataFrame:
+    """`raw` per payload; where rejects are kept, also for payloads whose `data` is NULL."""
+    if "_payload" not in payloads.columns:
+        return payloads.select(*keep, raw)
+    return payloads.select(*keep, "_payload", data.isNull().alias("_damaged"), raw)
+
+
 def elements(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Array payloads: one raw element per row in `_raw`; `data` that is no array gives none."""
-    return payloads.select(*keep, F.explode(F.from_json("body", "data array<string>")["data"]).alias("_raw"))
+    data = F.from_json("body", "data array<string>")["data"]
+    return _pieces(payloads, keep, data, _each(payloads, data).alias("_raw"))
+
+
+def _each(payloads: DataFrame, items: Column) -> Column:
+    """The items one by one; where rejects are kept, a NULL for items that are NULL as a whole."""
+    none = F.array(F.lit(None).cast("string"))
+    return F.explode(F.coalesce(items, none) if "_payload" in payloads.columns else items)
 
 
 def entries(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Map payloads: one (`_key`, `_raw`) per row."""
     mapped = F.from_json("body", "data map<string,string>")["data"]
-    return payloads.select(*keep, F.explode(mapped).alias("_key", "_raw"))
+    none = F.create_map(F.lit(""), F.lit(None).cast("string"))
+    each = F.coalesce(mapped, none) if "_payload" in payloads.columns else mapped
+    return _pieces(payloads, keep, mapped, F.explode(each).alias("_key", "_raw"))
 
 
 def single(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Payloads whose `data` is one object."""
-    return payloads.select(*keep, F.from_json("body", "data string")["data"].alias("_raw")).where(
-        is_object(F.col("_raw"))
-    )
+    """Payloads whose `data` is one object; others too where rejects are kept."""
+    data = F.from_json("body", "data string")["data"]
+    found = _pieces(payloads, keep, data, data.alias("_raw"))
+    return found if "_payload" in payloads.columns else found.where(is_object(F.col("_raw")))
 
 
 def _records(raw: DataFrame, schema: str, keep: Sequence[str] = ()) -> DataFrame:
-    return raw.where(is_object(F.col("_raw"))).select(*keep, F.from_json("_raw", schema).alias("r"))
+    if "_payload" not in raw.columns:
+        return raw.where(is_object(F.col("_raw"))).select(*keep, F.from_json("_raw", schema).alias("r"))
+    good = F.coalesce(is_object(F.col("_raw")), F.lit(False))
+    reason = F.when(F.col("_damaged"), DAMAGED).when(~good, NO_OBJECT)
+    piece = F.when(F.col("_damaged"), F.col("_payload.body")).otherwise(F.col("_raw"))
+    reject = F.struct("_payload.request_id", "_payload.fetched_at", reason.alias("reason"), piece.alias("piece"))
+    return raw.select(
+        *keep,
+        F.from_json(F.when(good, F.col("_raw")), schema).alias("r"),
+        F.when(reason.isNotNull(), reject).alias(REJECT),
+    )
+
+
+def _shown(records: DataFrame, *columns: Column | str) -> DataFrame:
+    """A parser's columns, with the rejects where they are kept."""
+    return records.select(*columns, *(c for c in (REJECT,) if c in records.columns))
 
 
 def malformed_count(raw: DataFrame) -> DataFrame:
@@ -94,7 +139,7 @@ def _fields(kinds: Mapping[str, str]) -> list[Column]:
 
 def exchange_map(payloads: DataFrame) -> DataFrame:
     kinds = {"id": "long", "name": "text", "slug": "text", "is_active": "long"}
-    return _records(elements(payloads), _text(kinds)).select(*_fields(kinds))
+    return _shown(_records(elements(payloads), _text(kinds)), *_fields(kinds))
 
 
 def exchange_info(payloads: DataFrame) -> DataFrame:
@@ -105,7 +150,8 @@ def exchange_info(payloads: DataFrame) -> DataFrame:
     }
     links = "struct<blog: array<string>, fee: array<string>, twitter: array<string>, website: array<string>>"
     schema = _text(kinds) + f", urls {links}, fiats array<string>"
-    return _records(entries(payloads), schema).select(
+    return _shown(
+        _records(entries(payloads), schema),
         *_fields(kinds),
         _r("urls").alias("urls"),
         F.concat_ws(", ", _r("fiats")).alias("fiats"),
@@ -118,7 +164,8 @@ def exchange_assets(payloads: DataFrame) -> DataFrame:
         _text(("wallet_address", "balance"))
         + f", platform {_struct(('crypto_id', 'symbol', 'name'))}, currency {_struct(('crypto_id', 'symbol', 'name', 'price_usd'))}"
     )
-    return _records(elements(payloads, ["request_id"]), schema, ["request_id"]).select(
+    return _shown(
+        _records(elements(payloads, ["request_id"]), schema, ["request_id"]),
         F.col("request_id").try_cast("bigint").alias("exchange_id"),
         _r("wallet_address").alias("wallet_address"),
         to_double(_r("balance")).alias("balance"),
@@ -138,7 +185,8 @@ def crypto_map(payloads: DataFrame) -> DataFrame:
         "first_historical_data": "text", "last_historical_data": "text",
     }
     schema = _text(kinds) + f", platform {_struct(('id', 'name', 'symbol', 'slug', 'token_address'))}"
-    return _records(elements(payloads), schema).select(
+    return _shown(
+        _records(elements(payloads), schema),
         *_fields(kinds),
         to_double(_r("platform.id")).alias("platform_id"),
         *[_r(f"platform.{n}").alias(f"platform_{n}") for n in ("name", "symbol", "slug", "token_address")],
@@ -153,7 +201,8 @@ def crypto_info(payloads: DataFrame) -> DataFrame:
     links = ("website", "technical_doc", "twitter", "reddit", "explorer", "source_code")
     urls = "struct<" + ", ".join(f"{n}: array<string>" for n in links) + ">"
     schema = _text(kinds) + f", urls {urls}, tags array<string>"
-    return _records(entries(payloads, []), schema, ["_key"]).select(
+    return _shown(
+        _records(entries(payloads, []), schema, ["_key"]),
         F.col("_key").try_cast("bigint").alias("id"),
         *_fields(kinds),
         *[first_of(_r(f"urls.{n}")).alias(n) for n in links],
@@ -181,7 +230,8 @@ def listings(payloads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         "market_cap_dominance_usd": "market_cap_dominance",
         "fully_diluted_market_cap_usd": "fully_diluted_market_cap",
     }
-    return _records(elements(payloads, keep), schema, keep).select(
+    return _shown(
+        _records(elements(payloads, keep), schema, keep),
         *keep,
         *_fields(kinds),
         joined(_r("tags"), ",").alias("tags"),
@@ -198,20 +248,20 @@ CATEGORY_NUMBERS = ("num_tokens", "avg_price_change", "market_cap", "market_cap_
 def categories(payloads: DataFrame) -> DataFrame:
     kinds = {"name": "text", "title": "text", "description": "text"}
     kinds |= dict.fromkeys(CATEGORY_NUMBERS, "double") | {"last_updated": "text"}
-    return _records(elements(payloads), "id string, " + _text(kinds)).select(
-        _r("id").alias("category_id"), *_fields(kinds)
-    )
+    records = _records(elements(payloads), "id string, " + _text(kinds))
+    return _shown(records, _r("id").alias("category_id"), *_fields(kinds))
 
 
 def category_links(payloads: DataFrame) -> DataFrame:
     """One (crypto_id, category_id) per coin of a category payload; missing ids are skipped."""
-    return (
-        _records(single(payloads), "id string, coins array<struct<id: string>>")
-        .where(_r("id").isNotNull() & (_r("id") != ""))
-        .select(F.explode("r.coins").alias("coin"), _r("id").alias("category_id"))
-        .select(F.col("coin.id").try_cast("bigint").alias("crypto_id"), "category_id")
-        .where("crypto_id IS NOT NULL")
-    )
+    records = _records(single(payloads), "id string, coins array<struct<id: string>>")
+    named, coins = _r("id").isNotNull() & (_r("id") != ""), F.col("r.coins")
+    if REJECT in records.columns:
+        rejected = F.col(REJECT).isNotNull()
+        named, coins = named | rejected, F.when(rejected, F.array(F.lit(None).cast("struct<id: string>"))).otherwise(coins)
+    pairs = _shown(records.where(named), F.explode(coins).alias("coin"), _r("id").alias("category_id"))
+    pairs = _shown(pairs, F.col("coin.id").try_cast("bigint").alias("crypto_id"), "category_id")
+    return pairs.where(F.col("crypto_id").isNotNull() | (F.col(REJECT).isNotNull() if REJECT in pairs.columns else F.lit(False)))
 
 
 GLOBAL_COUNTS = (
@@ -248,7 +298,8 @@ def global_metrics(payloads: DataFrame) -> DataFrame:
         + ", ".join(f"{side}Incremental{what}: string" for side in ("max", "min") for what in tracked)
         + ">"
     )
-    return _records(single(payloads, ["fetched_at"]), schema, ["fetched_at"]).select(
+    return _shown(
+        _records(single(payloads, ["fetched_at"]), schema, ["fetched_at"]),
         *_fields(kinds),
         *[
             _r(f"tracked_yearly_number.{side}Incremental{what}").try_cast(t).alias(f"tracked_{side}Incremental{what}")
@@ -265,9 +316,9 @@ def sentiment(payloads: DataFrame) -> DataFrame:
     """History (a list) and latest (one object) share their record form."""
     data = F.from_json("body", "data string")["data"]
     as_list = F.when(is_object(data), F.array(data)).otherwise(F.from_json(data, "array<string>"))
-    raw = payloads.select(F.explode(as_list).alias("_raw"))
+    raw = _pieces(payloads, [], as_list, _each(payloads, as_list).alias("_raw"))
     kinds = {"value": "long", "value_classification": "text", "timestamp": "text", "update_time": "text"}
-    return _records(raw, _text(kinds)).select(*_fields(kinds))
+    return _shown(_records(raw, _text(kinds)), *_fields(kinds))
 
 
 def numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 # Fixed format: the time suffix of a snapshot name (a `key=` folder prefix is not part of the name).
@@ -109,12 +110,45 @@ def snapshot_path(folder: str, name: str, taken_at: datetime) -> str:
 
 
 def write_snapshot(df: DataFrame, folder: str, name: str, taken_at: datetime) -> str | None:
-    """Write one snapshot; an empty frame writes nothing."""
-    if df.isEmpty():
-        return None
-    path = snapshot_path(folder, name, taken_at)
-    df.write.parquet(path)
-    return path
+    """Write one snapshot by one run of the frame; an empty one leaves nothing.
+
+    Rows go to an attempt folder, which no reader sees, and take the snapshot's name once they are
+    there and counted.
+    """
+    spark, path, attempt = df.sparkSession, snapshot_path(folder, name, taken_at), attempt_path(folder)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(attempt)
+    if seen.get.get("rows"):
+        return move(spark, attempt, path)
+    discard(spark, attempt)
+    return None
+
+
+def attempt_path(folder: str) -> str:
+    """A fresh folder below one whose name hides it from listings and streams."""
+    return f"{folder}/_attempts/{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def move(spark: SparkSession, source: str, target: str, replace: bool = False) -> str:
+    """Rename a written folder to its place; what is there stays, and raises, unless it is to be replaced."""
+    as_path = spark._jvm.org.apache.hadoop.fs.Path
+    files = as_path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(as_path(target)) and not (replace and files.delete(as_path(target), True)):
+        raise FileExistsError(target)
+    files.mkdirs(as_path(target).getParent())
+    if not files.rename(as_path(source), as_path(target)):
+        raise OSError(f"{source} could not be renamed to {target}")
+    return target
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def numbered_latest(listing: DataFrame, limit: int) -> DataFrame:

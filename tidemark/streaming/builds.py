@@ -16,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.plans.steps import STEPS, Build, Source, builds_for, folder_schema, phase_of
-from tidemark.sources.snapshots import snapshot_suffix, snapshot_time
+from tidemark.sources.snapshots import exists, snapshot_suffix, snapshot_time
 from tidemark.sources.store import Store, last_entry
 
 #: Tables that hold the newest snapshot of a folder are named after it.
@@ -128,7 +128,7 @@ def run_stream_builds(
     outcome: dict[str, str] = {}
     for feed in feeds(builds_for(frequency)):
         path = f"{bronze_root}/{feed.folder}"
-        if not _exists(spark, path):
+        if not exists(spark, path):
             outcome |= dict.fromkeys(feed.steps, "no folder")
             continue
         reader = spark.readStream.schema(folder_schema(spark, feed.folder)).option("recursiveFileLookup", "true")
@@ -149,8 +149,3 @@ def run_stream_builds(
         query.awaitTermination()
         outcome |= {name: built.get(name, "up to date") for name in feed.steps}
     return outcome
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
