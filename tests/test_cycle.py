@@ -158,6 +158,9 @@ def test_command_line(spark, cycle, tmp_path, capsys, monkeypatch):
     assert "up to date" in capsys.readouterr().out
     cli.main(["load", silver.root, warehouse.root, "--frequency", "weekly"])
     cli.main(["repair", warehouse.root])
+    cli.main(["check", warehouse.root, "--state", f"{tmp_path}/state"])
+    assert "'exchange_08_asset_orphans': 0" in capsys.readouterr().out
+    cli.main(["repair", warehouse.root, "--full"])
     cli.main(["check", warehouse.root])
     assert "crypto_01_missing_name_or_symbol" in capsys.readouterr().out
     cli.main(["export", warehouse.root, "vw_crypto_price_evolution", f"{tmp_path}/csv"])

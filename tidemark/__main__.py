@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 from datetime import datetime, timezone
 
-from tidemark.plans import checks, loads, steps, views
+from tidemark.plans import checks, loads, steps, upkeep, views
 from tidemark.plans.days import Period
 from tidemark.session import build_session
 from tidemark.sources.store import Store, export_csv, read_payloads
@@ -46,11 +46,13 @@ def main(argv: list[str] | None = None) -> None:
     command.add_argument("--frequency", default="all", choices=["all", *loads.FREQUENCIES])
     command.add_argument("--force", action="store_true")
 
-    command = commands.add_parser("repair", help="fill the newest gaps of the exchange tables")
+    command = commands.add_parser("repair", help="fill the newest gaps of the exchange tables, from new loads")
     command.add_argument("warehouse")
+    command.add_argument("--full", action="store_true", help="read the whole tables")
 
     command = commands.add_parser("check", help="violation counts of the data-quality checks")
     command.add_argument("warehouse")
+    command.add_argument("--state", help="folder of carried counts: key and reference checks of new loads only")
 
     command = commands.add_parser("export", help="a warehouse table or view as CSV")
     command.add_argument("warehouse")
@@ -74,9 +76,12 @@ def main(argv: list[str] | None = None) -> None:
             groups = tuple(loads.FREQUENCIES) if args.frequency == "all" else (args.frequency,)
             print(loads.run_loads(Store(spark, args.silver), Store(spark, args.warehouse), groups, args.force))
         case "repair":
-            print(loads.run_repairs(Store(spark, args.warehouse)))
+            print((loads if args.full else upkeep).run_repairs(Store(spark, args.warehouse)))
         case "check":
-            print(checks.summary(_warehouse(spark, args.warehouse)))
+            if args.state:
+                print(upkeep.run_checks(Store(spark, args.warehouse), Store(spark, args.state)))
+            else:
+                print(checks.summary(_warehouse(spark, args.warehouse)))
         case "export":
             tables = Period(Store(spark, args.warehouse), args.since, args.until)
             named = tables[args.name] if args.name in tables else views.view(args.name, tables, ordered=True)

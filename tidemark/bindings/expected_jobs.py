@@ -95,6 +95,18 @@ _REPAIRS = {
 
 
 
+def _repaired_by_load(table: str) -> str:
+    """The table after three loads, each followed by a repair of all that is there."""
+    number = f"CASE WHEN month({AT}) = 5 THEN 3 WHEN year({AT}) < 1998 THEN 1 WHEN year({AT}) < 2000 THEN 2 ELSE 3 END"
+    full = _REPAIRS["repair_exchange_map" if table == "dim_exchange_map" else "repair_spot_volume"]
+    ctes, before = [f"loads_{table} AS MATERIALIZED (SELECT *, {number} AS part FROM {table})"], ""
+    for k in (1, 2, 3):
+        ctes.append(f"loaded_{k} AS MATERIALIZED ({before}SELECT * EXCLUDE (part) FROM loads_{table} WHERE part = {k})")
+        ctes.append(f"fixed_{k} AS MATERIALIZED ({full.replace(table, f'loaded_{k}')})")
+        before = f"SELECT * FROM fixed_{k} UNION ALL BY NAME "
+    return f"(WITH {', '.join(ctes)} SELECT * FROM fixed_3)"
+
+
 def _loaded(table: str) -> str:
     tests = [f"{key} IN (SELECT {key} FROM {_OWNER[key]})" for key in _REFERENCES.get(table, [])]
     where = f" WHERE {' AND '.join(tests)}" if tests else ""
@@ -147,6 +159,13 @@ _STEPS = {
         )
     )
     + " UNION ALL SELECT 'dim_crypto_map', 'load', 'success', 0",
+    "repair_incremental": f"""SELECT 'dim_exchange_map' AS table_name, exchange_id, {AT}, CAST(weekly_visits AS DOUBLE) AS n0,
+            maker_fee AS n1, taker_fee AS n2 FROM {_repaired_by_load('dim_exchange_map')}
+        UNION ALL SELECT 'fact_exchange_assets', exchange_id, {AT}, spot_volume_usd, wallet_weight, balance
+        FROM {_repaired_by_load('fact_exchange_assets')}""",
+    "dq_incremental_duplicates": f"SELECT id AS crypto_id, {_moment()} AS {AT}, count(*) AS cnt FROM in_crypto_ranks GROUP BY ALL HAVING cnt > 1",
+    "dq_incremental_orphans": """SELECT exchange_id, count(*) AS cnt FROM fact_exchange_assets a
+        WHERE NOT EXISTS (FROM dim_exchange_id d WHERE d.exchange_id = a.exchange_id) GROUP BY exchange_id""",
     "step_repairs": _REPAIRS["repair_exchange_map"],
     "step_backlog": flat("crypto_category_link")
     + " WHERE category_id IN (SELECT category_id FROM dim_crypto_category) AND crypto_id IN (SELECT crypto_id FROM dim_crypto_id)",

@@ -13,7 +13,7 @@ from tidemark.bindings.inputs import bronze, derive, scan
 from tidemark.bindings.silver import BUILDS, Silver
 from tidemark.functions import columns as cols, kpi
 from tidemark.operators import clean, increment, joins, ordered, repair
-from tidemark.plans import builds, checks, days, loads, steps, views
+from tidemark.plans import builds, checks, days, loads, steps, upkeep, views
 from tidemark.session import pin, work_dir
 from tidemark.sources import payloads, snapshots, store
 from tidemark.streaming import builds as stream_builder, ingest
@@ -359,6 +359,57 @@ def step_repairs(spark, sf_dir):
     return warehouse.read_all("dim_exchange_map")
 
 
+def in_three_loads(df: DataFrame, ts: str) -> list[DataFrame]:
+    """Two loads in order of time, and a third with the newest rows and those of all Mays, which come late."""
+    late, at = F.month(ts) == 5, F.year(ts)
+    number = F.when(late, 3).when(at < 1998, 1).when(at < 2000, 2).otherwise(3)
+    return [df.where(F.coalesce(number, F.lit(3)) == k) for k in (1, 2, 3)]
+
+
+@query
+def repair_incremental(spark, sf_dir):
+    """Three loads of both exchange tables, each repaired from the load and the state carried from the last."""
+    warehouse, t = store.Store(spark, work_dir(spark, "upkeep")), Silver(spark, sf_dir)
+    parts = {name: in_three_loads(t[name], "snapshot_timestamp") for name in repair.REPAIRS}
+    for k in range(3):
+        for name, loaded in parts.items():
+            warehouse.publish(loaded[k], name, phase="load", derived=days.layout(name, loaded[k]))
+        upkeep.run_repairs(warehouse)
+    shown = {"dim_exchange_map": ("weekly_visits", "maker_fee", "taker_fee"), "fact_exchange_assets": ("spot_volume_usd", "wallet_weight", "balance")}
+    frames = []
+    for name, numbers in shown.items():
+        values = [c(n).cast("double").alias(f"n{i}") for i, n in enumerate(numbers)]
+        frames.append(warehouse.read_all(name).select(F.lit(name).alias("table_name"), "exchange_id", "snapshot_timestamp", *values))
+    return clean.union_all(frames)
+
+
+@query
+def dq_incremental_duplicates(spark, sf_dir):
+    """Keys that repeat inside and across three loads of rows as they come, from counts by load."""
+    warehouse, state = (store.Store(spark, work_dir(spark, n)) for n in ("raw-loads", "check-state"))
+    raw = bronze(spark, sf_dir, "in_crypto_ranks")
+    keyed = raw.select(c("id").alias("crypto_id"), cols.to_time("date_snapshot").alias("snapshot_timestamp"), "rank")
+    # by rank, so that keys repeat across loads
+    for k in range(3):
+        warehouse.publish(keyed.where(F.coalesce(F.pmod("rank", F.lit(3)), F.lit(0)) == k), "dim_crypto_map", phase="load")
+        found = upkeep.check_unique(warehouse, state, "crypto_06_duplicate_map_key")
+    return found
+
+
+@query
+def dq_incremental_orphans(spark, sf_dir):
+    """Wallets of unlisted exchanges over three loads; some exchanges are listed after their wallets."""
+    warehouse, state = (store.Store(spark, work_dir(spark, n)) for n in ("raw-loads", "check-state"))
+    t = Silver(spark, sf_dir)
+    listed = c("exchange_id") % 2 == 0
+    venues = (t["dim_exchange_id"].where(listed), t["dim_exchange_id"].where("false"), t["dim_exchange_id"].where(~listed))
+    for wallets, names in zip(in_three_loads(t["fact_exchange_assets"], "snapshot_timestamp"), venues, strict=True):
+        warehouse.publish(names, "dim_exchange_id", phase="load")
+        warehouse.publish(wallets.select("exchange_id", "wallet_address"), "fact_exchange_assets", phase="load")
+        found = upkeep.check_references(warehouse, state, "exchange_08_asset_orphans")
+    return found
+
+
 @query
 def repair_exchange_map(spark, sf_dir):
     return repair.repair_exchange_map(Silver(spark, sf_dir)["dim_exchange_map"])

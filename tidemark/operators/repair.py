@@ -8,6 +8,7 @@ before any shuffle and never sorted in one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -70,3 +71,32 @@ def repair_spot_volume(fact_exchange_assets: DataFrame, flag: str | None = None)
         "wallet_weight": F.try_divide(F.col("total_usd_value"), F.col(f"new_{volume}")),
     }
     return update_from(fact_exchange_assets, found, [entity, ts], assignments, missing, flag)
+
+
+@dataclass(frozen=True)
+class Repair:
+    """What a repair carries from the last known time into a gap, and what follows from it."""
+
+    values: tuple[str, ...]
+    follow: tuple[tuple[str, str], ...] = ()  # (column, expression over the row and new_<value>)
+    entity: str = "exchange_id"
+    ts: str = "snapshot_timestamp"
+
+    def missing(self) -> Column:
+        return _all(self.values, True)
+
+    def known(self) -> Column:
+        return _all(self.values, False)
+
+    def apply(self, df: DataFrame, found: DataFrame, flag: str | None = None) -> DataFrame:
+        """Fill missing rows at the (entity, time) pairs of `found` with its values."""
+        assignments = {v: F.col(f"new_{v}") for v in self.values} | {n: F.expr(e) for n, e in self.follow}
+        return update_from(df, found, [self.entity, self.ts], assignments, self.missing(), flag)
+
+
+REPAIRS: dict[str, Repair] = {
+    "dim_exchange_map": Repair(("maker_fee", "taker_fee", "weekly_visits")),
+    "fact_exchange_assets": Repair(
+        ("spot_volume_usd",), (("wallet_weight", "try_divide(total_usd_value, new_spot_volume_usd)"),)
+    ),
+}
