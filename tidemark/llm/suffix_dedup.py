@@ -285,7 +285,8 @@ def _group_ranges(group: list[dict]) -> list[tuple[int, int, int]]:
 def repeated_ranges(table: DataFrame) -> DataFrame:
     """rid, first, last: all starts of strings of LENGTH bytes that also start anywhere else."""
     found = settle(_all_anchors(table), "anchors")
-    often = found.groupBy("h").count().where("count > 1").select("h")
+    # written out before they are joined, so that a hot anchor or core is one side of a plain join, which can be split
+    often = settle(found.groupBy("h").count().where("count > 1").select("h"), "often")
     spans = found.join(often, "h").select("rid", "place", "first", "last")
     parts = settle(_pieces_of(table, spans, PIECE), "pieces")
     hulls = settle(
@@ -295,12 +296,13 @@ def repeated_ranges(table: DataFrame) -> DataFrame:
         "hulls",
     )
     cores = hulls.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("copies").alias("least")).where("n > 1 AND least = 1")
-    work = settle(hulls.join(cores, "core").select("core", "copies", "n", "at.*"), "work")
+    work = settle(hulls.join(settle(cores, "cores"), "core").select("core", "copies", "n", "at.*"), "work")
     ordered = _sorted_groups(table, work.where(F.col("n") <= SORTED_PIECES))
     large = work.where(F.col("n") > SORTED_PIECES)
     single = settle(_pieces_of(table, large.select("rid", "place", "first", "last"), 1), "single-starts")
     weights = single.join(large.select("rid", "copies", F.col("place"), F.explode(F.expr("sequence(first, last)")).alias("first")), ["rid", "place", "first"])
-    repeats = weights.groupBy("core").agg(F.sum("copies").alias("total")).where("total > 1").select("core")
+    weights = settle(weights, "weights")
+    repeats = settle(weights.groupBy("core").agg(F.sum("copies").alias("total")).where("total > 1").select("core"), "repeats")
     fine = weights.where("copies = 1").join(repeats, "core").select("rid", "first", F.col("first").alias("last"))
     whole = parts.join(hulls.where("copies > 1").select("core", "hull"), ["core", "hull"]).select("rid", "first", "last")
     return whole.unionByName(ordered).unionByName(fine)
