@@ -17,7 +17,7 @@ def sample(spark, sf="sf0.01"):
 
 def by_hand(text, frequent, network):
     """Word by word, in plain Python."""
-    embed, bias, out, base = (p.astype(float).tolist() for p in network.parts)
+    embed, bias, outs, bases, out_in, base_in = (p.astype(float).tolist() for p in network.parts)
     classes = lm_scores.WordClasses(frequent)
     seq, total = [classes[w] for w in words_of(text)], 0.0
     for i, target in enumerate(seq):
@@ -26,9 +26,11 @@ def by_hand(text, frequent, network):
             c = seq[i + offset] if 0 <= i + offset < len(seq) else lm_scores.EDGE
             hidden = [h + e for h, e in zip(hidden, embed[k][c])]
         hidden = [math.tanh(h) for h in hidden]
-        logits = [base[c] + sum(h * out[j][c] for j, h in enumerate(hidden)) for c in range(len(base))]
-        top = max(logits)
-        total += logits[target] - top - math.log(sum(math.exp(x - top) for x in logits))
+        group, member = divmod(target, lm_scores.GROUP)
+        for out, base, goal in ((outs, bases, group), (out_in[group], base_in[group], member)):
+            logits = [base[c] + sum(h * out[j][c] for j, h in enumerate(hidden)) for c in range(len(base))]
+            top = max(logits)
+            total += logits[goal] - top - math.log(sum(math.exp(x - top) for x in logits))
     return total
 
 
@@ -47,6 +49,7 @@ def test_scores(spark):
     # Training helps: better than word shares alone, and words out of order score lower.
     fresh = lm_scores.Network.fresh(lm_scores._class_counts(model[0], counts))
     fresh.parts[2][:] = 0
+    fresh.parts[4][:] = 0
     mean = lambda m, d: sum(r.log_likelihood for r in lm_scores.score(d, m).collect())
     random.seed(1)
     mixed = spark.createDataFrame([(i, " ".join(random.sample(w := words_of(t), len(w))), 1, "", "") for i, t, *_ in rows], SCHEMA)
@@ -105,8 +108,42 @@ def test_every_word_is_a_training_target(spark, monkeypatch):
     monkeypatch.setattr(lm_scores, "_trained", noted)
     docs = spark.createDataFrame([(1, "a b c d e f g h i", 1, "", "")], SCHEMA)
     lm_scores.fit(docs)
-    positions = [i for part in parts for i in range(1000)[slice(part, None, lm_scores.MASKED)]]
-    assert sorted(positions) == list(range(1000))
+    texts = [bytes(range(i, i + n)) for i, n in ((0, 7), (9, 0), (20, 1), (30, 200))]
+    contexts, targets = lm_scores.contexts_of(texts)
+    assert targets.tolist() == [w for text in texts for w in text]
+    masked = [lm_scores.contexts_of(texts, part) for part in parts]
+    rows = sorted(tuple([*c, t]) for cs, ts in masked for c, t in zip(cs.tolist(), ts.tolist()))
+    assert rows == sorted(tuple([*c, t]) for c, t in zip(contexts.tolist(), targets.tolist()))
+    edge = lm_scores.EDGE
+    assert contexts[0].tolist() == [edge, edge, 1, 2] and contexts[6].tolist() == [4, 5, edge, edge]
+    assert contexts[7].tolist() == [edge] * 4  # a text of one word
+
+
+def test_probabilities_sum_to_one_and_gradients_are_true():
+    rng = np.random.default_rng(8)
+    network = lm_scores.Network.fresh(rng.integers(1, 50, lm_scores.CLASSES))
+    contexts = rng.integers(0, lm_scores.CLASSES + 1, (6, 4))
+    every = np.repeat(contexts, lm_scores.CLASSES, axis=0)
+    logs = network.log_probabilities(every, np.tile(np.arange(lm_scores.CLASSES), 6))
+    assert np.abs(np.exp(logs).reshape(6, -1).sum(axis=1) - 1).max() < 1e-5
+    # a step without rate adaptation shows its gradient: compare with differences of the loss
+    targets = rng.integers(0, lm_scores.CLASSES, 6)
+    network.parts = [p.astype(np.float64) for p in network.parts]
+    squares = [np.zeros_like(p) for p in network.parts]
+    before = [p.copy() for p in network.parts]
+    network.step(contexts, targets, squares)
+    gradients = [np.sqrt(q) * np.sign(b - p) for q, b, p in zip(squares, before, network.parts)]
+    loss = lambda: -network.log_probabilities(contexts, targets).mean()
+    for i, part in enumerate(before):
+        network.parts = [p.copy() for p in before]
+        places = [tuple(x) for x in np.argwhere(np.abs(gradients[i]) > 1e-3)[:5]] + [tuple(rng.integers(0, s) for s in part.shape)]
+        for place in places:
+            sides = []
+            for shift in (1e-5, -1e-5):
+                network.parts[i][place] = before[i][place] + shift
+                sides.append(loss())
+            network.parts[i][place] = before[i][place]
+            assert abs((sides[0] - sides[1]) / 2e-5 - gradients[i][place]) < 1e-6
 
 
 def test_gradient():

@@ -1,8 +1,9 @@
 """Document scores by masked pseudo-likelihood.
 
-A small network in numpy predicts the class of each word from the words on both of its sides, and the
-counts of the whole corpus give the share of the word in its class: P(class) x P(word | class). The sum
-of the logarithms over the words of a text is the score. Every word of the corpus counts with a share of
+A small network in numpy predicts the class of each word from the words on both of its sides, first the
+group of the class, then the class inside it, and the counts of the whole corpus give the share of the word in
+its class: P(group) x P(class | group) x P(word | class). The sum of the logarithms over the words of a
+text is the score. Every word of the corpus counts with a share of
 its own; the counts are a Spark table that grows with the corpus. Training runs where the texts are:
 each task descends on its texts, masking a part of their words a round, and Spark averages the weights
 of the tasks.
@@ -26,6 +27,8 @@ from tidemark.llm.texts import map_texts, settle, words_of
 #: Words with a class of their own; all others share classes by their last letters.
 FREQUENT, SHARED = 224, 32
 CLASSES = FREQUENT + SHARED
+#: Classes come in GROUPS groups of GROUP, so that a word needs as many outputs as both together.
+GROUPS = GROUP = 16
 EDGE = CLASSES  # stands beyond either end of a text
 #: Words on each side, size of the hidden layer.
 SIDE, HIDDEN = 2, 16
@@ -39,7 +42,15 @@ _REMEMBERED = 400_000
 LISTED = 1 << 20
 #: Unit of summed shares: whole numbers add up alike in any order.
 UNIT = 1 << 32
-_SHAPES = ((len(OFFSETS), CLASSES + 1, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,))
+#: Embeddings, hidden bias, outputs and bases of the groups, those of the classes inside each group.
+_SHAPES = (
+    (len(OFFSETS), CLASSES + 1, HIDDEN),
+    (HIDDEN,),
+    (HIDDEN, GROUPS),
+    (GROUPS,),
+    (GROUPS, HIDDEN, GROUP),
+    (GROUPS, GROUP),
+)
 
 
 class WordClasses(dict):
@@ -58,7 +69,7 @@ class WordClasses(dict):
 
 
 class Network:
-    """Embeddings per place, a tanh layer, a softmax over the classes."""
+    """Embeddings per place, a tanh layer, a softmax over groups of classes and one inside each group."""
 
     def __init__(self, flat: np.ndarray):
         self.parts, at = [], 0
@@ -70,58 +81,96 @@ class Network:
     @classmethod
     def fresh(cls, class_counts: np.ndarray) -> Network:
         rng = np.random.default_rng(0)
-        inside = [rng.normal(0, 0.2, math.prod(shape)) for shape in _SHAPES[:3]]
-        inside[1][:] = 0
-        shares = (class_counts + 1) / (class_counts.sum() + len(class_counts))
-        return cls(np.concatenate([*inside, np.log(shares)]))
+        flat = [rng.normal(0, 0.2, math.prod(shape)) for shape in _SHAPES]
+        flat[1][:] = 0
+        shares = ((class_counts + 1) / (class_counts.sum() + len(class_counts))).reshape(GROUPS, GROUP)
+        of_groups = shares.sum(axis=1)
+        flat[3], flat[5] = np.log(of_groups), np.log(shares / of_groups[:, None]).ravel()
+        return cls(np.concatenate(flat))
 
     def flat(self) -> np.ndarray:
         return np.concatenate([part.ravel() for part in self.parts])
 
-    def _forward(self, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden layer and logits of all classes, the highest of a row at 0."""
-        embed, bias, out, base = self.parts
+    def _hidden(self, contexts: np.ndarray) -> np.ndarray:
+        embed, bias = self.parts[:2]
         hidden = bias + embed[0][contexts[:, 0]]
         for k in range(1, len(OFFSETS)):
             hidden += embed[k][contexts[:, k]]
-        np.tanh(hidden, out=hidden)
-        logits = hidden @ out
-        logits += base
-        logits -= logits.max(axis=1, keepdims=True)
-        return hidden, logits
+        return np.tanh(hidden, out=hidden)
+
+    def _by_group(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Order that brings words of a group together, and where each group begins in it."""
+        order = np.argsort(targets // GROUP, kind="stable")
+        return order, np.searchsorted(targets[order] // GROUP, np.arange(GROUPS + 1))
 
     def log_probabilities(self, contexts: np.ndarray, targets: np.ndarray) -> np.ndarray:
+        outs, bases, out_in, base_in = self.parts[2:]
         result = np.empty(len(targets), dtype=np.float64)
         for at in range(0, len(targets), BATCH):
-            some = slice(at, at + BATCH)
-            logits = self._forward(contexts[some])[1]
-            reached = logits[np.arange(len(logits)), targets[some]]
-            result[some] = reached - np.log(np.exp(logits, out=logits).sum(axis=1))
+            goal, hidden = targets[at : at + BATCH], self._hidden(contexts[at : at + BATCH])
+            order, begin = self._by_group(goal)
+            hidden, goal = hidden[order], goal[order]
+            found = _log_softmax(hidden @ outs + bases, goal // GROUP)
+            for g in np.flatnonzero(np.diff(begin)):
+                some = slice(begin[g], begin[g + 1])
+                found[some] += _log_softmax(hidden[some] @ out_in[g] + base_in[g], goal[some] % GROUP)
+            result[at + order] = found
         return result
 
     def step(self, contexts: np.ndarray, targets: np.ndarray, squares: list[np.ndarray]) -> None:
         """One step of gradient descent with rates adapted per weight."""
-        hidden, logits = self._forward(contexts)
-        wrong = np.exp(logits, out=logits)
-        wrong /= wrong.sum(axis=1, keepdims=True) * len(targets)
-        wrong[np.arange(len(targets)), targets] -= 1 / len(targets)
-        back = (wrong @ self.parts[2].T) * (1 - hidden * hidden)
+        n, (outs, bases, out_in, base_in) = len(targets), self.parts[2:]
+        order, begin = self._by_group(targets)
+        contexts, targets = contexts[order], targets[order]
+        hidden = self._hidden(contexts)
+        wrong = _wrong(hidden @ outs + bases, targets // GROUP, n)
+        back = wrong @ outs.T
+        out_change, base_change = np.zeros_like(out_in), np.zeros_like(base_in)
+        for g in np.flatnonzero(np.diff(begin)):
+            some = slice(begin[g], begin[g + 1])
+            inside = _wrong(hidden[some] @ out_in[g] + base_in[g], targets[some] % GROUP, n)
+            back[some] += inside @ out_in[g].T
+            out_change[g], base_change[g] = hidden[some].T @ inside, inside.sum(axis=0)
+        back *= 1 - hidden * hidden
         embed = np.zeros_like(self.parts[0])
         for k in range(len(OFFSETS)):
-            for h in range(HIDDEN):
-                embed[k, :, h] = np.bincount(contexts[:, k], weights=back[:, h], minlength=CLASSES + 1)
-        for part, square, gradient in zip(
-            self.parts, squares, (embed, back.sum(axis=0), hidden.T @ wrong, wrong.sum(axis=0)), strict=True
-        ):
+            words = contexts[:, k]
+            by = np.argsort(words, kind="stable")
+            words = words[by]
+            first = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
+            embed[k, words[first]] = np.add.reduceat(back[by], first, axis=0)
+        gradients = (embed, back.sum(axis=0), hidden.T @ wrong, wrong.sum(axis=0), out_change, base_change)
+        for part, square, gradient in zip(self.parts, squares, gradients, strict=True):
             square += gradient * gradient
             part -= RATE * gradient / np.sqrt(square + 1e-8)
 
 
-def contexts_of(sequences: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Contexts (a row per word) and targets of texts behind each other; none reaches into another text."""
-    gap = np.full(SIDE, EDGE, dtype=np.int16)
-    joined = np.concatenate([gap, *(part for s in sequences for part in (np.frombuffer(s, dtype=np.uint8), gap))])
-    places = np.flatnonzero(joined != EDGE)
+def _log_softmax(logits: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    logits -= logits.max(axis=1, keepdims=True)
+    reached = logits[np.arange(len(logits)), targets]
+    return reached - np.log(np.exp(logits, out=logits).sum(axis=1))
+
+
+def _wrong(logits: np.ndarray, targets: np.ndarray, n: int) -> np.ndarray:
+    """Gradient of the mean loss over n words by the logits."""
+    logits -= logits.max(axis=1, keepdims=True)
+    wrong = np.exp(logits, out=logits)
+    wrong /= wrong.sum(axis=1, keepdims=True) * n
+    wrong[np.arange(len(targets)), targets] -= 1 / n
+    return wrong
+
+
+def contexts_of(sequences: list[bytes], part: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts (a row per word) and targets of texts behind each other; none reaches into another text.
+    With `part`, those of the words that a training round masks: one in MASKED of each text, from that word on."""
+    sizes = np.fromiter(map(len, sequences), np.int64, len(sequences))
+    begin = np.cumsum(sizes + SIDE) - sizes
+    joined = np.full(int(sizes.sum() + SIDE * (len(sizes) + 1)), EDGE, dtype=np.int16)
+    words = np.frombuffer(b"".join(sequences), dtype=np.uint8)
+    places = np.arange(len(words)) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+    joined[places] = words
+    if part is not None:
+        places = places[(places - np.repeat(begin, sizes)) % MASKED == part]
     return np.stack([joined[places + offset] for offset in OFFSETS], axis=1), joined[places]
 
 
@@ -211,28 +260,28 @@ def _trained(encoded: DataFrame, network: Network, part: int) -> Network:
     def rows(batches: Iterator) -> Iterator:
         own = Network(shared.value)
         squares = [np.zeros_like(p) for p in own.parts]
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held = np.zeros((0, len(OFFSETS)), np.int16), np.zeros(0, np.int16)
+        texts: list[bytes] = []
         waiting = seen = 0
 
         def learn(rest: bool) -> None:
-            nonlocal held, waiting
-            contexts, targets = (np.concatenate(x) for x in zip(*held, strict=True))
+            nonlocal held, waiting, seen
+            new = contexts_of(texts, part)
+            seen += len(new[1])
+            contexts, targets = (np.concatenate(x) for x in zip(held, new, strict=True))
             upto = len(targets) if rest else len(targets) // BATCH * BATCH
             for at in range(0, upto, BATCH):
                 own.step(contexts[at : min(at + BATCH, upto)], targets[at : min(at + BATCH, upto)], squares)
-            held, waiting = [(contexts[upto:], targets[upto:])], len(targets) - upto
+            held, waiting = (contexts[upto:], targets[upto:]), 0
+            texts.clear()
 
         for _, sequences in batches:
             for sequence in sequences:
-                contexts, targets = contexts_of([sequence])
-                masked = slice(part, None, MASKED)
-                held.append((contexts[masked], targets[masked]))
-                waiting += len(targets[masked])
-                seen += len(targets[masked])
-                if waiting >= 4 * BATCH:
+                texts.append(sequence)
+                waiting += len(sequence)
+                if waiting >= 16 * BATCH:
                     learn(False)
-        if waiting:
-            learn(True)
+        learn(True)
         if seen:
             yield [[seen], [own.flat().tolist()]]
 
