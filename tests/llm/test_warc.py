@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.parity import connect, differences
 from tidemark.llm import queries, warc
@@ -92,3 +93,22 @@ def test_chain_against_a_walk(spark):
             at = nexts[at]
     links = spark.createDataFrame(rows, "file string, off long, next long")
     assert {(r.file, r.off) for r in warc.reachable(links).collect()} == want
+
+
+def test_small_payloads_do_not_meet_in_one_task(spark):
+    """Nine pages in ten are empty: dealt by the join's key, no partition holds twice the median."""
+    rows = [(i, f"u{i}", None if i % 10 else "x" * 200, 1) for i in range(20_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, key int").select("page_id", "url", "html")
+    small = pages.where("html IS NULL").select(warc.join_key().alias("key"))
+    counts = [r["count"] for r in small.groupBy(F.pmod(F.hash("key"), F.lit(16))).count().collect()]
+    assert len(counts) == 16 and max(counts) < 2 * sorted(counts)[8]
+    typed = warc.record_types(pages)
+    assert typed.where("refers_to IS NOT NULL").count() == 1999 and typed.where("refers_to <> 0").count() == 0
+    plan = typed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan  # the counted digests are a written table
+
+
+def test_text_ids_come_back(spark, tmp_path):
+    pages = spark.createDataFrame([("a", "u", "y" * 150), ("b", "u", "y" * 150), (None, "u", "z"), ("c d", "u", None)], "page_id string, url string, html string")
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.page_records(pages, f"{tmp_path}/w").collect()}
+    assert got == {"a": ("response", None), "b": ("revisit", "a"), None: ("response", None), "c d": ("response", None)}

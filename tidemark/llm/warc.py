@@ -24,7 +24,9 @@ REVISIT_BYTES = 100
 def record_types(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
     """page_id, url, html, payload_sha256, refers_to; refers_to is NULL for responses.
 
-    Digests are counted with partial aggregation, and only digests that occur twice meet the pages again.
+    Digests are counted with partial aggregation, and those that occur twice are written out before the pages
+    meet them, so that a hot one is one side of a plain join, which adaptive execution can split. Small payloads
+    can't be revisits; they join by keys of their own, not by the digest that many of them share.
     Among equal payloads the smallest page_id is the response; rows that repeat that id are responses too.
     """
     rows = pages.select(
@@ -32,20 +34,27 @@ def record_types(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFr
         F.col("url"),
         text_or_empty("html").alias("html"),
         F.sha2(text_or_empty("html"), 256).alias("payload_sha256"),
+        join_key(revisit_bytes).alias("key"),
     )
     repeated = (
         rows.where(F.octet_length("html") >= revisit_bytes)
-        .groupBy("payload_sha256")
+        .groupBy("key")
         .agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
         .drop("n")
     )
     revisits = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
-    return rows.join(repeated, "payload_sha256", "left").select(
+    return rows.join(settle(repeated, "repeated-digests"), "key", "left").select(
         "page_id", "url", "html", "payload_sha256", F.when(revisits, F.col("first_id")).alias("refers_to")
     )
 
 
+def join_key(revisit_bytes: int = REVISIT_BYTES) -> Column:
+    """The digest of a payload that may repeat; of a smaller one a text that is no digest and differs by page."""
+    own = F.concat(F.lit("-"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit("-"), F.coalesce("url", F.lit("")))
+    return F.when(F.octet_length(text_or_empty("html")) >= revisit_bytes, F.sha2(text_or_empty("html"), 256)).otherwise(own)
+
+
 def _header(name: str, value: Column) -> Column:
     """One header line, left out where the value is NULL; control characters cannot break the line."""
     return F.coalesce(F.concat(F.lit(f"{name}: "), F.regexp_replace(value, r"[\x00-\x1F\x7F]", " "), F.lit("\r\n")), F.lit(""))
@@ -213,9 +222,10 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 def page_records(pages: DataFrame, path: str) -> DataFrame:
     """Write the pages as archives under `path`, read them back: page_id, payload_bytes, payload_digest,
-    record_type, refers_to. A NULL page_id stays NULL."""
+    record_type, refers_to. A NULL page_id stays NULL; ids come back in the type that they had."""
     write_warc(record_types(pages), path)
-    urn = lambda name: F.expr(f"try_cast(regexp_extract({name}, '^<urn:page:(.*)>$', 1) AS BIGINT)")
+    kind = pages.schema["page_id"].dataType.simpleString()
+    urn = lambda name: F.expr(f"try_cast(regexp_extract({name}, '^<urn:page:(.*)>$', 1) AS {kind})")
     return read_warc(pages.sparkSession, path).select(
         urn("record_id").alias("page_id"),
         "payload_bytes",
