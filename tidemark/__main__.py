@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import argparse
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
-from tidemark.plans import checks, loads, steps, upkeep, views
+from tidemark.plans import checks, loads, planning, steps, upkeep, views
 from tidemark.plans.days import Period
 from tidemark.session import build_session
 from tidemark.sources.store import Store, export_csv, read_payloads
@@ -27,6 +27,16 @@ def main(argv: list[str] | None = None) -> None:
     command.add_argument("endpoint", choices=sorted(steps.PARSERS))
     command.add_argument("bronze")
 
+    command = commands.add_parser("plan", help="what to request today, from the ids listed now and yesterday's answers")
+    command.add_argument("store")
+    command.add_argument("name")
+    command.add_argument("available", help="Parquet with the listed ids")
+    command.add_argument("--key", default="id")
+    command.add_argument("--answers", help="Parquet with key and has_data for what was asked last")
+    command.add_argument("--today", type=date.fromisoformat, default=datetime.now(timezone.utc).date())
+    command.add_argument("--rescan-days", type=int, default=planning.RESCAN_DAYS)
+    command.add_argument("--request-ids", type=int, default=planning.REQUEST_IDS)
+
     command = commands.add_parser("transform", help="newest bronze snapshots to silver tables")
     command.add_argument("bronze")
     command.add_argument("silver")
@@ -67,6 +77,11 @@ def main(argv: list[str] | None = None) -> None:
         case "parse":
             raw = read_payloads(spark, args.payloads)
             print(steps.parse_to_bronze(raw, args.endpoint, args.bronze, datetime.now(timezone.utc)))
+        case "plan":
+            answers = spark.read.parquet(args.answers) if args.answers else None
+            available = spark.read.parquet(args.available)
+            store = Store(spark, args.store)
+            print(planning.plan_day(store, args.name, available, args.key, args.today, answers, args.rescan_days, args.request_ids))
         case "transform":
             print(steps.run_builds(spark, args.bronze, Store(spark, args.silver), args.frequency, args.force))
         case "stream":

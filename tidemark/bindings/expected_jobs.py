@@ -297,6 +297,33 @@ _PLANNING = {
     "plan_frame_profile": "SELECT count(*) AS row_count, 'struct<o_orderkey:bigint,o_totalprice:double>' AS schema_text FROM orders",
 }
 
+_STATES = """o AS (SELECT o_custkey AS id, o_totalprice > 250000 AS has_data, year(o_orderdate) % 3 AS part FROM orders),
+    s1 AS (SELECT DISTINCT id, TRUE AS listed, FALSE AS active, TRUE AS asked, 'added' AS change, '2024-03-01' AS first_seen,
+                  CAST(NULL AS VARCHAR) AS removed_at FROM o WHERE part = 0),
+    j2 AS (SELECT id, s1.id IS NOT NULL AS was, a.id IS NOT NULL AS listed,
+                  s1.id IS NOT NULL AND id IN (SELECT id FROM o WHERE part = 0 AND has_data) AS active
+           FROM s1 FULL JOIN (SELECT DISTINCT id FROM o WHERE part = 1) a USING (id)),
+    s2 AS (SELECT id, listed, active, listed AND (active OR NOT was) AS asked,
+                  CASE WHEN listed AND NOT was THEN 'added' WHEN was AND NOT listed THEN 'removed' END AS change,
+                  CASE WHEN was THEN '2024-03-01' ELSE '2024-03-11' END AS first_seen,
+                  CASE WHEN NOT listed THEN '2024-03-11' END AS removed_at FROM j2),
+    s3 AS (SELECT id, a.id IS NOT NULL AS listed,
+                  CASE WHEN s2.asked THEN id IN (SELECT id FROM o WHERE part = 1 AND has_data) ELSE coalesce(s2.active, FALSE) END AS active,
+                  a.id IS NOT NULL AS asked,
+                  CASE WHEN a.id IS NOT NULL AND s2.listed IS NOT TRUE THEN 'added' WHEN a.id IS NULL AND s2.listed THEN 'removed' END AS change,
+                  coalesce(s2.first_seen, '2024-04-05') AS first_seen,
+                  CASE WHEN a.id IS NULL THEN coalesce(s2.removed_at, '2024-04-05') END AS removed_at
+           FROM s2 FULL JOIN (SELECT DISTINCT id FROM o WHERE part = 2) a USING (id))"""
+
+_PLANNING |= {
+    "plan_state_step": f"WITH {_STATES} SELECT * FROM s3",
+    "plan_state_requests": f"""WITH {_STATES}, asked AS (SELECT 1 AS day_number, id FROM s1 WHERE asked UNION ALL SELECT 2, id FROM s2 WHERE asked
+            UNION ALL SELECT 3, id FROM s3 WHERE asked),
+        placed AS (SELECT *, (row_number() OVER (PARTITION BY day_number ORDER BY id) - 1) // 200 + 1 AS chunk_id FROM asked)
+        SELECT CAST(day_number AS BIGINT) AS day_number, chunk_id, count(*) AS id_count, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS id_list
+        FROM placed GROUP BY ALL""",
+}
+
 _PARTS = "regexp_split_to_array(trim(fiats), ',\\s*')"
 
 _CLEANING = {
@@ -393,6 +420,7 @@ _SOURCES = {
     "source_csv_export": "SELECT *, c_mktsegment || '|a \"b\", c' AS tags FROM customer",
     "view_ordered_position": f"""SELECT category_id, {AT}, row_number() OVER (ORDER BY category_id, {AT} DESC) AS position
         FROM fact_crypto_category JOIN dim_crypto_category USING (category_id) WHERE dominance_per_token IS NOT NULL""",
+    "dq_raw_global_07_duplicate_time": f"SELECT o_orderdate + INTERVAL 12 HOUR AS {AT}, count(*) AS cnt FROM orders GROUP BY ALL HAVING cnt > 1",
     "dq_raw_malformed_dates": """SELECT id AS crypto_id, date_added, date_launched FROM in_crypto_info
         WHERE NOT regexp_full_match(date_added, '[0-9]{4}-[0-9]{2}-[0-9]{2}')
            OR NOT regexp_full_match(date_launched, '[0-9]{4}-[0-9]{2}-[0-9]{2}')""",

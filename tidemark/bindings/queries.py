@@ -13,7 +13,7 @@ from tidemark.bindings.inputs import bronze, derive, scan
 from tidemark.bindings.silver import BUILDS, Silver
 from tidemark.functions import columns as cols, kpi
 from tidemark.operators import clean, increment, joins, ordered, repair
-from tidemark.plans import builds, checks, days, loads, steps, upkeep, views
+from tidemark.plans import builds, checks, days, loads, planning, steps, upkeep, views
 from tidemark.session import pin, work_dir
 from tidemark.sources import payloads, snapshots, store
 from tidemark.streaming import builds as stream_builder, ingest
@@ -159,6 +159,13 @@ for _name in RAW_REPEATS:
     QUERIES[f"dq_raw_{_name}"] = lambda spark, sf_dir, run=_raw_repeats(_name): flat(run(pin(spark), sf_dir))
 
 
+@query
+def dq_raw_global_07_duplicate_time(spark, sf_dir):
+    """The time check on a global snapshot for every order, so that days with several orders repeat."""
+    noon = (c("o_orderdate").cast("timestamp") + F.expr("INTERVAL 12 HOURS")).alias("snapshot_timestamp")
+    return checks.violations("global_07_duplicate_time", {"fact_global_market": scan(spark, sf_dir, "orders").select(noon)})
+
+
 @query
 def dq_raw_malformed_dates(spark, sf_dir):
     """The date check on the text that the build casts."""
@@ -621,6 +628,36 @@ def plan_active_set_partial(spark, sf_dir):
     return increment.active_set(asked, asked, "id", False, previous)
 
 
+PLAN_DAYS = (date(2024, 3, 1), date(2024, 3, 11), date(2024, 4, 5))
+
+
+def plan_three_days(spark, sf_dir) -> store.Store:
+    """Customers of every third order year are listed on a day; those with a large order there have data."""
+    target = store.Store(spark, work_dir(spark, "plan"))
+    orders = scan(spark, sf_dir, "orders").select(
+        c("o_custkey").alias("id"), (c("o_totalprice") > 250000).alias("has_data"), F.pmod(F.year("o_orderdate"), F.lit(3)).alias("part")
+    )
+    parts, answers = [orders.where(c("part") == k) for k in range(3)], None
+    for day, part in zip(PLAN_DAYS, parts, strict=True):
+        planning.plan_day(target, "coins", part, "id", day, answers)
+        answers = part.select("id", "has_data")
+    return target
+
+
+@query
+def plan_state_step(spark, sf_dir):
+    """The state of ids after three days: a full scan, a partial one and the next full one."""
+    state = plan_three_days(spark, sf_dir).read("plan_coins")
+    return state.withColumns({n: c(n).cast("string") for n in ("first_seen", "removed_at")})
+
+
+@query
+def plan_state_requests(spark, sf_dir):
+    """Requests of all three days: which ids, in which chunk."""
+    target = plan_three_days(spark, sf_dir)
+    return target.read_all("requests_coins", with_version=True).withColumnRenamed("version", "day_number")
+
+
 @query
 def plan_reconcile(spark, sf_dir):
     return increment.reconcile(_customers(spark, sf_dir), _customers_of(spark, sf_dir, False), "id")

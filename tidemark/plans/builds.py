@@ -201,6 +201,7 @@ def fact_exchange_assets(
 
 # global market and sentiment ---------------------------------------------
 
+# Columns whose names differ between bronze and the fact.
 GLOBAL_RENAMES = {
     "btc_dominance_24h_percentage_change": "btc_dominance_24h_change",
     "eth_dominance_24h_percentage_change": "eth_dominance_24h_change",

@@ -9,24 +9,24 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Row, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from tidemark.operators.clean import union_all
 from tidemark.operators.ordered import materialize, previous_known
 from tidemark.operators.repair import REPAIRS, Repair
 from tidemark.plans import days
 from tidemark.plans.checks import CHECKS, ForeignKeyRule, UniqueRule
-from tidemark.sources.store import REPLACES, Store, committed_versions, last_entry, live_versions
+from tidemark.sources.store import REPLACES, Entry, Store, committed_versions, last_entry, live_versions
 
 
-def unseen_loads(entries: Sequence[Row], seen: int | None) -> list[int]:
+def unseen_loads(entries: Sequence[Entry], seen: int | None) -> list[int]:
     """Loads after the newest one that a state has seen; all live versions where there is no state yet."""
     if seen is None:
         return live_versions(entries)
     return [v for v in committed_versions(entries, ("load",)) if v > seen]
 
 
-def where_now(entries: Sequence[Row], versions: Sequence[int]) -> list[int]:
+def where_now(entries: Sequence[Entry], versions: Sequence[int]) -> list[int]:
     """Live versions that hold the rows of the given ones, which repairs or compactions may have replaced."""
     moved = {}
     for e in entries:

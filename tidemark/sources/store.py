@@ -11,8 +11,9 @@ import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, LongType, MapType, StringType, StructField, StructType
 
 from tidemark.operators.clean import union_all
@@ -35,6 +36,9 @@ LEDGER_COLUMNS = {
 }
 LEDGER = ", ".join(f"{name} {kind}" for name, kind in LEDGER_COLUMNS.items())
 
+#: A ledger row: column -> value.
+Entry = Mapping[str, Any]
+
 REPLACES = "replaces "
 
 #: Folder of one attempt to write a version.
@@ -49,26 +53,26 @@ def _entry(**values) -> list[Column]:
 BUILD_PHASES = ("transform", "init")
 
 
-def last_entry(entries: Sequence[Row], phases: Sequence[str] = (), status: str | None = "success") -> Row | None:
+def last_entry(entries: Sequence[Entry], phases: Sequence[str] = (), status: str | None = "success") -> Entry | None:
     """Last of a table's entries with one of the phases (none: any) and the given status."""
     found = [e for e in entries if (not phases or e["phase"] in phases) and status in (None, e["status"])]
     return found[-1] if found else None
 
 
-def committed_versions(entries: Sequence[Row], phases: Sequence[str] = ()) -> list[int]:
+def committed_versions(entries: Sequence[Entry], phases: Sequence[str] = ()) -> list[int]:
     """Numbers of the committed versions, those of the given phases only if any are given."""
     done = [e for e in entries if e["status"] == "success" and e["version"] is not None]
     return sorted({e["version"] for e in done if not phases or e["phase"] in phases})
 
 
-def live_versions(entries: Sequence[Row]) -> list[int]:
+def live_versions(entries: Sequence[Entry]) -> list[int]:
     """Committed versions that no later one has replaced."""
     notes = [e["detail"] for e in entries if e["status"] == "success" and (e["detail"] or "").startswith(REPLACES)]
     replaced = {int(v) for note in notes for v in note.removeprefix(REPLACES).split(",")}
     return [v for v in committed_versions(entries) if v not in replaced]
 
 
-def merged_schema(entries: Sequence[Row], versions: Sequence[int]) -> StructType:
+def merged_schema(entries: Sequence[Entry], versions: Sequence[int]) -> StructType:
     """Columns of the given versions in order of appearance; one name must keep its type."""
     latest = {e["version"]: e["schema_json"] for e in entries if e["status"] == "success" and e["schema_json"]}
     fields: dict[str, StructField] = {}
@@ -131,18 +135,24 @@ class Store:
         )
         self.spark.range(1).coalesce(1).select(*entry).write.mode("append").parquet(self.ledger_path)
 
-    def history(self, *tables: str) -> dict[str, list[Row]]:
-        """Ledger entries per table, oldest first; all tables when none is named. This is
-        run metadata, a few rows per run."""
+    def history(self, *tables: str) -> dict[str, list[Entry]]:
+        """Ledger entries per table, oldest first; all tables when none is named.
+
+        This is run metadata, a few short rows per run: Spark groups them by schema text, so that a
+        text comes to the driver once and not with every version that has it.
+        """
         entries = self.ledger()
         if tables:
             entries = entries.where(F.col("table_name").isin(*tables))
-        found: dict[str, list[Row]] = {table: [] for table in tables}
-        for entry in sorted(entries.collect(), key=lambda e: (e["ended_at"], e["version"] or 0)):
-            found.setdefault(entry["table_name"], []).append(entry)
-        return found
-
-    def last(self, table: str, *phases: str, status: str | None = "success") -> Row | None:
+        rest = [name for name in LEDGER_COLUMNS if name not in ("table_name", "schema_json")]
+        grouped = entries.groupBy("table_name", "schema_json").agg(F.collect_list(F.struct(*rest)).alias("entries"))
+        found: dict[str, list[Entry]] = {table: [] for table in tables}
+        for group in grouped.collect():
+            same = {"table_name": group["table_name"], "schema_json": group["schema_json"]}
+            found.setdefault(group["table_name"], []).extend(same | e.asDict() for e in group["entries"])
+        return {table: sorted(es, key=lambda e: (e["ended_at"], e["version"] or 0)) for table, es in found.items()}
+
+    def last(self, table: str, *phases: str, status: str | None = "success") -> Entry | None:
         return last_entry(self.history(table)[table], phases, status)
 
     def committed(self, table: str) -> list[int]:
@@ -231,7 +241,7 @@ class Store:
         self,
         table: str,
         versions: Sequence[int],
-        entries: Sequence[Row],
+        entries: Sequence[Entry],
         with_version: bool = False,
         prune: Callable[[DataFrame], DataFrame] | None = None,
     ) -> DataFrame:
