@@ -36,6 +36,8 @@ OFFSETS = (*range(-SIDE, 0), *range(1, SIDE + 1))
 #: One word in MASKED is predicted per training round, another one in each round: after all rounds, every word.
 MASKED = ROUNDS = 2
 BATCH, RATE = 2048, 0.1
+#: Words that are scored at a time.
+SCORED = 8 * BATCH
 _REMEMBERED = 400_000
 #: Tasks hold the shares of words that are at least one in LISTED of the corpus (fewer than LISTED words);
 #: all others are joined to the counts. Both give the same result.
@@ -92,10 +94,12 @@ class Network:
         return np.concatenate([part.ravel() for part in self.parts])
 
     def _hidden(self, contexts: np.ndarray) -> np.ndarray:
+        """The hidden layer, a column per word."""
         embed, bias = self.parts[:2]
         hidden = bias + embed[0][contexts[:, 0]]
         for k in range(1, len(OFFSETS)):
             hidden += embed[k][contexts[:, k]]
+        hidden = np.ascontiguousarray(hidden.T)
         return np.tanh(hidden, out=hidden)
 
     def _by_group(self, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,14 +110,13 @@ class Network:
     def log_probabilities(self, contexts: np.ndarray, targets: np.ndarray) -> np.ndarray:
         outs, bases, out_in, base_in = self.parts[2:]
         result = np.empty(len(targets), dtype=np.float64)
-        for at in range(0, len(targets), BATCH):
-            goal, hidden = targets[at : at + BATCH], self._hidden(contexts[at : at + BATCH])
-            order, begin = self._by_group(goal)
-            hidden, goal = hidden[order], goal[order]
-            found = _log_softmax(hidden @ outs + bases, goal // GROUP)
+        for at in range(0, len(targets), SCORED):
+            order, begin = self._by_group(targets[at : at + SCORED])
+            goal, hidden = targets[at + order], self._hidden(contexts[at + order])
+            found = _log_softmax(outs.T @ hidden + bases[:, None], goal // GROUP)
             for g in np.flatnonzero(np.diff(begin)):
                 some = slice(begin[g], begin[g + 1])
-                found[some] += _log_softmax(hidden[some] @ out_in[g] + base_in[g], goal[some] % GROUP)
+                found[some] += _log_softmax(out_in[g].T @ hidden[:, some] + base_in[g][:, None], goal[some] % GROUP)
             result[at + order] = found
         return result
 
@@ -123,40 +126,42 @@ class Network:
         order, begin = self._by_group(targets)
         contexts, targets = contexts[order], targets[order]
         hidden = self._hidden(contexts)
-        wrong = _wrong(hidden @ outs + bases, targets // GROUP, n)
-        back = wrong @ outs.T
+        wrong = _wrong(outs.T @ hidden + bases[:, None], targets // GROUP, n)
+        back = outs @ wrong
         out_change, base_change = np.zeros_like(out_in), np.zeros_like(base_in)
         for g in np.flatnonzero(np.diff(begin)):
             some = slice(begin[g], begin[g + 1])
-            inside = _wrong(hidden[some] @ out_in[g] + base_in[g], targets[some] % GROUP, n)
-            back[some] += inside @ out_in[g].T
-            out_change[g], base_change[g] = hidden[some].T @ inside, inside.sum(axis=0)
+            inside = _wrong(out_in[g].T @ hidden[:, some] + base_in[g][:, None], targets[some] % GROUP, n)
+            back[:, some] += out_in[g] @ inside
+            out_change[g], base_change[g] = hidden[:, some] @ inside.T, inside.sum(axis=1)
         back *= 1 - hidden * hidden
+        by_word = np.ascontiguousarray(back.T)
         embed = np.zeros_like(self.parts[0])
         for k in range(len(OFFSETS)):
             words = contexts[:, k]
             by = np.argsort(words, kind="stable")
             words = words[by]
             first = np.flatnonzero(np.append(True, words[1:] != words[:-1]))
-            embed[k, words[first]] = np.add.reduceat(back[by], first, axis=0)
-        gradients = (embed, back.sum(axis=0), hidden.T @ wrong, wrong.sum(axis=0), out_change, base_change)
+            embed[k, words[first]] = np.add.reduceat(by_word[by], first, axis=0)
+        gradients = (embed, back.sum(axis=1), hidden @ wrong.T, wrong.sum(axis=1), out_change, base_change)
         for part, square, gradient in zip(self.parts, squares, gradients, strict=True):
             square += gradient * gradient
             part -= RATE * gradient / np.sqrt(square + 1e-8)
 
 
 def _log_softmax(logits: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    reached = logits[np.arange(len(logits)), targets]
-    return reached - np.log(np.exp(logits, out=logits).sum(axis=1))
+    """Of a column of logits per word, what its target gets."""
+    logits -= logits.max(axis=0)
+    reached = logits[targets, np.arange(len(targets))]
+    return reached - np.log(np.exp(logits, out=logits).sum(axis=0))
 
 
 def _wrong(logits: np.ndarray, targets: np.ndarray, n: int) -> np.ndarray:
-    """Gradient of the mean loss over n words by the logits."""
-    logits -= logits.max(axis=1, keepdims=True)
+    """Gradient of the mean loss over n words by the logits, a column per word."""
+    logits -= logits.max(axis=0)
     wrong = np.exp(logits, out=logits)
-    wrong /= wrong.sum(axis=1, keepdims=True) * n
-    wrong[np.arange(len(targets)), targets] -= 1 / n
+    wrong /= wrong.sum(axis=0) * n
+    wrong[targets, np.arange(len(targets))] -= 1 / n
     return wrong
 
 
