@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.test_cycle import raw
 from tidemark.plans import loads, steps
@@ -106,6 +107,28 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     assert builds.build_batch(silver, feed, rows(""), "a 2") == {}
 
 
+def test_paths_are_matched_once_a_file(spark, tmp_path, monkeypatch):
+    matched = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def suffix(path):
+        matched.add(1)
+        return path[-27:-8] if path.endswith(".parquet") else None
+
+    monkeypatch.setattr(builds, "snapshot_suffix", suffix)
+    feed = next(f for f in builds.feeds(["fact_crypto_category"]))
+    names = {f.name: F.lit(None).cast(f.dataType) for f in steps.folder_schema(spark, feed.folder).fields}
+    names["category_id"] = F.col("id").cast("string")
+    names["date_snapshot"] = F.lit("2030-01-01T00:00:00Z")
+    path = F.concat(F.lit("f/x-2030-01-0"), (F.col("id") % 2 + 1).cast("string"), F.lit("_00-00-00.parquet"))
+    rows = spark.range(1000).select(*[column.alias(n) for n, column in names.items()], path.alias("_file"))
+    silver = Store(spark, f"{tmp_path}/s")
+    assert builds.build_batch(silver, feed, rows, "a 0") == {"fact_crypto_category": "success"}
+    assert silver.read("fact_crypto_category").count() == 1000
+    assert silver.last("fact_crypto_category")["read_upto"] == datetime(2030, 1, 2)
+    assert 0 < matched.value < 100
+
+
 def test_a_failed_build_is_repeated_whole(spark, tmp_path, monkeypatch):
     root = str(tmp_path)
     silver = Store(spark, f"{root}/s")

@@ -82,20 +82,25 @@ def build_batch(silver: Store, feed: Feed, rows: DataFrame, batch: str) -> dict[
     `rows` has the folder's columns and `_file`. Rows that go to several tables are scanned once and
     held until the last one is written. A repeated batch replaces what its first attempt wrote.
     """
-    rows = rows.withColumn("_suffix", snapshot_suffix(F.col("_file")))
     if len(feed.steps) + feed.beside > 1:
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        newest = rows.agg(
-            F.max("_suffix").alias("suffix"), F.unix_seconds(F.max(snapshot_time(F.col("_file")))).alias("at")
-        ).first()
-        if newest["suffix"] is None and rows.isEmpty():
+        # a path is matched once a file, not once a row
+        found = rows.select("_file").distinct().select(
+            "_file",
+            snapshot_suffix(F.col("_file")).alias("suffix"),
+            F.unix_seconds(snapshot_time(F.col("_file"))).alias("at"),
+        ).collect()
+        if not found:
             return {}
-        upto = datetime.fromtimestamp(newest["at"], timezone.utc) if newest["at"] is not None else None
-        last = rows if newest["suffix"] is None else rows.where(F.col("_suffix") == newest["suffix"])
+        newest = max((f["suffix"] for f in found if f["suffix"] is not None), default=None)
+        at = max((f["at"] for f in found if f["at"] is not None), default=None)
+        upto = datetime.fromtimestamp(at, timezone.utc) if at is not None else None
+        chosen = [f["_file"] for f in found if f["suffix"] == newest]
+        last = rows if newest is None or len(chosen) == len(found) else rows.where(F.col("_file").isin(chosen))
         outcome = {}
         if feed.beside:
-            _publish(silver, last.drop("_file", "_suffix"), NEWEST + feed.folder, "newest", batch, upto)
+            _publish(silver, last.drop("_file"), NEWEST + feed.folder, "newest", batch, upto)
         for name in feed.steps:
             step = STEPS[name]
             if _is_once_done(silver, step, batch):
