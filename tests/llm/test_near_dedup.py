@@ -134,6 +134,35 @@ def test_links_through_crowded_buckets(spark, monkeypatch):
     assert sum(made) < 100 * len(rows)
 
 
+def test_every_pair_of_a_crowded_bucket(spark, monkeypatch):
+    """Pairs that share little more than the passage that all texts share: they meet only where all meet."""
+    rng = random.Random(14)
+    passage = [f"p{i}" for i in range(60)]
+    rows, pairs = [], 60
+    for i in range(pairs):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(20)]
+        rows += [(2 * i, " ".join(passage + own), 1, "", ""), (2 * i + 1, " ".join(passage + replaced(rng, own, 16)), 1, "", "")]
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    got = {r.doc_id: r.class_id for r in near_dedup.near_classes(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: i // 2 * 2 for i in range(2 * pairs)}
+
+
+def test_bags_keep_every_similar_pair():
+    rng = random.Random(15)
+    texts = []
+    for _ in range(40):
+        a = [f"w{rng.randrange(300)}" for _ in range(rng.randrange(5, 120))] + ["often"] * rng.choice((0, 0, 700))
+        texts += [a, replaced(rng, a, len(a) // 5), a[: len(a) - len(a) // 5], a + replaced(rng, a[: len(a) // 4], len(a) // 8)]
+    lengths, bags = np.array([len(t) for t in texts]), np.array([near_dedup.bag(t) for t in texts])
+    half = len(texts) // 2
+    left, right = np.arange(half), np.arange(half // 2, len(texts))
+    for similarity in (0.8, 0.9):
+        found = set(zip(*(x.tolist() for x in near_dedup.near_bags(left, right, lengths, np.arange(len(texts)), bags, similarity)), strict=True))
+        every = {(i, j) for i in left.tolist() for j in right.tolist() if i != j}
+        near = {(i, j) for i, j in every if near_dedup.similar(" ".join(texts[i]), " ".join(texts[j]), similarity) is not None}
+        assert len(near) > 20 and near <= found < every
+
+
 def test_common_kmers_take_no_part():
     rng = random.Random(13)
     a = [f"w{rng.randrange(10**6)}" for _ in range(60)]

@@ -5,9 +5,9 @@ each labelled with its occurrence number. A sketch takes the few k-mers with the
 order, so it agrees for texts that share k-mers in the same order, as texts of small edit distance
 do. Texts that agree in any of the sketches are candidates, and a banded alignment decides.
 
-Texts that share a common passage agree in the sketches of its k-mers, and meet there in numbers too large to
-compare all. Such a bucket names its k-mers as common ones, and its members are sketched once
-more from the k-mers that are not.
+The members of a crowded bucket first meet a few representatives, which puts near copies into one class. All
+pairs of such a bucket that are left in different classes are then compared: their lengths and bags of words
+rule most of them out, and the rest is aligned.
 """
 
 from __future__ import annotations
@@ -32,10 +32,15 @@ SKETCHES, SAMPLED = 32, 2
 #: Texts of at most SHORT words have sketches of SAMPLED_WORDS single words, those of SIMILARITY * SHORT
 #: words or more the sketches above; between, both, so that two texts of enough similarity share a kind.
 SHORT, SAMPLED_WORDS = 20, 3
-#: Members of a bucket each meet this many of its representatives. That is all pairs of a bucket with one
-#: member more; a larger one is crowded.
+#: Members of a bucket first meet this many of its representatives. That is all pairs of a bucket with one
+#: member more; a larger one is crowded, and its other pairs come after.
 REPRESENTATIVES = 2
 
+#: Members of a block: all pairs of a crowded bucket are formed from two blocks at a time.
+BLOCK = 512
+#: Counters of a bag of words.
+_BAG = 512
+
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Seeds of the sketches, and of those without common k-mers.
@@ -95,7 +100,7 @@ def kinds(words: int) -> list[tuple[int, int]]:
 def sketches(tokens: list[str], without: np.ndarray | None = None) -> np.ndarray:
     """One hash per sketch: of its smallest k-mers in text order, and its number.
 
-    `without` are k-mers that take no part; a text with too few others has no such sketches.
+    `without` are k-mers that take no part, under seeds of their own; a text with too few others has no such sketches.
     """
     found = [np.zeros(0, dtype=np.int64)]
     for k, sampled in kinds(len(tokens)):
@@ -244,53 +249,79 @@ def _candidates(members: DataFrame, heads: DataFrame) -> DataFrame:
     )
 
 
-def _uncommon(texts: DataFrame, heads: DataFrame) -> DataFrame:
-    """node, sketches: of the members of crowded buckets, from k-mers that no crowded bucket names as common."""
-    # a bucket's k-mers are the same in all its members: one text tells them
-    asked = heads.where(_CROWDED).groupBy(F.col("others")[0].alias("node")).agg(F.collect_list("bucket").alias("buckets"))
-    # a node's hash stands for it where many rows move; two nodes of one hash only share what they leave out
-    texts = texts.where("crowded").select("node", "sequence", F.xxhash64("node").alias("key"))
-
-    def named(batches: Iterator) -> Iterator:
-        for (buckets,), found in batches:
-            for t, b in zip(found, buckets.to_pylist(), strict=True):
-                yield [pa.array(sketched_kmers(t.split(" "), b).view(np.int64))]
-
-    hot = map_texts(texts.join(asked, "node"), ["buckets"], "sequence", "kmer long", named)
-    hot = settle(hot.distinct(), "common-kmers")
-
-    def every(batches: Iterator) -> Iterator:
-        for (keys,), found in batches:
-            held, size, first = [], 0, 0
-            for i, text in enumerate(found):
-                tokens = text.split(" ")
-                held.append(np.unique(np.concatenate([kmers(tokens, k) for k, _ in kinds(len(tokens))])))
-                size += len(held[-1])
-                if size >= _KMERS or i + 1 == len(found):
-                    each = first + np.repeat(np.arange(len(held)), [len(h) for h in held])
-                    yield [keys.take(pa.array(each)), pa.array(np.concatenate(held).view(np.int64))]
-                    held, size, first = [], 0, i + 1
-
-    common = map_texts(texts, ["key"], "sequence", "key long, kmer long", every).join(hot, "kmer")
-    common = common.groupBy("key").agg(F.collect_list("kmer").alias("common"))
-
-    def sketch(batches: Iterator) -> Iterator:
-        for (nodes, common), found in batches:
-            without = [np.array(c, np.int64).view(np.uint64) for c in common.to_pylist()]
-            yield [nodes, [sketches(t.split(" "), w).tolist() for t, w in zip(found, without, strict=True)]]
-
-    return map_texts(texts.join(common, "key"), ["node", "common"], "sequence", "node binary, sketches array<bigint>", sketch)
-
-
-def _texts(rows: DataFrame, nodes: DataFrame, members: DataFrame, heads: DataFrame) -> DataFrame:
-    """node, sequence, crowded (whether a bucket of it is) of all nodes that share a bucket with another.
-    One row's text stands for all rows of a node."""
-    shared = members.join(heads.select("bucket", F.expr(_CROWDED).alias("crowded")), "bucket")
-    involved = settle(shared.groupBy("node").agg(F.bool_or("crowded").alias("crowded")), "near-nodes")
-    chosen = involved.join(nodes, "node").select(F.col("node").alias("_node"), "first_id", "crowded")
+def bag(tokens: list[str]) -> np.ndarray:
+    """Words counted by a hash, up to 255. An edit adds one word at most and takes one at most, so two texts are
+    at least as many edits apart as either side's surplus over the other."""
+    h = np.fromiter(map(_HASHES.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
+    return np.minimum(np.bincount((h % np.uint64(_BAG)).astype(np.int64), minlength=_BAG), 255).astype(np.uint8)
+
+
+def near_bags(
+    left: np.ndarray, right: np.ndarray, lengths: np.ndarray, labels: np.ndarray, bags: np.ndarray, similarity: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all pairs of a left and a right row, of different labels, that their lengths and bags leave possible."""
+    right = right[np.argsort(lengths[right], kind="stable")]
+    ordered, signed = lengths[right], bags[right].astype(np.int16)
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for i in left:
+        # the shorter text has at least `similarity` times the words of the longer
+        low = np.searchsorted(ordered, int(similarity * lengths[i]) - 1)
+        high = np.searchsorted(ordered, int(lengths[i] / similarity) + 1, "right")
+        at = low + np.flatnonzero(labels[right[low:high]] != labels[i])
+        most = ((1 - similarity) * np.maximum(ordered[at], lengths[i]) + 1e-9).astype(np.int64)
+        apart = signed[at] - bags[i].astype(np.int16)
+        more, less = np.maximum(apart, 0).sum(1), np.maximum(-apart, 0).sum(1)
+        others = right[at[np.maximum(more, less) <= most]]
+        found.append((np.full(len(others), i), others))
+    return np.concatenate([f for f, _ in found]), np.concatenate([o for _, o in found])
+
+
+def _crowded_pairs(texts: DataFrame, members: DataFrame, heads: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """node, other, mine, theirs: all pairs of a crowded bucket whose labels differ and that may be similar.
+
+    Every member meets every other of its bucket, block by block, so that no task holds more than two blocks
+    of a bucket. Pairs that lengths and bags of words prove to be too far apart are not sent on.
+    """
+    members = members.join(heads.where(_CROWDED).select("bucket"), "bucket").join(labels, "node", "left")
+    members = settle(members.select("bucket", "node", F.coalesce("label", "node").alias("label")), "crowded-members")
+    opened = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("first"), F.max("label").alias("last"))
+    opened = opened.where("first <> last").select("bucket", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    members = members.join(settle(opened, "open-buckets"), "bucket")
+
+    def bagged(batches: Iterator) -> Iterator:
+        for (nodes,), found in batches:
+            tokens = [t.split(" ") for t in found]
+            yield [nodes, [len(t) for t in tokens], [bag(t).tobytes() for t in tokens]]
+
+    asked = settle(members.select("node").distinct(), "open-nodes")
+    bags = map_texts(texts.join(asked, "node"), ["node"], "sequence", "node binary, words long, bag binary", bagged)
+    block = F.pmod(F.xxhash64("node"), "blocks").alias("block")
+    met = members.join(settle(bags, "bags"), "node").select(
+        "bucket", "node", "label", "words", "bag", block, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("with")
+    )
+    met = met.withColumns({"low": F.least("block", "with"), "high": F.greatest("block", "with")})
+
+    def meet(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        block, lengths = table["block"].to_numpy(), table["words"].to_numpy()
+        bags = np.frombuffer(b"".join(table["bag"].to_pylist()), np.uint8).reshape(-1, _BAG)
+        label, node = table["label"].to_pylist(), table["node"].to_pylist()
+        number = np.unique(np.array([x.hex() for x in label]), return_inverse=True)[1]
+        left, right = (np.flatnonzero(block == k.as_py()) for k in key[1:])
+        found = [(i, j) if node[i] < node[j] else (j, i) for i, j in zip(*near_bags(left, right, lengths, number, bags, similarity), strict=True)]
+        columns = [[values[pair[side]] for pair in found] for values in (node, label) for side in (0, 1)]
+        return pa.table([pa.array(c, pa.binary()) for c in columns], names=["node", "other", "mine", "theirs"])
+
+    return met.groupBy("bucket", "low", "high").applyInArrow(meet, "node binary, other binary, mine binary, theirs binary").distinct()
+
+
+def _texts(rows: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """node, sequence of all members. One row's text stands for all rows of a node."""
+    involved = settle(members.select("node").distinct(), "near-nodes")
+    chosen = involved.join(nodes, "node").select(F.col("node").alias("_node"), "first_id")
     return (
         rows.join(chosen, (F.col("node") == F.col("_node")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
-        .select("node", "sequence", "crowded")
+        .select("node", "sequence")
         .dropDuplicates(["node"])
     )
 
@@ -328,12 +359,16 @@ def _labels(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
         .select("node", "other", F.coalesce("mine", "node").alias("mine"), F.coalesce("theirs", "other").alias("theirs"))
         .where("mine <> theirs")
     )
-    rest = settle(rest, "open-pairs")
-    more = _links(texts, rest, similarity).join(rest, ["node", "other"])
-    joined = components(settle(more.select(F.col("mine").alias("node"), F.col("theirs").alias("other")).distinct(), "links"))
-    alone = joined.select("node", F.col("node").alias("label")).join(first, "node", "left_anti")
+    return _joined(texts, first, settle(rest, "open-pairs"), similarity)
+
+
+def _joined(texts: DataFrame, labels: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """node, label after the links among the pairs (node, other, mine, theirs) joined components to each other."""
+    links = _links(texts, pairs, similarity).join(pairs, ["node", "other"])
+    joined = components(settle(links.select(F.col("mine").alias("node"), F.col("theirs").alias("other")).distinct(), "links"))
+    alone = joined.select("node", F.col("node").alias("label")).join(labels, "node", "left_anti")
     final = joined.select(F.col("node").alias("label"), F.col("label").alias("last"))
-    return first.unionByName(alone).join(final, "label", "left").select("node", F.coalesce("last", "label").alias("label"))
+    return labels.unionByName(alone).join(final, "label", "left").select("node", F.coalesce("last", "label").alias("label"))
 
 
 def _mask(keep: list[bool]) -> pa.Array:
@@ -381,12 +416,14 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, id_col: str =
     nodes = settle(nodes, "nodes")
     ids, members = nodes.select("node", "first_id"), _members(nodes)
     heads = _heads(members)
-    texts = settle(_texts(rows, ids, members, heads), "near-texts")
-    more = _members(settle(_uncommon(texts, heads), "uncommon-sketches"))
-    pairs = _candidates(members, heads).unionByName(_candidates(more, _heads(more)))
-    pairs = settle(pairs.groupBy("node", "other").agg(F.sum("n").alias("n")), "pairs")
-    texts = texts.drop("crowded")
-    labelled = nodes.select("node", "first_id", "copies").join(_labels(texts, pairs, similarity), "node", "left")
+    # most buckets have one member: the others move on alone
+    members = settle(members.join(heads.select("bucket"), "bucket"), "shared-members")
+    texts = settle(_texts(rows, ids, members), "near-texts")
+    pairs = settle(_candidates(members, heads), "pairs")
+    labels = settle(_labels(texts, pairs, similarity), "star-labels")
+    open_pairs = settle(_crowded_pairs(texts, members, heads, labels, similarity), "crowded-pairs")
+    labels = _joined(texts, labels, open_pairs, similarity)
+    labelled = nodes.select("node", "first_id", "copies").join(labels, "node", "left")
     labelled = settle(labelled.withColumn("label", F.coalesce("label", "node")), "labelled")
     classes = labelled.groupBy("label").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"))
     by_node = labelled.select("node", "label").join(settle(classes, "classes"), "label").select("node", "class_id", "class_size")
