@@ -147,6 +147,22 @@ def test_every_pair_of_a_crowded_bucket(spark, monkeypatch):
     assert got == {i: i // 2 * 2 for i in range(2 * pairs)}
 
 
+def test_two_large_classes_of_the_same_words_make_few_rows(spark, monkeypatch):
+    """Every text of one class holds the words of every text of the other but for two, 20 edits apart in 80 words."""
+    rng = random.Random(16)
+    body = [f"w{rng.randrange(10**6)}" for _ in range(80)]
+    rows = []
+    for i in range(800):
+        own = body[:] if i < 400 else body[10:] + body[:10]
+        own[rng.randrange(20, 60)] = f"own{i}"
+        rows.append((i, " ".join(own), 1, "", ""))
+    written, plain = {}, near_dedup.settle
+    monkeypatch.setattr(near_dedup, "settle", lambda df, label: (out := plain(df, label), written.update({label: max(out.count(), written.get(label, 0))}))[0])
+    got = {r.doc_id: r.class_id for r in near_dedup.near_classes(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: i // 400 * 400 for i in range(800)}
+    assert max(written.values()) < 100 * len(rows)
+
+
 def test_bags_keep_every_similar_pair():
     rng = random.Random(15)
     texts = []

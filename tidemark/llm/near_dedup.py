@@ -7,7 +7,8 @@ do. Texts that agree in any of the sketches are candidates, and a banded alignme
 
 The members of a crowded bucket first meet a few representatives, which puts near copies into one class. All
 pairs of such a bucket that are left in different classes are then compared: their lengths and bags of words
-rule most of them out, and the rest is aligned.
+rule most of them out, and the rest is aligned, two blocks of members at a time. What leaves such blocks is a link for
+two classes that join, so the rows grow with the members and not with their pairs.
 """
 
 from __future__ import annotations
@@ -36,8 +37,9 @@ SHORT, SAMPLED_WORDS = 20, 3
 #: member more; a larger one is crowded, and its other pairs come after.
 REPRESENTATIVES = 2
 
-#: Members of a block: all pairs of a crowded bucket are formed from two blocks at a time.
-BLOCK = 512
+#: Members of a block, and bytes of their texts (but for chance, and for a single text that is larger): all pairs of
+#: a crowded bucket are formed from two blocks at a time.
+BLOCK, BLOCK_BYTES = 512, 8 << 20
 #: Counters of a bag of words.
 _BAG = 512
 
@@ -276,43 +278,82 @@ def near_bags(
     return np.concatenate([f for f, _ in found]), np.concatenate([o for _, o in found])
 
 
-def _crowded_pairs(texts: DataFrame, members: DataFrame, heads: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
-    """node, other, mine, theirs: all pairs of a crowded bucket whose labels differ and that may be similar.
+_GROUP = ["bucket", "low", "high"]
+
+
+def _crowded_links(texts: DataFrame, members: DataFrame, heads: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """node, other: labels that links between members of crowded buckets join to each other.
 
     Every member meets every other of its bucket, block by block, so that no task holds more than two blocks
-    of a bucket. Pairs that lengths and bags of words prove to be too far apart are not sent on.
+    of a bucket; a pair counts in the first bucket that it shares. Texts move only to blocks where lengths and bags of
+    words leave a pair of theirs possible. Pairs are formed and aligned inside a block and do not leave it:
+    of the links, those go out that join labels not joined yet.
     """
     members = members.join(heads.where(_CROWDED).select("bucket"), "bucket").join(labels, "node", "left")
     members = settle(members.select("bucket", "node", F.coalesce("label", "node").alias("label")), "crowded-members")
-    opened = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("first"), F.max("label").alias("last"))
-    opened = opened.where("first <> last").select("bucket", F.ceil(F.col("n") / BLOCK).alias("blocks"))
-    members = members.join(settle(opened, "open-buckets"), "bucket")
+    opened = members.groupBy("bucket").agg(F.min("label").alias("first"), F.max("label").alias("last")).where("first <> last")
+    members = members.join(settle(opened.select("bucket"), "open-buckets"), "bucket")
+    asked = settle(members.groupBy("node", "label").agg(F.collect_list("bucket").alias("buckets")), "open-nodes")
 
     def bagged(batches: Iterator) -> Iterator:
-        for (nodes,), found in batches:
+        for (*keys, size), found in batches:
             tokens = [t.split(" ") for t in found]
-            yield [nodes, [len(t) for t in tokens], [bag(t).tobytes() for t in tokens]]
-
-    asked = settle(members.select("node").distinct(), "open-nodes")
-    bags = map_texts(texts.join(asked, "node"), ["node"], "sequence", "node binary, words long, bag binary", bagged)
+            yield [*keys, size, [len(t) for t in tokens], [bag(t).tobytes() for t in tokens]]
+
+    sized = texts.join(asked, "node").withColumn("size", F.octet_length("sequence").cast("long"))
+    schema = "node binary, label binary, buckets array<bigint>, size long, words long, bag binary"
+    bags = settle(map_texts(sized, ["node", "label", "buckets", "size"], "sequence", schema, bagged), "bags")
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_BYTES)).alias("blocks")
+    blocks = settle(bags.select("size", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(blocks), "blocks")
+    met = bags.select("node", "label", "buckets", "words", "bag", F.explode("buckets").alias("bucket")).join(blocks, "bucket")
+    earlier = F.filter("buckets", lambda other: other < F.col("bucket")).alias("earlier")
     block = F.pmod(F.xxhash64("node"), "blocks").alias("block")
-    met = members.join(settle(bags, "bags"), "node").select(
-        "bucket", "node", "label", "words", "bag", block, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("with")
+    met = met.select(
+        "bucket", "node", "label", earlier, "words", "bag", block, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("with")
+    )
+    met = met.select(
+        "bucket", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "node", "label", "earlier", "words", "bag"
     )
-    met = met.withColumns({"low": F.least("block", "with"), "high": F.greatest("block", "with")})
 
-    def meet(key: tuple, table: pa.Table) -> pa.Table:
+    def possible(key: tuple, table: pa.Table) -> tuple[pa.Table, list[tuple[int, int]]]:
+        """The rows of a block, and its pairs that may be similar and share no earlier bucket."""
         table = table.combine_chunks()
         block, lengths = table["block"].to_numpy(), table["words"].to_numpy()
         bags = np.frombuffer(b"".join(table["bag"].to_pylist()), np.uint8).reshape(-1, _BAG)
-        label, node = table["label"].to_pylist(), table["node"].to_pylist()
-        number = np.unique(np.array([x.hex() for x in label]), return_inverse=True)[1]
+        number = np.unique(np.array([x.hex() for x in table["label"].to_pylist()]), return_inverse=True)[1]
+        earlier = [frozenset(e) for e in table["earlier"].to_pylist()]
         left, right = (np.flatnonzero(block == k.as_py()) for k in key[1:])
-        found = [(i, j) if node[i] < node[j] else (j, i) for i, j in zip(*near_bags(left, right, lengths, number, bags, similarity), strict=True)]
-        columns = [[values[pair[side]] for pair in found] for values in (node, label) for side in (0, 1)]
-        return pa.table([pa.array(c, pa.binary()) for c in columns], names=["node", "other", "mine", "theirs"])
-
-    return met.groupBy("bucket", "low", "high").applyInArrow(meet, "node binary, other binary, mine binary, theirs binary").distinct()
+        places = near_bags(left, right, lengths, number, bags, similarity)
+        found = zip(*(x.tolist() for x in places), strict=True)
+        # inside one block a pair is found from both sides
+        return table, [(i, j) for i, j in found if (key[1] != key[2] or i < j) and earlier[i].isdisjoint(earlier[j])]
+
+    def involved(key: tuple, table: pa.Table) -> pa.Table:
+        table, found = possible(key, table)
+        return table.take(pa.array(sorted({i for pair in found for i in pair}), pa.int64()))
+
+    def linked(key: tuple, table: pa.Table) -> pa.Table:
+        table, found = possible(key, table)
+        sequence = [value.decode("utf-8", "replace") for value in table["sequence"].to_pylist()]
+        label = table["label"].to_pylist()
+        root = {x: x for x in label}
+
+        def top(x: bytes) -> bytes:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        joined = []
+        for i, j in found:
+            mine, theirs = top(label[i]), top(label[j])
+            if mine != theirs and similar(sequence[i], sequence[j], similarity) is not None:
+                root[max(mine, theirs)] = min(mine, theirs)
+                joined.append((min(label[i], label[j]), max(label[i], label[j])))
+        return pa.table([pa.array([x[side] for x in joined], pa.binary()) for side in (0, 1)], names=["node", "other"])
+
+    near = settle(met.groupBy(*_GROUP).applyInArrow(involved, met.schema), "crowded-near")
+    both = near.join(texts.select("node", F.col("sequence").cast("binary").alias("sequence")), "node")
+    return both.groupBy(*_GROUP).applyInArrow(linked, "node binary, other binary").distinct()
 
 
 def _texts(rows: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
@@ -365,7 +406,12 @@ def _labels(texts: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
 def _joined(texts: DataFrame, labels: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """node, label after the links among the pairs (node, other, mine, theirs) joined components to each other."""
     links = _links(texts, pairs, similarity).join(pairs, ["node", "other"])
-    joined = components(settle(links.select(F.col("mine").alias("node"), F.col("theirs").alias("other")).distinct(), "links"))
+    return _merged(labels, links.select(F.col("mine").alias("node"), F.col("theirs").alias("other")).distinct())
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """node, label after links between labels (node, other) joined their components."""
+    joined = components(settle(links, "links"))
     alone = joined.select("node", F.col("node").alias("label")).join(labels, "node", "left_anti")
     final = joined.select(F.col("node").alias("label"), F.col("label").alias("last"))
     return labels.unionByName(alone).join(final, "label", "left").select("node", F.coalesce("last", "label").alias("label"))
@@ -421,8 +467,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY, id_col: str =
     texts = settle(_texts(rows, ids, members), "near-texts")
     pairs = settle(_candidates(members, heads), "pairs")
     labels = settle(_labels(texts, pairs, similarity), "star-labels")
-    open_pairs = settle(_crowded_pairs(texts, members, heads, labels, similarity), "crowded-pairs")
-    labels = _joined(texts, labels, open_pairs, similarity)
+    labels = _merged(labels, _crowded_links(texts, members, heads, labels, similarity))
     labelled = nodes.select("node", "first_id", "copies").join(labels, "node", "left")
     labelled = settle(labelled.withColumn("label", F.coalesce("label", "node")), "labelled")
     classes = labelled.groupBy("label").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"))
