@@ -128,6 +128,15 @@ def test_chunks_are_full_and_ordered(spark, slices):
     assert sizes == {1: (200, 0), 2: (200, 200), 3: (200, 400), 4: (200, 600), 5: (200, 800), 6: (50, 1000)}
 
 
+def test_slices_are_bounded_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "SLICE_ROWS", 100, raising=False)
+    df = spark.range(1000).select((F.col("id") % 2).alias("g"), "id")
+    sizes = [r["count"] for r in ordered._sliced(df, ["g"], [F.col("id").asc()], 2).groupBy("_slice").count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 200
+    numbered = ordered.row_numbers(df, ["g"], [F.col("id").asc()], "n", slices=2).collect()
+    assert len(numbered) == 1000 and all(r.n == r.id // 2 + 1 for r in numbered)
+
+
 @pytest.mark.parametrize("slices", [1, 7])
 @pytest.mark.parametrize("seed", [3, 4])
 def test_previous_known(spark, slices, seed):

@@ -5,8 +5,8 @@ summary row per slice carries the state to the later slices of its group. That i
 whatever the size of a group. The slices are fixed in a table in the shared folder, which the
 operator writes when it is called; its folder can be deleted once the result has been used.
 
-`slices` is their number, by default `spark.sql.shuffle.partitions`. A slice is sorted by one task,
-so set it to about the bytes of the input divided by what a task may sort (say 256 MB).
+`slices` is their least number, by default `spark.sql.shuffle.partitions`. A slice is sorted by one task,
+so there are more of them where one would have over SLICE_ROWS rows.
 """
 
 from __future__ import annotations
@@ -17,6 +17,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.session import work_dir
 
+#: Rows that a task may sort; a million of the as-of operator's take some 100 MB.
+SLICE_ROWS = 1 << 20
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: a fixed input that survives lost executors."""
     path = work_dir(df.sparkSession, label)
@@ -27,7 +31,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 def _sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column], slices: int | None) -> DataFrame:
     """Fixed slices: `_g` is the group as one value (NULL members compare equal) and
     `_slice` grows with the order inside it. Rows equal in group and order share a slice."""
-    count = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # written first, so that the rows are known before they are cut and computed once for the sampling and the cut
+    df = materialize(df, "unsliced")
+    least = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = max(least, -(-df.count() // SLICE_ROWS))
     ranged = df.repartitionByRange(count, *[F.col(g).asc_nulls_first() for g in group], *order)
     whole = F.struct(*group) if group else F.lit(0)
     return materialize(ranged.select("*", whole.alias("_g"), F.spark_partition_id().alias("_slice")), "slices")
