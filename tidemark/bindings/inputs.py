@@ -13,6 +13,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.operators.ordered import materialize
 from tidemark.session import pin
 
 TABLES = (
@@ -207,6 +208,8 @@ def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """An input as a lazy frame."""
     pin(spark)
     text = INPUTS[name]
+    if name == "in_categories":
+        return _categories(spark, sf_dir, text)
     sources = {
         ref: derive(spark, sf_dir, ref) if ref in INPUTS else scan(spark, sf_dir, ref)
         for ref in set(_REFERENCE.findall(text))
@@ -214,6 +217,25 @@ def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **sources)
 
 
+def _categories(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """The categories with numbers in place of part names, which are looked up again at the end.
+
+    The numbers follow the order of the names, so MIN and MAX pick the same ones. They let Spark aggregate by
+    hash; text in MIN or MAX has it sort all line items by their group, twice.
+    """
+    parts = scan(spark, sf_dir, "part")
+    named = parts.select("p_name").where("p_name IS NOT NULL").distinct().repartitionByRange("p_name")
+    # written, so that a name has one number wherever it is read
+    names = materialize(named.sortWithinPartitions("p_name").withColumn("nth", F.monotonically_increasing_id()), "names")
+    numbered = parts.join(names, "p_name", "left").withColumn("p_name", F.col("nth")).drop("nth")
+    found = spark.sql(text, lineitem=scan(spark, sf_dir, "lineitem"), part=numbered)
+    columns = found.columns
+    for column in ("name", "title"):
+        shown = names.select(F.col("nth").alias(column), F.col("p_name").alias(f"_{column}"))
+        found = found.join(shown, column, "left").withColumn(column, F.col(f"_{column}"))
+    return found.select(*columns)
+
+
 def plain_sql(name: str) -> str:
     """The same input for an engine where tables and inputs are plain names."""
     return _REFERENCE.sub(r"\1", INPUTS[name])
