@@ -12,3 +12,15 @@ def test_pin_bounds_what_a_task_scans(spark):
             assert session._bytes(spark, spark.conf.get(SCANS)) == kept
     finally:
         spark.conf.set(SCANS, before)
+
+
+def test_pin_bounds_what_a_task_reads_after_a_shuffle(spark):
+    session.pin(spark)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 2)
+        rows = spark.range(1 << 21).selectExpr("id", "xxhash64(id) AS a", "xxhash64(id, 1) AS b", "xxhash64(id, 2) AS c")
+        # some 64 MB, which two partitions would hold in halves
+        assert rows.repartition("id").rdd.getNumPartitions() > 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
