@@ -172,3 +172,33 @@ def test_command_line(spark, cycle, tmp_path, capsys, monkeypatch):
     write_payloads(raw(spark, datetime(2030, 1, 1), True), f"{tmp_path}/payloads")
     cli.main(["parse", f"{tmp_path}/payloads", "exchange_map", f"{tmp_path}/bronze"])
     assert spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/bronze").where(F.col("id") == 5).count() == 1
+
+
+def test_many_keys_are_not_broadcast(spark, tmp_path, monkeypatch):
+    store, plans = Store(spark, str(tmp_path)), {}
+    publish = store.publish
+
+    def kept(df, table, *args, **kwargs):
+        plans.setdefault(table, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return publish(df, table, *args, **kwargs)
+
+    monkeypatch.setattr(store, "publish", kept)
+    coins = spark.range(300_000).select(F.col("id").cast("int").alias("crypto_id"), F.lit("c").alias("name"))
+    links = spark.createDataFrame([("k", 5), ("k", 299_999), ("k", 300_000), ("x", 5), ("k", None)], "category_id string, crypto_id int")
+    loads.load(store, "dim_crypto_id", coins, 1)
+    loads.load(store, "dim_crypto_category", spark.createDataFrame([("k",)], "category_id string"), 1)
+    assert loads.load(store, "crypto_category_link", links, 1) == 2
+    assert loads.load(store, "dim_crypto_id", coins.withColumn("crypto_id", F.col("crypto_id") + 10), 2) == 10
+    assert plans["crypto_category_link"][0].count("SortMergeJoin") == plans["crypto_category_link"][0].count("BroadcastHashJoin") == 1
+    assert "SortMergeJoin" in plans["dim_crypto_id"][1] and "BroadcastHashJoin" not in plans["dim_crypto_id"][1]
+
+
+def test_rows_are_counted_beside_an_empty_side(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(loads, "HELD_KEYS", 1)
+    store = Store(spark, str(tmp_path))
+    coins = spark.range(3).select(F.col("id").cast("int").alias("crypto_id"))
+    loads.load(store, "dim_crypto_id", coins, 1)
+    ranks = spark.createDataFrame([(1, 1), (7, 2)], "crypto_id int, rank int")
+    assert loads.load(store, "dim_crypto_map", ranks.where("rank > 2"), 1) == 0
+    assert loads.load(store, "dim_crypto_map", ranks.where("rank > 1"), 2) == 0
+    assert [json.loads(store.history("dim_crypto_map")["dim_crypto_map"][i]["dropped"]) for i in (0, 1)] == [{"crypto_id": 0}, {"crypto_id": 1}]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, functions as F
@@ -11,7 +11,7 @@ from tidemark.operators.clean import keep_first
 from tidemark.operators.joins import enforce_fks, new_keys
 from tidemark.operators.repair import repair_exchange_map, repair_spot_volume
 from tidemark.plans import days
-from tidemark.sources.store import BUILD_PHASES, Store, committed_versions, last_entry, live_versions
+from tidemark.sources.store import BUILD_PHASES, Entry, Store, committed_versions, last_entry, live_versions
 
 
 @dataclass(frozen=True)
@@ -28,6 +28,10 @@ CRYPTO, EXCHANGE, CATEGORY = (
     ("category_id", "dim_crypto_category"),
 )
 
+#: Rows of a table whose keys the driver and each executor may hold for a join. Catalyst goes by the size of files, of
+#: which a column of numbers has a byte or two a row; it takes some 50 bytes a row once it is broadcast.
+HELD_KEYS = 250_000
+
 # referenced tables come before the tables that refer to them
 LOADS: dict[str, Load] = {
     "dim_crypto_id": Load(key=("crypto_id",)),
@@ -76,6 +80,13 @@ def rows_to_load(
     return enforce_fks(rows, {column: references[table] for column, table in spec.fks}, observations)
 
 
+def key_side(store: Store, table: str, versions: Sequence[int], entries: Sequence[Entry]) -> DataFrame:
+    """Versions of a table as the key side of a join: never broadcast if the ledger counts more rows than may be held."""
+    rows = {e["version"]: e["rows"] or 0 for e in entries if e["status"] == "success"}
+    df = store.read_versions(table, versions, entries)
+    return df.hint("merge") if sum(rows[v] for v in versions) > HELD_KEYS else df
+
+
 def load(store: Store, name: str, built: DataFrame, version: int, source_version: int | None = None) -> int:
     """Append to the warehouse table under `version`; repeating a version replaces it.
 
@@ -88,11 +99,11 @@ def load(store: Store, name: str, built: DataFrame, version: int, source_version
     existing = None
     others = [v for v in live[name] if v != version]
     if spec.key and others:
-        existing = store.read_versions(name, others, history[name]).select(*spec.key)
+        existing = key_side(store, name, others, history[name]).select(*spec.key)
     for _, table in spec.fks:
         if not live[table]:
             raise LookupError(f"{name} refers to {table}, which is not loaded yet")
-    references = {table: store.read_versions(table, live[table], history[table]) for _, table in spec.fks}
+    references = {table: key_side(store, table, live[table], history[table]) for _, table in spec.fks}
     seen = {key: Observation() for key in ("", *[column for column, _ in spec.fks])} if spec.fks else {}
     rows = rows_to_load(name, built, existing, references, seen)
 
